@@ -1,0 +1,50 @@
+"""Compare a Spark result with the result of the oracle SQL on DuckDB."""
+
+from __future__ import annotations
+
+import decimal
+import os
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+    "array<int>": "INTEGER[]", "array<bigint>": "BIGINT[]",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _value(value):
+    return float(value) if isinstance(value, decimal.Decimal) else value
+
+
+def _rows(rows, names: list[str]) -> list[tuple]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(_value(row[i]) for i in order) for row in rows), key=repr)
+
+
+def check(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> int:
+    """Fail unless names, types and values agree; the number of rows."""
+    expected = connection.execute(sql)
+    schema = {d[0]: str(d[1]) for d in expected.description}
+    got = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in result.schema}
+    assert got == schema, f"schema: {got} != {schema}"
+    want = _rows(expected.fetchall(), list(schema))
+    have = _rows(result.collect(), result.columns)
+    assert len(have) == len(want), f"rows: {len(have)} != {len(want)}"
+    for a, b in zip(have, want):
+        assert a == b, f"{a} != {b}"
+    return len(have)
