@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["logs", "payloads", "readings"]
+MODULES = ["logs", "payloads", "readings", "camera_frames", "streams"]
 
 
 def _collect(attribute: str) -> dict:

@@ -74,29 +74,29 @@ def chunk_reassemble_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.reassemble(parts, ["doc_id"]).select("doc_id", "n_chunks", F.sha1("data").alias("data_sha1"))
 
 
-def _thirds(documents: DataFrame) -> DataFrame:
+def thirds(documents: DataFrame) -> DataFrame:
     """Chunks of a third of each text (rounded up), so that frames have one, two or three."""
-    frames = payloads(documents).select("doc_id", "data")
+    frames = payloads(documents).select("doc_id", "timestamp", "data")
     n_bytes = F.octet_length("data")
     size = F.greatest(F.lit(1), F.ceil(n_bytes / JOIN_CHUNKS)).cast("int")
     n = F.greatest(F.lit(1), F.ceil(n_bytes / size)).cast("int")
     indexed = frames.withColumns({"_size": size, "_n": n}).withColumn(
         "_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return indexed.select("doc_id", F.col("_i").cast("smallint").alias("chunk_index"),
+    return indexed.select("doc_id", "timestamp", F.col("_i").cast("smallint").alias("chunk_index"),
                           (F.col("_n") - 1).cast("smallint").alias("final_chunk_index"),
                           F.col("data").substr(F.col("_i") * F.col("_size") + 1, F.col("_size")).alias("data"))
 
 
 def chunk_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of exactly three chunks, by a three-way join."""
-    parts = _thirds(table(spark, sf_dir, "documents")).filter(F.col("final_chunk_index") == JOIN_CHUNKS - 1)
+    parts = thirds(table(spark, sf_dir, "documents")).filter(F.col("final_chunk_index") == JOIN_CHUNKS - 1)
     joined = chunks.join_chunks(parts, ["doc_id"], JOIN_CHUNKS)
     return joined.select("doc_id", F.sha1(chunks.concat_chunks(JOIN_CHUNKS, null_safe=False)).alias("data_sha1"))
 
 
 def chunk_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of up to three chunks; the plain concatenation is NULL where there are fewer."""
-    parts = _thirds(table(spark, sf_dir, "documents")).filter(F.col("final_chunk_index") <= JOIN_CHUNKS - 1)
+    parts = thirds(table(spark, sf_dir, "documents")).filter(F.col("final_chunk_index") <= JOIN_CHUNKS - 1)
     joined = chunks.join_chunks(parts, ["doc_id"], JOIN_CHUNKS, "left")
     return joined.select("doc_id",
                          F.sha1(chunks.concat_chunks(JOIN_CHUNKS, null_safe=False)).alias("plain_sha1"),

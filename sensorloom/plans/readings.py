@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions import times, udfs
 from sensorloom.operators import events as ev
 from sensorloom.operators import ordering
-from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, table
+from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, scaled, scaled_sql, table
 
 INTERVAL = 2 * 3600
 GAP = 600
@@ -62,25 +63,15 @@ def ordered_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     block = [F.col("segment_id"), ordering.offset_block(F.col("offset"))]
     vectors = ordering.ordered_vectors(events, ["user_id"], ["segment_id", "offset"], block, "value", VECTOR_LENGTH)
-    dense = vectors.withColumn("vector", _dense("vector"))
-    return dense.select("user_id", "part", F.size(_plain_array("vector")).alias("n_values"),
-                        _cents(_plain_array("vector")).alias("cents"))
-
-
-def _dense(name: str) -> Column:
-    from pyspark.ml.functions import array_to_vector
-    return array_to_vector(F.col(name))
-
-
-def _plain_array(name: str) -> Column:
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(F.col(name))
+    dense = vectors.withColumn("vector", array_to_vector("vector"))
+    values = vector_to_array("vector")
+    return dense.select("user_id", "part", F.size(values).alias("n_values"), _cents(values).alias("cents"))
 
 
 def window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     means = ev.window_mean(rows, ["user_id"], "value", "mean_value")
-    return means.select("event_id", "user_id", F.round("mean_value", 4).alias("mean_value"))
+    return means.select("event_id", "user_id", scaled(F.col("mean_value"), 4).alias("mean_e4"))
 
 
 def frame_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +83,8 @@ def frame_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sensor_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readings(table(spark, sf_dir, "events"))
     expected = times.sinusoid(F.unix_millis("timestamp"), LOW, HIGH, PERIOD_MILLIS, OFFSET_MILLIS)
-    return rows.select("event_id", F.round(expected, 3).alias("expected"),
-                       F.round(F.col("temp_celsius") - expected, 3).alias("residual"))
+    return rows.select("event_id", scaled(expected, 3).alias("expected_e3"),
+                       scaled(F.col("temp_celsius") - expected, 3).alias("residual_e3"))
 
 
 def agg_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +140,7 @@ def _slot_sql(fps: int) -> str:
     return f"make_timestamp((epoch_us(ts) * {fps} // 1000000) * 1000000 // {fps})"
 
 
-_EXPECTED_SQL = f"""({HIGH} - {LOW})::DOUBLE * (0.5 * sin(2.0 * pi() * (epoch_ms(ts) - {OFFSET_MILLIS}::DOUBLE)
+_EXPECTED_SQL = f"""({HIGH} - {LOW})::DOUBLE * (0.5 * sin(2.0 * pi() * (epoch_us(ts) // 1000 - {OFFSET_MILLIS}::DOUBLE)
                  / {PERIOD_MILLIS}::DOUBLE) + 0.5) + {LOW}::DOUBLE"""
 
 ORACLES = {
@@ -164,13 +155,15 @@ ORACLES = {
                      ORDER BY l.segment_id, l."offset") AS p
               FROM events e JOIN ({LOG_SQL}) l ON l."offset" = e.event_id)
         GROUP BY ALL""",
-    "window_mean": """
-        SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id), 4) AS mean_value FROM events""",
+    "window_mean": f"""
+        SELECT event_id, user_id, {scaled_sql('mean', 4)} AS mean_e4
+        FROM (SELECT event_id, user_id, avg(value) OVER (PARTITION BY user_id) AS mean FROM events)""",
     "frame_row_number": """
         SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS row_number
         FROM events""",
     "sensor_residual": f"""
-        SELECT event_id, round({_EXPECTED_SQL}, 3) AS expected, round(value - ({_EXPECTED_SQL}), 3) AS residual
+        SELECT event_id, {scaled_sql(_EXPECTED_SQL, 3)} AS expected_e3,
+               {scaled_sql(f'value - ({_EXPECTED_SQL})', 3)} AS residual_e3
         FROM events""",
     "agg_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
     "agg_pandas_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",

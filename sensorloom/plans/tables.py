@@ -103,3 +103,15 @@ FRAMES_SQL = f"""
 def plain(column: str) -> Column:
     """A timestamp without zone, as the given tables have it."""
     return F.col(column).cast("timestamp_ntz").alias(column)
+
+
+def scaled(value: Column, digits: int) -> Column:
+    """A double in whole units of 10**-digits, to compare engines that add up in different orders.
+
+    The border lies off the half, where exact decimal ties would fall to either side.
+    """
+    return F.floor(value * 10**digits + 0.4999).cast("bigint")
+
+
+def scaled_sql(value: str, digits: int) -> str:
+    return f"floor(({value}) * {10**digits} + 0.4999::DOUBLE)::BIGINT"

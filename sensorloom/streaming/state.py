@@ -84,8 +84,10 @@ def reassemble(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_
 def number_frames(rows: DataFrame, camera: str, ts: str) -> DataFrame:
     """Add ``frame_number``: 0-based per output camera, in time order.
 
-    ``rows`` come from a windowed aggregate in append mode: each batch holds only windows later than those
-    of the batches before. Keep payloads out; join them on (camera, window) afterwards.
+    ``rows`` is a stream over the table that a windowed aggregate wrote in append mode, where each batch has
+    only later windows than the batches before (Spark allows no such state behind an aggregate in one
+    query). Give it whole batches: no ``maxFilesPerTrigger``. Keep payloads out, and join them on
+    (camera, time) afterwards.
     """
     schema = StructType.fromDDL(", ".join(
         [f"{f.name} {f.dataType.simpleString()}" for f in rows.select(camera, ts).schema]
