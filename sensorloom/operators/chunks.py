@@ -11,8 +11,8 @@ from sensorloom.functions import codec
 DEFAULT_CHUNK_BYTES = 512 * 1024
 MAX_CHUNKS = 32768
 
-# A frame with more rows than MAX_CHUNKS is bad. If it also has over 1/HEAVY_SHARE of all rows it is
-# removed ahead of the payload shuffle; there cannot be more than HEAVY_SHARE of those.
+# A bad frame with more rows than MAX_CHUNKS and over 1/HEAVY_SHARE of all rows of bad frames is removed
+# ahead of the payload shuffle. By the second condition there are fewer than HEAVY_SHARE of those.
 HEAVY_SHARE = 10_000
 
 # Error codes, in the order in which they are tested.
@@ -107,10 +107,14 @@ def reassemble(chunks: DataFrame, keys: list[str], carry: list[str] | None = Non
     and a group never has more rows than its final index says. The rest is in ``errors``.
     """
     carry = carry or []
+    for key in keys:
+        chunks = chunks.filter(F.col(key).isNotNull())
     status = frame_status(chunks, keys)
     good = status.filter(F.col("error").isNull()).select(*keys, F.col("n_rows").alias("n_chunks"))
-    share = status.agg(F.sum("n_rows") / HEAVY_SHARE).scalar()
-    heavy = status.filter((F.col("n_rows") > MAX_CHUNKS) & (F.col("n_rows") > share)).select(*keys)
+    bad = status.filter(F.col("error").isNotNull())
+    # All three read the same columns of the status, so that Spark computes its shuffles once.
+    share = bad.agg(F.sum("n_rows") / HEAVY_SHARE).scalar()
+    heavy = bad.filter((F.col("n_rows") > MAX_CHUNKS) & (F.col("n_rows") > share)).select(*keys)
     light = chunks.join(F.broadcast(heavy), keys, "left_anti")
     return (
         light.join(good, keys)

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sensorloom.functions import frames as px
 from sensorloom.operators.ordering import offset_block, position
 
 
-def last_per_camera(frames: DataFrame, ts: str, window: str, value: str = "data") -> DataFrame:
-    """The last ``value`` of each camera in each tumbling window, by (time, frame number, ssrc).
+def last_per_camera(frames: DataFrame, ts: str, window: str | Column, value: str = "data") -> DataFrame:
+    """The last ``value`` of each camera in each ``window``, by (time, frame number, ssrc).
+
+    A window is the length of tumbling windows, or a column such as the discretized time.
 
     Partial results merge, so that the map side sends one frame per camera and window. Works on a stream
     that has a watermark.
     """
     order = F.struct(ts, "frame_number", "ssrc")
     last = F.max_by(F.struct(F.col(value), F.col("frame_number"), F.col(ts).alias("last_ts")), order)
-    grouped = frames.groupBy(F.window(ts, window), "camera").agg(last.alias("_last"))
+    slot = F.window(ts, window) if isinstance(window, str) else window.alias("window")
+    grouped = frames.groupBy(slot, "camera").agg(last.alias("_last"))
     return grouped.select("window", "camera", F.col(f"_last.{value}").alias(value),
                           F.col("_last.frame_number").alias("frame_number"),
                           F.col("_last.last_ts").alias("last_ts"))
@@ -71,6 +79,28 @@ def compose(rows: DataFrame, width: int, height: int, background: int = 0, chann
     }).drop("tiles")
 
 
+def compose_in_pandas(last: DataFrame, width: int, height: int, background: int = 0,
+                      channels: int = 1) -> DataFrame:
+    """The canvas per window with a grouped-map function; the same as ``compose``.
+
+    A group is one window of ``last_per_camera``: one tile per camera.
+    """
+    schema = StructType([last.schema["window"], *StructType.fromDDL(
+        "canvas_width int, canvas_height int, n_cameras int, data binary")])
+
+    def paint(tiles: pd.DataFrame) -> pd.DataFrame:
+        size = math.ceil(math.sqrt(tiles["camera"].max() + 1))
+        down, across = ((size * (side + px.MARGIN) - px.MARGIN) for side in (height, width))
+        canvas = np.full((down, across, channels), background, np.uint8)
+        for camera, raw in zip(tiles["camera"], tiles["data"]):
+            y, x = (camera // size) * (height + px.MARGIN), (camera % size) * (width + px.MARGIN)
+            canvas[y:y + height, x:x + width] = np.frombuffer(raw, np.uint8).reshape(height, width, channels)
+        return pd.DataFrame({"window": tiles["window"].iloc[:1], "canvas_width": across, "canvas_height": down,
+                             "n_cameras": len(tiles), "data": [canvas.tobytes()]})
+
+    return last.select("window", "camera", "data").groupBy("window").applyInPandas(paint, schema)
+
+
 def number_frames(rows: DataFrame, micros_per_window: int, camera: str = "camera") -> DataFrame:
     """Add ``frame_number``: 0-based, one per non-empty window, in window order, per output camera."""
     index = F.floor(F.unix_micros(F.col("window_start").cast("timestamp")) / micros_per_window)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.functions import codec, udfs
+from sensorloom.functions import codec, times, udfs
 from sensorloom.functions import frames as px
 from sensorloom.operators import grid
 from sensorloom.plans.tables import FRAMES_SQL, TILE, pixel_frames, plain, readings, scaled, scaled_sql, table
@@ -17,6 +17,7 @@ HALF = TILE // 2
 HEAD_FRAMES = 20
 OUT_CAMERA = 1000
 GREY = 0
+BACKGROUND = 128
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,15 @@ def grid_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canvas.select(plain("window_start"), "canvas_width", "canvas_height", F.hex("data").alias("canvas_hex"))
 
 
+def grid_compose_in_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One slot of 1/2 s per grid frame, on a grey background, with a grouped-map function."""
+    frames = _frames(spark, sf_dir).withColumn("data", px.to_bytes(F.col("pixels")))
+    last = grid.last_per_camera(frames, "timestamp", times.discretize(F.col("timestamp"), 2))
+    canvas = grid.compose_in_pandas(last, TILE, TILE, BACKGROUND)
+    return canvas.select(F.col("window").cast("timestamp_ntz").alias("discrete_timestamp"), "canvas_width",
+                         "canvas_height", "n_cameras", F.hex("data").alias("canvas_hex"))
+
+
 def frame_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = px.mean_score(F.col("pixels"))
     return _frames(spark, sf_dir).select("camera", "frame_number", scaled(score, 6).alias("score_e6"))
@@ -134,7 +144,7 @@ def group_frames_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     grid_last_per_camera, table_tumble_grid, grid_layout, grid_sources, grid_frame_number, frame_resize,
-    frame_resize_bytes, grid_compose, frame_mean_score, frame_mean_score_bytes, frame_metadata,
+    frame_resize_bytes, grid_compose, grid_compose_in_pandas, frame_mean_score, frame_mean_score_bytes, frame_metadata,
     frame_head_filter, group_frames_by_number,
 )}
 
@@ -170,6 +180,18 @@ _SCORE_SQL = f"""
     FROM ({FRAMES_SQL})
 """
 
+_CANVAS_SQL = f"""
+    WITH c AS ({_CELLS_SQL}),
+         pixel AS (SELECT window_start, x + i % {TILE} AS px, y + i // {TILE} AS py, p
+                   FROM (SELECT window_start, x, y, unnest(pixels) AS p, unnest(range({TILE * TILE})) AS i FROM c)),
+         canvas AS (SELECT window_start, side, i % side AS px, i // side AS py, i
+                    FROM (SELECT window_start, side, unnest(range(side * side)) AS i
+                          FROM (SELECT DISTINCT window_start, canvas_side AS side FROM c)))
+    SELECT a.window_start, side, i, p
+    FROM canvas a LEFT JOIN pixel b ON a.window_start = b.window_start AND a.px = b.px AND a.py = b.py
+"""
+_CANVAS_HEX = "string_agg(printf('%02X', coalesce(p, {})), '' ORDER BY i)"
+
 ORACLES = {
     "grid_last_per_camera": GRID_SQL,
     "table_tumble_grid": """
@@ -191,17 +213,14 @@ ORACLES = {
     "frame_resize": _RESIZE_SQL,
     "frame_resize_bytes": _RESIZE_SQL,
     "grid_compose": f"""
-        WITH c AS ({_CELLS_SQL}),
-             pixel AS (SELECT window_start, x + i % {TILE} AS px, y + i // {TILE} AS py, p
-                       FROM (SELECT window_start, x, y, unnest(pixels) AS p, unnest(range({TILE * TILE})) AS i
-                             FROM c)),
-             canvas AS (SELECT window_start, side, i % side AS px, i // side AS py, i
-                        FROM (SELECT window_start, side, unnest(range(side * side)) AS i
-                              FROM (SELECT DISTINCT window_start, canvas_side AS side FROM c)))
-        SELECT a.window_start, side AS canvas_width, side AS canvas_height,
-               string_agg(printf('%02X', coalesce(p, 0)), '' ORDER BY i) AS canvas_hex
-        FROM canvas a LEFT JOIN pixel b ON a.window_start = b.window_start AND a.px = b.px AND a.py = b.py
-        GROUP BY a.window_start, side""",
+        SELECT window_start, side AS canvas_width, side AS canvas_height, {_CANVAS_HEX.format(0)} AS canvas_hex
+        FROM ({_CANVAS_SQL}) GROUP BY window_start, side""",
+    "grid_compose_in_pandas": f"""
+        SELECT c.window_start AS discrete_timestamp, side AS canvas_width, side AS canvas_height, n_cameras,
+               canvas_hex
+        FROM (SELECT window_start, side, {_CANVAS_HEX.format(BACKGROUND)} AS canvas_hex
+              FROM ({_CANVAS_SQL}) GROUP BY window_start, side) c
+        JOIN ({GRID_SQL}) g ON c.window_start = g.window_start""",
     "frame_mean_score": _SCORE_SQL,
     "frame_mean_score_bytes": _SCORE_SQL,
     "frame_metadata": f"""

@@ -46,7 +46,7 @@ def log_tail_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     middle = events.select(micros.alias("m")).agg(F.expr("(min(m) + max(m)) div 2"))
     before = events.filter(micros <= middle.scalar())
-    return logs.from_tail(log(events), logs.tail(log(before)) or {}).select("segment_id", "offset", "routing_key")
+    return logs.from_tail(log(events), logs.extent(log(before))).select("segment_id", "offset", "routing_key")
 
 
 def sql_view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

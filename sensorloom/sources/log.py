@@ -72,12 +72,12 @@ def extent(log: DataFrame) -> DataFrame:
     )
 
 
-def positions(cuts: DataFrame, column: str) -> dict[int, int] | None:
-    """A position as a dict, or None if it has more than MAX_FILTER_SEGMENTS segments."""
-    rows = cuts.select("segment_id", column).limit(MAX_FILTER_SEGMENTS + 1).collect()
+def positions(cuts: DataFrame, *columns: str) -> tuple[dict[int, int], ...] | None:
+    """One position (segment -> offset) per column, or None if there are over MAX_FILTER_SEGMENTS segments."""
+    rows = cuts.select("segment_id", *columns).limit(MAX_FILTER_SEGMENTS + 1).collect()
     if len(rows) > MAX_FILTER_SEGMENTS:
         return None
-    return {row["segment_id"]: row[column] for row in rows}
+    return tuple({row["segment_id"]: row[column] for row in rows} for column in columns)
 
 
 def between(log: DataFrame, start: Mapping[int, int] | None, end: Mapping[int, int] | None) -> DataFrame:
@@ -116,23 +116,26 @@ def between(log: DataFrame, start: Mapping[int, int] | None, end: Mapping[int, i
 
 def between_cuts(log: DataFrame, cuts: DataFrame) -> DataFrame:
     """As ``between``, with a table (segment_id, from_offset, to_offset)."""
-    start, end = positions(cuts, "from_offset"), positions(cuts, "to_offset")
-    if start is not None and end is not None:
-        return between(log, start, end)
+    found = positions(cuts, "from_offset", "to_offset")
+    if found is not None:
+        return between(log, *found)
     bounded = log.join(cuts, "segment_id").filter("offset >= from_offset AND offset < to_offset")
     return bounded.select(*log.columns)
 
 
-def tail(log: DataFrame) -> dict[int, int] | None:
-    """The current tail, to read forward from."""
-    return positions(extent(log), "tail_offset")
-
+def from_tail(log: DataFrame, tails: DataFrame) -> DataFrame:
+    """Events at or after the tail, a table (segment_id, tail_offset) such as an earlier ``extent``.
 
-def from_tail(log: DataFrame, tail_offsets: Mapping[int, int]) -> DataFrame:
-    """Events at or after a tail. Segments created later, so not in the tail, are read from their start."""
-    known = list(tail_offsets)
-    if not known:
+    Segments created later, so not in the tail, are read from their start. With few segments this is a
+    filter, which streams can use as well.
+    """
+    found = positions(tails, "tail_offset")
+    if found is None:
+        ahead = log.join(tails.select("segment_id", "tail_offset"), "segment_id", "left")
+        return ahead.filter("tail_offset IS NULL OR offset >= tail_offset").select(*log.columns)
+    (position,) = found
+    if not position:
         return log
-    later = ~F.col("segment_id").isin(known)
-    ahead = [(F.col("segment_id") == s) & (F.col("offset") >= o) for s, o in tail_offsets.items()]
+    later = ~F.col("segment_id").isin(list(position))
+    ahead = [(F.col("segment_id") == s) & (F.col("offset") >= o) for s, o in position.items()]
     return log.filter(reduce(Column.__or__, ahead, later))

@@ -32,8 +32,8 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_per_frame(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder per camera and frame, holding its bytes."""
-    df.write.mode(mode).partitionBy("camera", "frame_number").parquet(path)
+    """One folder with one file per camera and frame, holding its bytes."""
+    df.repartition("camera", "frame_number").write.mode(mode).partitionBy("camera", "frame_number").parquet(path)
 
 
 def _writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataStreamWriter:
