@@ -8,21 +8,22 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructType
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def mean_score_bytes(data: pd.Series) -> pd.Series:
     """Mean byte over 255 of each raw frame."""
     return data.map(lambda raw: np.frombuffer(raw, np.uint8).mean() / 255 if raw else None).astype("float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def pandas_sum(values: pd.Series) -> float:
     """Grouped aggregate. Give it groups of bounded size and add up the results."""
     return float(values.sum())
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def pandas_mean(values: pd.Series) -> float:
     """Grouped or window aggregate over groups of bounded size."""
     return float(values.mean())
@@ -34,7 +35,7 @@ def resize_bytes(width: int, height: int, out_width: int, out_height: int, chann
         raise ValueError("the output size must divide the input size")
     across, down = width // out_width, height // out_height
 
-    @pandas_udf("binary")
+    @pandas_udf(BinaryType())
     def resize(data: pd.Series) -> pd.Series:
         def one(raw: bytes | None) -> bytes | None:
             if raw is None:
@@ -47,7 +48,8 @@ def resize_bytes(width: int, height: int, out_width: int, out_height: int, chann
     return resize
 
 
-@udtf(returnType="chunk_index int, final_chunk_index int, data binary")
+@udtf(returnType=StructType().add("chunk_index", IntegerType()).add("final_chunk_index", IntegerType())
+      .add("data", BinaryType()))
 class SplitPayload:
     """``SELECT * FROM split_payload(data, size)``; jobs use ``operators.chunks.split``."""
 

@@ -1,0 +1,109 @@
+import base64
+import datetime as dt
+import json
+import random
+import struct
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom import schemas
+from sensorloom.functions import codec, times
+
+
+def one(spark, value, ddl, expression):
+    return spark.createDataFrame([(value,)], f"v {ddl}").select(expression(F.col("v")).alias("r")).first()["r"]
+
+
+def test_header_sample(spark):
+    event = bytearray(bytes.fromhex("0100000000020005616263"))
+    row = spark.createDataFrame([(event,)], "event binary").select(
+        *[c.alias(n) for n, c in codec.v1_fields(F.col("event")).items()]).first()
+    assert (row["version"], row["chunk_index"], row["final_chunk_index"], bytes(row["data"])) == (1, 2, 5, b"abc")
+
+
+@pytest.mark.parametrize("index,final", [(0, 0), (1, 300), (32767, 32767), (-1, -32768), (255, 256)])
+def test_header_equals_struct(spark, index, final):
+    frame = spark.createDataFrame([(index, final, bytearray(b"xy"))], "i smallint, f smallint, d binary")
+    event = frame.select(codec.v1_event(F.col("i"), F.col("f"), F.col("d")).alias("event"))
+    assert bytes(event.first()["event"]) == struct.pack("!bxxxhh", 1, index, final) + b"xy"
+    fields = event.select(*[c.alias(n) for n, c in codec.v1_fields(F.col("event")).items()]).first()
+    assert (fields["chunk_index"], fields["final_chunk_index"]) == (index, final)
+
+
+def test_checksum_equals_zlib(spark):
+    rng = random.Random(5)
+    payloads = [rng.randbytes(n) for n in (0, 1, 4, 100, 5000)]
+    rows = [(bytearray(p), bytearray(struct.pack("!I", zlib.crc32(p)) + p)) for p in payloads]
+    frame = spark.createDataFrame(rows, "p binary, s binary")
+    for row in frame.select("s", codec.with_checksum(F.col("p")).alias("mine"),
+                            codec.is_checksum_correct(F.col("s")).alias("ok")).collect():
+        assert row["ok"] and bytes(row["mine"]) == bytes(row["s"])
+    broken = spark.createDataFrame([(bytearray(b"abc"),), (bytearray(b"abcdxyz"),)], "s binary")
+    assert [r[0] for r in broken.select(codec.is_checksum_correct(F.col("s"))).collect()] == [False, False]
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("1555005600001", dt.datetime(2019, 4, 11, 18, 0, 0, 1000)),
+    ("2019-04-11T18:00:00.001Z", dt.datetime(2019, 4, 11, 18, 0, 0, 1000)),
+    ("neither", None),
+])
+def test_event_time(spark, text, expected):
+    assert one(spark, text, "string", lambda v: schemas.event_time(v).cast("timestamp_ntz")) == expected
+
+
+def test_decode_sensor_json(spark):
+    reading = {"timestamp": "2019-04-11T18:00:00.500Z", "event_type": "temp", "device_id": "0001",
+               "temp_celsius": 21.5, "unknown": 1}
+    frame = spark.createDataFrame([(bytearray(json.dumps(reading).encode()), 3), (bytearray(b"not json"), 4)],
+                                  "event binary, offset int")
+    rows = codec.decode_json(frame, schemas.SENSOR).orderBy("offset").collect()
+    assert rows[0].asDict().keys() == {"offset", "timestamp", "event_type", "device_id", "temp_celsius"}
+    assert (rows[0]["device_id"], rows[0]["temp_celsius"]) == ("0001", 21.5)
+    assert rows[1]["device_id"] is None
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        codec.decode_json(frame, schemas.SENSOR, mode="FAILFAST").collect()
+
+
+def test_required_fields(spark):
+    events = [b'{"camera": 1, "data": "YWJj"}', b'{"camera": 1}', b'{"camera": ', b'{"data": "YWJj", "camera": "x"}']
+    frame = spark.createDataFrame([(i, bytearray(e)) for i, e in enumerate(events)], "id int, event binary")
+    checked = codec.decode_required(frame, schemas.GRID_PLAYER, ["camera", "data"])
+    assert {r["id"]: r["decode_error"] for r in checked.collect()} == {
+        0: None, 1: "missing data", 2: "malformed", 3: "malformed"}
+    assert codec.require(checked.filter("id = 0")).count() == 1
+    with pytest.raises(Exception, match="missing data"):
+        codec.require(checked.filter("id < 2")).collect()
+
+
+def test_json_roundtrip_of_binary(spark):
+    frame = spark.createDataFrame([(1, bytearray(b"\x00\xff"))], "camera int, data binary")
+    event = frame.select(codec.encode_json("camera", "data").alias("event"))
+    text = bytes(event.first()["event"]).decode()
+    assert json.loads(text) == {"camera": 1, "data": base64.b64encode(b"\x00\xff").decode()}
+    assert bytes(codec.decode_json(event, schemas.GRID_PLAYER).first()["data"]) == b"\x00\xff"
+
+
+def test_field_names(spark):
+    frame = spark.createDataFrame([(1, 0, 3, 2)], "frameNumber int, chunkIndex int, finalChunkIndex int, camera int")
+    assert schemas.normalize_names(frame).columns == ["frame_number", "chunk_index", "final_chunk_index", "camera"]
+    frame = spark.createDataFrame([(0, 3)], "chunk int, num_chunks int")
+    assert schemas.normalize_names(frame).first().asDict() == {"chunk_index": 0, "final_chunk_index": 2}
+
+
+@pytest.mark.parametrize("fps", [2, 15, 30])
+def test_discretize_exact(spark, fps):
+    rng = random.Random(fps)
+    start = 1704067200_000_000
+    micros = [start + rng.randrange(10**9) for _ in range(200)] + [start + -(-i * 10**6 // fps) for i in range(40)] + [-1, 0]
+    rows = spark.createDataFrame([(m,) for m in micros], "m long").select(
+        "m", F.unix_micros(times.discretize(F.timestamp_micros("m"), fps)).alias("slot")).collect()
+    for row in rows:
+        assert row["slot"] == (row["m"] * fps // 10**6) * 10**6 // fps
+
+
+def test_iso_and_routing_key(spark):
+    text = one(spark, 1554681600999, "long", lambda v: codec.iso_millis(F.timestamp_millis(v)))
+    assert text == "2019-04-08T00:00:00.999Z"
+    assert one(spark, 7, "int", codec.routing_key) == "7"
