@@ -19,7 +19,7 @@ def mean_score_bytes(data: pd.Series) -> pd.Series:
 
 @pandas_udf(DoubleType())
 def pandas_sum(values: pd.Series) -> float:
-    """Grouped aggregate. Give it groups of bounded size and add up the results."""
+    """Grouped aggregate, one Python call per group of bounded size; see ``events.sum_in_batches`` for any size."""
     return float(values.sum())
 
 

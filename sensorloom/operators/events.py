@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +91,21 @@ def window_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFr
     return df.join(means, keys, "left")
 
 
+def sum_in_batches(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """The sum per key with the first step in Arrow: one Python call per batch, not per group.
+
+    Shows how an aggregate that only Python has is kept partial: each batch gives one row per key it holds,
+    and the shuffle moves only those.
+    """
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by(key).aggregate([(value, "sum")])
+            yield from sums.select([key, f"{value}_sum"]).rename_columns([key, value]).to_batches()
+
+    narrow = df.select(key, F.col(value).cast("double").alias(value))
+    return narrow.mapInArrow(partial, narrow.schema).groupBy(key).agg(F.sum(value).alias(name))
+
+
 def ratio_estimate(points: DataFrame, x: Column, y: Column) -> DataFrame:
     """Four times the share of points of the unit square that lie in the quarter circle."""
     inside = (x * x + y * y <= 1).cast("int")

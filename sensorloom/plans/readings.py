@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.functions import times, udfs
+from sensorloom.functions import times
 from sensorloom.operators import events as ev
 from sensorloom.operators import ordering
 from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, scaled, scaled_sql, table
@@ -92,11 +92,10 @@ def agg_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("user_id").agg(F.round(F.sum("value"), 2).alias("sum_value"))
 
 
-def agg_pandas_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a grouped Pandas aggregate, on offset blocks of each key so that groups stay small."""
-    block = ordering.offset_block(F.col("event_id"), 16).alias("block")
-    parts = table(spark, sf_dir, "events").groupBy("user_id", block).agg(udfs.pandas_sum("value").alias("part"))
-    return parts.groupBy("user_id").agg(F.round(F.sum("part"), 2).alias("sum_value"))
+def agg_arrow_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the first step in Arrow batches."""
+    sums = ev.sum_in_batches(table(spark, sf_dir, "events"), "user_id", "value", "sum_value")
+    return sums.select("user_id", F.round("sum_value", 2).alias("sum_value"))
 
 
 def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +108,7 @@ def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     interval_join, discretize_time, sliding_count, session_count, ordered_vector, window_mean,
-    frame_row_number, sensor_residual, agg_sum_per_key, agg_pandas_sum_per_key, ratio_estimate,
+    frame_row_number, sensor_residual, agg_sum_per_key, agg_arrow_sum_per_key, ratio_estimate,
 )}
 
 SLIDING_SQL = """
@@ -166,7 +165,7 @@ ORACLES = {
                {scaled_sql(f'value - ({_EXPECTED_SQL})', 3)} AS residual_e3
         FROM events""",
     "agg_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
-    "agg_pandas_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
+    "agg_arrow_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
     "ratio_estimate": """
         WITH p AS (SELECT ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS x,
                           ('0x' || substr(md5(event_id::VARCHAR), 9, 8))::BIGINT / 4294967296.0::DOUBLE AS y

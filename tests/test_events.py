@@ -75,6 +75,14 @@ def test_ratio_of_random_points(spark):
     assert row["n_points"] == 200_000 and abs(row["estimate"] - 3.1416) < 0.02
 
 
+def test_sum_in_batches_with_hot_and_missing_keys(spark):
+    frame = spark.range(10_000).select(
+        F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.col("id") * 0.5).alias("v"))
+    expected = {r["k"]: r["s"] for r in frame.groupBy("k").agg(F.sum("v").alias("s")).collect()}
+    assert {r["k"]: r["s"] for r in ev.sum_in_batches(frame, "k", "v", "s").collect()} == expected
+
+
 def test_hot_key_sum_in_blocks(spark):
     frame = spark.range(10_000).select((F.col("id") % 3).alias("k"), "id", (F.col("id") * 0.5).alias("v"))
     parts = frame.groupBy("k", ordering.offset_block(F.col("id"), 8).alias("b")).agg(udfs.pandas_sum("v").alias("p"))

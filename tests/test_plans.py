@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry_module
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = {"frame_resize_bytes", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_pandas_sum_per_key"}
+PYTHON = {"frame_resize_bytes", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_arrow_sum_per_key"}
 BATCH = [n for n in entry_module.queries() if not n.startswith("stream_")]
 
 
@@ -23,7 +23,7 @@ def test_plan(spark, name):
     for window in re.findall(r"Window \[([^\n]*)\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", text):
         assert window.startswith("sum(_sum#")
     if name not in PYTHON:
-        assert "Python" not in text and "InPandas" not in text
+        assert not re.search("Python|InPandas|InArrow", text)
 
 
 def test_reassembly_shuffles_payloads_once(spark):
