@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 PNG_SIGNATURE = "89504E470D0A1A0A"
 PNG_COMPONENTS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 MARGIN = 1
+MAX_BLOCK_MEAN_VALUES = 1024
 
 
 def grid_size(count: Column) -> Column:
@@ -49,20 +52,19 @@ def block_mean(pixels: Column, width: int, height: int, out_width: int, out_heig
     """Shrink by whole factors: each output value is the mean of its block, rounded half up."""
     if width % out_width or height % out_height:
         raise ValueError("the output size must divide the input size")
+    if width * height * channels > MAX_BLOCK_MEAN_VALUES:
+        raise ValueError("for larger frames use raw bytes and functions.udfs.resize_bytes")
     across, down = width // out_width, height // out_height
     area = across * down
-    # Offsets of one block's values from its first value: the same for all blocks.
-    offsets = F.array(*[F.lit((y * width + x) * channels) for y in range(down) for x in range(across)])
-
-    def value(i: Column) -> Column:
-        channel = i % channels
-        column = F.floor(i / channels).cast("int") % out_width
-        row = F.floor(i / (channels * out_width)).cast("int")
-        first = (row * (down * width) + column * across) * channels + channel
-        total = F.aggregate(offsets, F.lit(0), lambda acc, o: acc + F.get(pixels, first + o))
-        return F.floor((total * 2 + area) / (2 * area)).cast("int")
-
-    return F.transform(F.sequence(F.lit(0), F.lit(out_width * out_height * channels - 1)), value)
+
+    # One sum per output value, written out: compiled code, where a lambda over the array is interpreted.
+    def value(row: int, column: int, channel: int) -> Column:
+        block = [F.get(pixels, F.lit(((row * down + y) * width + column * across + x) * channels + channel))
+                 for y in range(down) for x in range(across)]
+        return F.floor((reduce(Column.__add__, block) * 2 + area) / (2 * area)).cast("int")
+
+    return F.array(*[value(row, column, channel) for row in range(out_height) for column in range(out_width)
+                     for channel in range(channels)])
 
 
 def compose(tiles: Column, size: Column, width: int, height: int, background: int = 0,

@@ -64,9 +64,9 @@ def parse_v1(df: DataFrame, event: str = "event") -> DataFrame:
 
 
 def frame_status(chunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Per frame: number of chunk rows, final index, and an error code (NULL if whole).
+    """Per frame: number of chunk rows, final index, an error code (NULL if whole), and ``is_waiting``.
 
-    Reads no payload. Copies of a chunk collapse on the map side, in the first grouping.
+    A waiting frame only lacks chunks: it is an error now, but may be whole later. Reads no payload. Copies of a chunk collapse on the map side, in the first grouping.
     """
     per_chunk = chunks.groupBy(*keys, "chunk_index").agg(
         F.count(F.lit(1)).alias("_copies"),
@@ -92,7 +92,10 @@ def frame_status(chunks: DataFrame, keys: list[str]) -> DataFrame:
         .when(~F.coalesce(contiguous, F.lit(False)), SEQUENCE)
         .when(F.col("n_rows") != F.col("_high") + 1, COUNT)
     )
-    return per_frame.select(*keys, "n_rows", F.col("_high").alias("final_chunk_index"), error.alias("error"))
+    waiting = F.col("error").isin(SEQUENCE, COUNT) & (F.col("_distinct") == F.col("n_rows"))
+    return per_frame.withColumn("error", error).select(
+        *keys, "n_rows", F.col("_high").alias("final_chunk_index"), "error",
+        F.coalesce(waiting, F.lit(False)).alias("is_waiting"))
 
 
 def errors(chunks: DataFrame, keys: list[str]) -> DataFrame:

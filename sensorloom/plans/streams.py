@@ -19,7 +19,7 @@ from sensorloom.plans.tables import (
 from sensorloom.plans.tables import readings as as_readings
 from sensorloom.sources import log as logs
 from sensorloom.sources import sinks
-from sensorloom.streaming import run, state
+from sensorloom.streaming import frames, run, state
 from sensorloom.workspace import run_dir
 
 DELAY_SECONDS = 10
@@ -65,12 +65,20 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_chunk_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = payload_chunks(table_stream(spark, sf_dir, "documents"))
-    frames = state.reassemble(parts, FRAME_KEYS, "timestamp", DELAY)
-    found = run.to_table(frames, "stream-reassemble")
+    found = run.to_table(state.reassemble(parts, FRAME_KEYS, "timestamp", DELAY), "stream-reassemble")
     return found.select("doc_id", plain("timestamp"), F.col("n_chunks").cast("bigint").alias("n_chunks"),
                         F.sha1("data").alias("data_sha1"), "error")
 
 
+def stream_chunk_reassemble_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one batch job per micro-batch in place of a Python call per frame."""
+    parts = payload_chunks(table_stream(spark, sf_dir, "documents"))
+    base = run_dir(spark, "stream-reassemble-batches")
+    frames.reassemble_to_table(parts, FRAME_KEYS, "timestamp", base, f"{base}/checkpoint").awaitTermination()
+    found = spark.read.schema(frames.frame_schema(parts, FRAME_KEYS)).parquet(f"{base}/frames")
+    return found.select("doc_id", plain("timestamp"), "n_chunks", F.sha1("data").alias("data_sha1"), "error")
+
+
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = readings.interval_sides(_readings(spark, sf_dir))
     pairs = ev.stream_interval_join(left, right, "device_id", "timestamp1", "timestamp2", readings.INTERVAL)
@@ -92,8 +100,8 @@ def stream_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _last(spark: SparkSession, sf_dir: str, value: str) -> DataFrame:
-    frames = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withWatermark("timestamp", "1 second")
-    return grid.last_per_camera(frames, "timestamp", f"{camera_frames.WINDOW_MILLIS} milliseconds", value)
+    images = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withWatermark("timestamp", "1 second")
+    return grid.last_per_camera(images, "timestamp", f"{camera_frames.WINDOW_MILLIS} milliseconds", value)
 
 
 def stream_grid_last_per_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +116,8 @@ def stream_grid_last_per_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_grid_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shrink each frame, compose one grid frame per window and write it as chunked JSON events."""
     small = px.block_mean(F.col("pixels"), TILE, TILE, camera_frames.HALF, camera_frames.HALF)
-    frames = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withColumn("data", px.to_bytes(small))
-    last = grid.last_per_camera(frames.withWatermark("timestamp", "1 second"), "timestamp",
+    images = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withColumn("data", px.to_bytes(small))
+    last = grid.last_per_camera(images.withWatermark("timestamp", "1 second"), "timestamp",
                                 f"{camera_frames.WINDOW_MILLIS} milliseconds")
     canvas = grid.compose(grid.grid_rows(last), camera_frames.HALF, camera_frames.HALF)
     frame = canvas.select(F.lit(camera_frames.OUT_CAMERA).alias("camera"), "window_start", "timestamp", "data",
@@ -138,8 +146,8 @@ def stream_grid_frame_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score frames and write each micro-batch in frame order."""
-    frames = pixel_frames(table_stream(spark, sf_dir, "embeddings"))
-    scores = frames.select("camera", "frame_number", scaled(px.mean_score(F.col("pixels")), 6).alias("score_e6"))
+    images = pixel_frames(table_stream(spark, sf_dir, "embeddings"))
+    scores = images.select("camera", "frame_number", scaled(px.mean_score(F.col("pixels")), 6).alias("score_e6"))
 
     def prepare(batch: DataFrame) -> DataFrame:
         return batch.orderBy("frame_number", "camera")
@@ -148,7 +156,8 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_json_chunks, stream_chunk_join_inner, stream_dedup, stream_chunk_reassemble, stream_interval_join,
+    stream_json_chunks, stream_chunk_join_inner, stream_dedup, stream_chunk_reassemble,
+    stream_chunk_reassemble_batches, stream_interval_join,
     stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
     stream_grid_frame_number, stream_foreach_batch,
 )}
@@ -180,6 +189,9 @@ ORACLES = {
     "stream_chunk_reassemble": f"""
         SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
         FROM ({payloads.ORACLES['chunk_reassemble']})""",
+    "stream_chunk_reassemble_batches": f"""
+        SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
+        FROM ({payloads.ORACLES['chunk_reassemble']})""",
     "stream_interval_join": readings.INTERVAL_SQL,
     "stream_sliding_count": _closed(readings.SLIDING_SQL, "window_end", f"{DELAY_SECONDS} SECOND", _EVENT_TIMES),
     "stream_session_count": _closed(readings.SESSION_SQL, "session_end", f"{DELAY_SECONDS} SECOND", _EVENT_TIMES),

@@ -36,19 +36,19 @@ def write_per_frame(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.repartition("camera", "frame_number").write.mode(mode).partitionBy("camera", "frame_number").parquet(path)
 
 
-def _writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataStreamWriter:
+def stream_writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataStreamWriter:
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
 def stream_to_console(df: DataFrame, checkpoint: str, interval: str | None = "3 seconds") -> StreamingQuery:
-    return _writer(df, checkpoint, interval).format("console").option("truncate", "false").start()
+    return stream_writer(df, checkpoint, interval).format("console").option("truncate", "false").start()
 
 
 def stream_to_table(df: DataFrame, path: str, checkpoint: str, interval: str | None = None,
                     partition_by: list[str] | None = None) -> StreamingQuery:
     """Exactly-once Parquet; with no interval, process what is there and stop."""
-    writer = _writer(df, checkpoint, interval).format("parquet")
+    writer = stream_writer(df, checkpoint, interval).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start(path)
@@ -60,12 +60,12 @@ def stream_to_batches(df: DataFrame, path: str, checkpoint: str, prepare: Callab
     def write(batch: DataFrame, batch_id: int) -> None:
         prepare(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _writer(df, checkpoint, interval).foreachBatch(write).start()
+    return stream_writer(df, checkpoint, interval).foreachBatch(write).start()
 
 
 def stream_to_rows(df: DataFrame, handler, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Call ``handler`` (a function, or an object with open/process/close) for each row."""
-    return _writer(df, checkpoint, interval).foreach(handler).start()
+    return stream_writer(df, checkpoint, interval).foreach(handler).start()
 
 
 def sample(df: DataFrame, order: list[str], n: int, cached: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from sensorloom.operators import chunks, grid
 from sensorloom.operators import events as ev
 from sensorloom.sources import log as logs
 from sensorloom.sources import sinks
-from sensorloom.streaming import run, state
+from sensorloom.streaming import frames, run, state
 from sensorloom.workspace import STREAMING_CONF, configure
 from tests import fixtures as fx
 
@@ -95,7 +95,22 @@ def reassembly(df):
     return state.reassemble(df, ["camera", "ts"], "ts", "1 second", timeout_millis=10_000)
 
 
-def test_frames_come_as_soon_as_complete_in_any_order(spark, tmp_path):
+def with_state(stream):
+    return stream.run(reassembly)
+
+
+def with_batches(stream):
+    source = logs.scan_stream(stream.spark, f"{stream.folder}/in/*", CHUNK, max_files=1)
+    out = f"{stream.folder}/batches"
+    frames.reassemble_to_table(source, ["camera", "ts"], "ts", out, f"{out}/checkpoint").awaitTermination()
+    return stream.spark.read.schema(frames.frame_schema(source, ["camera", "ts"])).parquet(f"{out}/frames")
+
+
+both = pytest.mark.parametrize("assemble", [with_state, with_batches])
+
+
+@both
+def test_frames_come_as_soon_as_complete_in_any_order(spark, tmp_path, assemble):
     stream = Stream(spark, str(tmp_path), CHUNK)
     payloads = [(c, s, random.Random(c * 10 + s).randbytes(30 + s)) for c in range(3) for s in range(4)]
     rows = chunk_rows(spark, payloads)
@@ -105,10 +120,11 @@ def test_frames_come_as_soon_as_complete_in_any_order(spark, tmp_path):
         stream.add(part)
     expected = {(c, s): (p, None) for c, s, p in payloads}
     # No later event moves the watermark: the frames are there because they are complete.
-    assert frames_of(stream.run(reassembly)) == expected
+    assert frames_of(assemble(stream)) == expected
 
 
-def test_bad_frames_become_error_rows(spark, tmp_path):
+@both
+def test_bad_frames_become_error_rows(spark, tmp_path, assemble):
     stream = Stream(spark, str(tmp_path), CHUNK)
     rows = chunk_rows(spark, [(c, 0, bytes(range(20))) for c in range(7)])
     by_camera = {c: sorted(r for r in rows if r[0] == c) for c in range(7)}
@@ -129,7 +145,7 @@ def test_bad_frames_become_error_rows(spark, tmp_path):
     stream.add(good + bad)
     stream.add(chunk_rows(spark, [(9, 60, b"later")]))
     stream.add(chunk_rows(spark, [(9, 120, b"later")]))
-    found = frames_of(stream.run(reassembly))
+    found = frames_of(assemble(stream))
     assert {k: v for k, v in found.items() if k[0] != 9} == {
         (0, 0): (bytes(range(20)), None), (1, 0): (None, chunks.SEQUENCE), (2, 0): (None, chunks.COUNT),
         (3, 0): (None, chunks.SEQUENCE), (4, 0): (None, chunks.FINAL_MISMATCH), (5, 0): (None, chunks.INDEX_RANGE),
@@ -137,15 +153,16 @@ def test_bad_frames_become_error_rows(spark, tmp_path):
     }
 
 
-def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
+@both
+def test_restart_goes_on_from_the_checkpoint(spark, tmp_path, assemble):
     """Half a frame before the restart and half after it; windows counted once."""
     stream = Stream(spark, str(tmp_path), CHUNK)
     rows = sorted(chunk_rows(spark, [(1, 0, bytes(range(40)))]))
     stream.add(rows[:2])
-    assert frames_of(stream.run(reassembly)) == {}
+    assert frames_of(assemble(stream)) == {}
     stream.add(rows[2:])
-    assert frames_of(stream.run(reassembly)) == {(1, 0): (bytes(range(40)), None)}
-    assert len(stream.run(reassembly).collect()) == 1
+    assert frames_of(assemble(stream)) == {(1, 0): (bytes(range(40)), None)}
+    assert len(assemble(stream).collect()) == 1
 
 
 def test_restart_of_windows_equals_one_run(spark, tmp_path):
