@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from sensorloom.functions import codec
 from sensorloom.operators import chunks
 from sensorloom.plans.tables import (
-    CHUNK_BYTES, CHUNKS_SQL, payload_chunks, payloads, plain, readings, table,
+    CHUNK_BYTES, CHUNKS_SQL, SEGMENTS, payload_chunks, payloads, plain, readings, table,
 )
 from sensorloom.sources import log as logs
 
 FAULTS = 11
 JOIN_CHUNKS = 3
+# Offsets leave room for 32,768 chunks per document: a block has 64 documents.
+LOG_BLOCK_BITS = 21
 
 
 def chunk_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +36,14 @@ def chunk_v1_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_v1_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole payloads from a log of chunked events."""
+    """Whole payloads from a log of chunked events, found by their order in each segment alone."""
     frames = payloads(table(spark, sf_dir, "documents")).select("doc_id", "data")
-    log = chunks.split_v1(frames, codec.V1_SLICE_OVERHEAD + CHUNK_BYTES)
-    whole = logs.scan_payloads(log, ["doc_id"], "chunked_v1")
-    return whole.select("doc_id", "n_chunks", F.sha1("data").alias("data_sha1"))
+    events = chunks.split_v1(frames, codec.V1_SLICE_OVERHEAD + CHUNK_BYTES)
+    index = codec.v1_fields(F.col("event"))["chunk_index"]
+    log = events.select((F.col("doc_id") % SEGMENTS).alias("segment_id"),
+                        (F.col("doc_id") * chunks.MAX_CHUNKS + index).alias("offset"), "event")
+    whole = logs.scan_payloads(log, "chunked_v1", LOG_BLOCK_BITS)
+    return whole.select("segment_id", "offset", "n_chunks", F.sha1("data").alias("data_sha1"))
 
 
 def chunk_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +174,8 @@ ORACLES = {
                sha1(data) AS data_sha1
         FROM ({CHUNKS_SQL}) WHERE octet_length(data) > 0""",
     "chunk_v1_scan": f"""
-        SELECT doc_id, {_N_SQL}::BIGINT AS n_chunks, sha1(encode(text)) AS data_sha1
+        SELECT doc_id % {SEGMENTS} AS segment_id, doc_id * {chunks.MAX_CHUNKS} AS "offset",
+               {_N_SQL}::BIGINT AS n_chunks, sha1(encode(text)) AS data_sha1
         FROM documents WHERE octet_length(encode(text)) > 0""",
     "chunk_reassemble": f"""
         SELECT doc_id, TIMESTAMP '2024-01-01' + to_seconds(doc_id) AS timestamp, {_N_SQL}::BIGINT AS n_chunks,

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sensorloom.functions import codec
-from sensorloom.operators import chunks
+from sensorloom.operators import chunks, ordering
 
 # Positions of up to this many segments become a filter that the file scan can use; more are joined.
 MAX_FILTER_SEGMENTS = 200
@@ -47,16 +46,32 @@ def _one_stream(log: DataFrame, scope: str | None, stream: str | None) -> DataFr
     return log
 
 
-def scan_payloads(log: DataFrame, keys: list[str], encoding: str | None = None) -> DataFrame:
-    """Whole payloads. With ``encoding='chunked_v1'`` chunked events are put together by ``keys``."""
+def chunked_frames(log: DataFrame, bits: int = ordering.BLOCK_BITS) -> DataFrame:
+    """Chunked events with header fields, payload, and ``frame``: the number of first chunks so far.
+
+    Chunked events name no frame: its chunks follow each other in their segment, and index 0 starts the next
+    one. ``bits`` is the size of the offset blocks in which they are counted, see ``ordering``.
+    """
+    parts = chunks.parse_v1(log).drop("version")
+    starts = (F.col("chunk_index") == 0).cast("int")
+    block = [ordering.offset_block(F.col("offset"), bits)]
+    return ordering.prefix_sum(parts, ["segment_id"], ["offset"], block, starts, "frame")
+
+
+def scan_payloads(log: DataFrame, encoding: str | None = None, bits: int = ordering.BLOCK_BITS) -> DataFrame:
+    """Whole payloads as (segment_id, offset, data). With ``encoding='chunked_v1'`` chunked events are put
+    together in log order; ``offset`` is that of the first chunk. For the others see ``payload_errors``."""
     if encoding is None:
-        return log
+        return log.select("segment_id", "offset", F.col("event").alias("data"))
     if encoding != "chunked_v1":
         raise ValueError(f"unknown encoding {encoding!r}")
-    parts = log.withColumns({
-        name: value for name, value in codec.v1_fields(F.col("event")).items() if name != "version"
-    }).drop("event")
-    return chunks.reassemble(parts, keys)
+    whole = chunks.reassemble(chunked_frames(log, bits), ["segment_id", "frame"], carry=["offset"])
+    return whole.select("segment_id", "offset", "n_chunks", "data")
+
+
+def payload_errors(log: DataFrame, bits: int = ordering.BLOCK_BITS) -> DataFrame:
+    """The frames of a log of chunked events that are not whole; frame 0 is what precedes the first start."""
+    return chunks.errors(chunked_frames(log, bits), ["segment_id", "frame"])
 
 
 def register(log: DataFrame, name: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,31 @@ def test_file_per_frame(spark, tmp_path):
 def test_blocks_of_a_log_are_bounded(spark):
     sizes = spark.range(10_000).groupBy(ordering.offset_block(F.col("id"), 10).alias("b")).count().collect()
     assert max(r["count"] for r in sizes) <= 1024
+
+
+def test_payloads_in_log_order(spark):
+    """Chunks have no key: frames are told apart by their order. The first and the last are cut off."""
+    sizes = {0: [5, 16, 17, 40], 1: [1, 33]}
+    rows, expected = [], []
+    for segment, lengths in sizes.items():
+        offset = 100 * segment
+        for n, length in enumerate(lengths):
+            payload = bytes((segment * 50 + n * 7 + i) % 256 for i in range(length))
+            pieces = [payload[i:i + 8] for i in range(0, length, 8)]
+            expected.append((segment, offset, payload))
+            for i, piece in enumerate(pieces):
+                rows.append((segment, offset, bytearray(struct.pack("!bxxxhh", 1, i, len(pieces) - 1) + piece)))
+                offset += 3
+    rows.append((0, 0, bytearray(struct.pack("!bxxxhh", 1, 2, 2) + b"end of an earlier one")))
+    rows.append((1, 900, bytearray(struct.pack("!bxxxhh", 1, 0, 1) + b"not finished")))
+    rows = [(s, o + 1, e) if (s, o) != (0, 0) or e[5] == 0 else (s, o, e) for s, o, e in rows]
+    log = spark.createDataFrame(rows, "segment_id long, offset long, event binary").orderBy(F.rand(2)).repartition(4)
+    for bits in (2, 20):
+        whole = logs.scan_payloads(log, "chunked_v1", bits).collect()
+        assert sorted((r["segment_id"], r["offset"] - 1, bytes(r["data"])) for r in whole) == sorted(expected)
+        errors = logs.payload_errors(log, bits).collect()
+        assert sorted((r["segment_id"], r["frame"], r["error"]) for r in errors) == [
+            (0, 0, "index_not_next"), (1, 3, "count_differs")]
+    assert logs.scan_payloads(log).count() == len(rows)
+    with pytest.raises(ValueError):
+        logs.scan_payloads(log, "other")

@@ -27,11 +27,19 @@ def test_plan(spark, name):
 
 
 def test_reassembly_shuffles_payloads_once(spark):
-    text = plan(spark, "chunk_v1_scan")
-    payload_shuffles = [line for line in text.split("\n") if "listagg" in line]
-    assert payload_shuffles
-    # The status side reads no payload: its first grouping has the key and the index only.
-    assert re.search(r"HashAggregate\(keys=\[doc_id#\d+L, chunk_index#\d+\], functions=\[partial_count\(1\)", text)
+    text = plan(spark, "chunk_reassemble")
+    # The status side has the key, the index and numbers only; the payload is in the last grouping alone.
+    assert re.search(r"HashAggregate\(keys=\[doc_id#\d+L, timestamp#\d+, chunk_index#\d+\], "
+                     r"functions=\[partial_count\(1\), partial_min\(final_chunk_index#\d+\), "
+                     r"partial_max\(final_chunk_index#\d+\)\]", text)
+    assert len(re.findall(r" listagg\(|\[listagg\(", text)) == 1
+
+
+def test_status_of_reassembly_is_computed_once(spark):
+    frames = entry_module.queries()["chunk_reassemble"](spark, SF_DIR)
+    frames.collect()
+    final = frames._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
 
 
 @pytest.mark.parametrize("name,columns", [
