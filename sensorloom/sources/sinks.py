@@ -32,8 +32,13 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_per_frame(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder with one file per camera and frame, holding its bytes."""
-    df.repartition("camera", "frame_number").write.mode(mode).partitionBy("camera", "frame_number").parquet(path)
+    """One folder with one file per camera and frame, holding its bytes.
+
+    The number of files is what takes time, so the partitions are given by number: adaptive execution would
+    join them by size and leave all files to a few tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(tasks, "camera", "frame_number").write.mode(mode).partitionBy("camera", "frame_number").parquet(path)
 
 
 def stream_writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataStreamWriter:

@@ -29,7 +29,14 @@ LARGE_ROW_CONF = {
 
 
 def configure(spark: SparkSession, *groups: dict[str, str]) -> SparkSession:
-    """Apply RUNTIME_CONF and any further groups to a session."""
+    """Apply RUNTIME_CONF and any further groups to a session.
+
+    A local session also gets no more shuffle partitions than it has cores: every state partition of a
+    stream costs files in each micro-batch. On a cluster the number is left as it is set.
+    """
+    context, partitions = spark.sparkContext, "spark.sql.shuffle.partitions"
+    if context.master.startswith("local") and int(spark.conf.get(partitions)) > context.defaultParallelism:
+        spark.conf.set(partitions, str(context.defaultParallelism))
     for group in (RUNTIME_CONF, *groups):
         for name, value in group.items():
             if spark.conf.get(name, None) != value:
