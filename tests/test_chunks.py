@@ -142,7 +142,7 @@ def test_too_many_chunks_fail(spark):
         chunks.split(frames, 1).count()
 
 
-def reference_error(rows):
+def expected_error(rows):
     """The checks one after the other over all chunks in index order."""
     rows = sorted(rows)
     finals = {f for _, f in rows}
@@ -179,7 +179,7 @@ def test_random_faults(spark):
     by_frame = defaultdict(list)
     for frame, i, f, _ in rows:
         by_frame[frame].append((i, f))
-    expected = {frame: reference_error(r) for frame, r in by_frame.items()}
+    expected = {frame: expected_error(r) for frame, r in by_frame.items()}
     got = {r["id"]: r["error"] for r in chunks.errors(parts, ["id"]).collect()}
     assert got == {frame: e for frame, e in expected.items() if e}
     whole = {r["id"]: bytes(r["data"]) for r in chunks.reassemble(parts, ["id"]).collect()}
