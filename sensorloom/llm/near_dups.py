@@ -99,7 +99,7 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import near_dups
+from sensorloom.llm import (
+    chunk_dups, decontaminate, kneser_ney, language, licences, near_dups, packing, secret_scan, token_files, top_k,
+)
 from sensorloom.llm.common import table
 
 
@@ -12,6 +14,117 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.groups(table(spark, sf_dir, "documents"), percent=85)
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    """Where the public tokenizer lies; executors find it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.by_id(table(spark, sf_dir, "embeddings"))
+
+
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return licences.scan(documents, licences.train(documents))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dups.passages(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train(table(spark, sf_dir, "documents"))
+    found = language.identify(language.page_evidence(table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("id", "page_id")
+
+
+def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def _spans_sql(kind: str, pattern: str, value: str = "true") -> str:
+    """Rows (doc_id, start, rank, end, kind) of the matches of one kind that meet ``value``."""
+    quoted, rank = pattern.replace("'", "''"), secret_scan.KINDS.index(kind)
+    return f"""
+    SELECT doc_id, s::BIGINT AS s, {rank} AS r, (s + length(m))::BIGINT AS e, '{kind}' AS kind, m FROM (
+        SELECT doc_id, unnest(m) AS m, unnest(v) AS v, unnest(list_transform(range(1, len(m) + 1),
+            lambda i: list_sum(list_transform(p[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))) AS s
+        FROM (SELECT doc_id, regexp_extract_all(t, '{quoted}') AS m, string_split_regex(t, '{quoted}') AS p,
+                     regexp_extract_all(t, '{quoted}', {2 if kind == "assign" else 0}) AS v FROM texts
+              WHERE regexp_matches(t, '{quoted}')))
+    WHERE {value}"""
+
+
+def _entropy_sql(kind: str, characters: str, window: int, bits: float) -> str:
+    """The windows of each candidate with their character counts, all counted anew."""
+    term = f"({secret_scan._terms(window)})[k + 1]"
+    allowed = "|".join(secret_scan.ALLOWED).replace("'", "''")
+    runs = _spans_sql(kind, f"[{characters}]{{{window},}}", f"NOT regexp_matches(m, '{allowed}')")
+    return f"""
+    SELECT doc_id, min(w) AS s, r, max(w) + {window} AS e, kind FROM (
+        SELECT doc_id, s, r, kind, w, sum({term}) AS total FROM (
+            SELECT doc_id, s, r, kind, w, c, count(*) AS k FROM (
+                SELECT doc_id, s, r, kind, w, unnest(string_split(m[w - s + 1:w - s + {window}], '')) AS c FROM (
+                    SELECT *, unnest(range(s, s + length(m) - {window - 1})) AS w FROM ({runs})))
+            GROUP BY ALL)
+        GROUP BY doc_id, s, r, kind, w)
+    WHERE total <= {secret_scan._limit(window, bits)} GROUP BY doc_id, s, r, kind"""
+
+
+OP6_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT doc_id, s, r, e, kind FROM ({_spans_sql("assign", secret_scan.ASSIGN, "length(v) >= 8")})
+    UNION ALL SELECT doc_id, s, r, e, kind FROM ({_spans_sql("access", secret_scan.ACCESS)})
+    UNION ALL SELECT doc_id, s, r, e, kind FROM ({_spans_sql("hex", secret_scan.HEX)})),
+entropy AS ({" UNION ALL ".join(_entropy_sql(*c) for c in secret_scan.CLASSES)}),
+added AS (SELECT * FROM entropy x WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.s <= x.s AND x.e <= b.e)),
+spans AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM added),
+listed AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r, e) FILTER (is_base) AS base,
+           string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r, e) AS spans
+    FROM spans GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts t LEFT JOIN listed l ON l.doc_id = t.doc_id
+"""
+
+OP2_SQL = """
+WITH able AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM able q JOIN able c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(string_split_regex(
@@ -33,9 +146,20 @@ FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r
 """
 
 QUERIES = {
+    "op1_kneser_ney_quality": op1_kneser_ney_quality,
+    "op2_maxscore_top_k": op2_maxscore_top_k,
+    "op3_licence_scan": op3_licence_scan,
+    "op4_token_files": op4_token_files,
+    "op5_tiling_decontamination": op5_tiling_decontamination,
+    "op6_secret_scan": op6_secret_scan,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_chunk_dedup": op8_chunk_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_length_buckets": op10_length_buckets,
 }
 
 ORACLES = {
+    "op2_maxscore_top_k": OP2_SQL,
+    "op6_secret_scan": OP6_SQL,
     "op7_minhash_near_dedup": OP7_SQL,
 }
