@@ -18,8 +18,8 @@ ORDER = 4  # bytes of an n-gram, at most 7
 START, END = 0xFF, 0xFE  # bytes that UTF-8 does not use
 SYMBOLS = 257  # what may follow: any byte or the end
 BLOCK_BYTES = 16 << 20  # of text in a scoring group
-HELD_OUT = 5  # one trusted text in so many is not trained on, but used for the thresholds
-QUANTILE = 0.99  # of the held-out trusted texts of a language, that are to stay
+HELD_OUT = 3  # one trusted text in so many is not trained on, but used for the thresholds
+QUANTILE = 0.995  # of the held-out trusted texts of a language, that are to stay
 SLICE = 1 << 21  # positions counted at a time
 SCORE_UNIT = 1000  # scores are whole thousandths of a bit per byte
 
@@ -189,7 +189,7 @@ def _is_held_out() -> Column:
 def classify(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
     """doc_id, lang, n_bytes, score, perplexity, threshold, keep for each row of ``documents`` (doc_id, text, lang).
 
-    The model is trained on all trusted texts but each fifth, by a hash of doc_id; ``score`` is the bits per byte
+    The model is trained on two thirds of the trusted texts, by a hash of doc_id; ``score`` is the bits per byte
     in thousandths, ``perplexity`` is per byte. A language's threshold is the score that the given quantile of its
     held-out trusted texts does not exceed; a language without any takes that of all languages. A text
     is kept up to its threshold, or if there is no trusted text at all (threshold null).
@@ -228,21 +228,25 @@ def classify(documents: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     return _judged(scored, trusted, quantile)
 
 
-def _judged(scored: DataFrame, trusted: DataFrame, quantile: float) -> DataFrame:
-    """Thresholds by exact quantiles of the whole-number scores of held-out trusted texts, then the decision."""
-    held = scored.where(_is_held_out()).join(trusted, "doc_id").groupBy("lang", "score").agg(F.count("*").alias("n"))
-    by_score = Window.partitionBy("lang").orderBy("score")
-    both = held.union(held.groupBy(F.lit("*").alias("lang"), "score").agg(F.sum("n"))).where("lang is not null")
-    limits = (
-        both.withColumn("below", F.sum("n").over(by_score))
+def _limits(held: DataFrame, quantile: float) -> DataFrame:
+    """(lang, threshold): the smallest score that the quantile of the language's rows does not exceed, exactly."""
+    counts = held.groupBy("lang", "score").agg(F.count("*").alias("n"))
+    return (
+        counts.withColumn("below", F.sum("n").over(Window.partitionBy("lang").orderBy("score")))
         .withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
         .where(F.col("below") >= quantile * F.col("total"))
-        .groupBy("lang").agg(F.min("score").alias("limit"))
+        .groupBy("lang").agg(F.min("score").alias("threshold"))
+    )
+
+
+def _judged(scored: DataFrame, trusted: DataFrame, quantile: float) -> DataFrame:
+    """Thresholds from the whole-number scores of held-out trusted texts, then the decision."""
+    held = scored.where(_is_held_out()).join(trusted, "doc_id").select("lang", "score")
+    whole = _limits(held.select(F.lit("all").alias("lang"), "score"), quantile).first()
+    limit = F.lit(whole["threshold"] if whole else None).cast("bigint")
+    return (
+        scored.join(_limits(held.where("lang is not null"), quantile), "lang", "left")
+        .withColumn("threshold", F.coalesce("threshold", limit))
+        .select("doc_id", "lang", "n_bytes", "score", F.pow(F.lit(2.0), F.col("score") / SCORE_UNIT).alias("perplexity"),
+                "threshold", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("keep"))
     )
-    whole = limits.where("lang = '*'").first()
-    return scored.join(limits, "lang", "left").withColumn(
-        "threshold", F.coalesce("limit", F.lit(whole["limit"] if whole else None).cast("bigint"))
-    ).select(
-        "doc_id", "lang", "n_bytes", "score",
-        F.pow(F.lit(2.0), F.col("score") / SCORE_UNIT).alias("perplexity"), "threshold",
-        F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("keep"))

@@ -7,13 +7,17 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm.common import staged
+
 UNKNOWN = "unknown"
 NEGATIVES = 4000  # corpus paragraphs to train on, on average, chosen by a hash
 COMMON = 0.01  # share of those paragraphs from which a word is too common to be a feature by itself
@@ -108,6 +112,12 @@ def grams(tokens: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
     return F.array_distinct(F.concat(*[of(n) for n in sizes]))
 
 
+def _with_grams(rows: DataFrame) -> DataFrame:
+    """``rows`` with tokens, trigrams and grams of ``text``, each computed once."""
+    return rows.withColumn("tokens", words(F.col("text"))).withColumn(
+        "trigrams", grams(F.col("tokens"), (3,))).withColumn("grams", grams(F.col("tokens")))
+
+
 def _rows(spark: SparkSession, values: list[dict], schema: str) -> DataFrame:
     """A small table of the program's own values."""
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")))
@@ -143,23 +153,24 @@ def train(documents: DataFrame, negatives: int = NEGATIVES) -> Model:
     share = F.lit(min(1.0, negatives / 4 / max(1, n_texts)) * 1e6)
     corpus = paragraphs(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)).select("text")
     corpus = corpus.where(F.pmod(F.xxhash64("text"), F.lit(4)) == 0)
-    own = _rows(spark, _examples(), "text string, family string")
-    tokens = sorted({w for row in own.where(F.col("family") != UNKNOWN).select(F.explode(words(F.col("text"))).alias("w"))
-                     .distinct().collect() for w in row})
-    counted = corpus.select(words(F.col("text")).alias("t")).agg(
-        F.count("*").alias("n"), *[F.count(F.when(F.array_contains("t", t), 1)).alias(f"w{i}") for i, t in enumerate(tokens)]
-    ).first()
-    rare = {t for i, t in enumerate(tokens) if counted[i + 1] <= COMMON * counted["n"]}
-    listed = {row["g"] for row in own.where(F.col("family") != UNKNOWN).select(
-        F.explode(grams(words(F.col("text")))).alias("g")).distinct().collect()}
+    templates = [" ".join(re.findall(WORD, t.lower())) for sentences in TEMPLATES.values() for t in sentences]
+    tokens = {w for t in templates for w in t.split(" ")}
+    listed = {" ".join(t.split(" ")[i:i + n]) for t in templates for n in (1, 2, 3) for i in range(t.count(" ") + 2 - n)}
+    seen = corpus.select(F.explode(F.array_distinct(words(F.col("text")))).alias("w")).where(F.col("w").isin(sorted(tokens)))
+    common = seen.groupBy("w").count().where(F.col("count") > COMMON * corpus.count())
+    rare = tokens - {row["w"] for row in common.collect()}
     vocabulary = sorted(g for g in listed if rare.intersection(g.split(" ")))
+    own = _rows(spark, _examples(), "text string, family string")
     families = [UNKNOWN, *TEMPLATES]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
-    similar = F.array_max(F.array(*_similarities(grams(words(F.col("text")), (3,)))))
-    rows = own.union(corpus.where(F.coalesce(similar, F.lit(0.0)) < CONFIRM).withColumn("family", F.lit(UNKNOWN)))
-    rows = rows.select("text", label.alias("label"), grams(words(F.col("text"))).alias("grams"))
+    every = tuple(t for sentences in TEMPLATES.values() for t in sentences)
+    rows = _with_grams(own.union(corpus.withColumn("family", F.lit(UNKNOWN))))
+    # Staged ahead of the filter, which would else be pushed into the expressions that it reads.
+    rows = staged(rows.select("text", "family", label.alias("label"), _similarity(F.col("trigrams"), every).alias("similar"),
+                              F.array_intersect("grams", F.array(*[F.lit(g) for g in vocabulary])).alias("grams")), "licences")
+    rows = rows.where((F.col("family") != UNKNOWN) | (F.col("similar") < CONFIRM)).select("text", "label", "grams")
     featured = CountVectorizerModel.from_vocabulary(
-        spark_vocabulary(vocabulary), inputCol="grams", outputCol="features").setBinary(True).transform(rows)
+        vocabulary, inputCol="grams", outputCol="features").setBinary(True).transform(rows)
     held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
     fitted = LogisticRegression(family="multinomial", regParam=1e-3, elasticNetParam=0.0, maxIter=60).fit(featured.where(~held))
     matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
@@ -169,25 +180,23 @@ def train(documents: DataFrame, negatives: int = NEGATIVES) -> Model:
     right = (F.get(F.array(*[F.lit(f) for f in families]), F.col("label").cast("int")) == F.col("family")).cast("double")
     margins = scored.select(F.array(F.col("margin")).alias("margins"), right.alias("label"))
     if margins.select("label").distinct().count() == 2:
-        from pyspark.ml.functions import array_to_vector
-
         platt = LogisticRegression(regParam=1e-2).fit(margins.select(array_to_vector("margins").alias("features"), "label"))
         model.slope, model.offset = max(float(platt.coefficients[0]), 0.0), float(platt.intercept)
     return model
 
 
-def spark_vocabulary(vocabulary: list[str]) -> list[str]:
-    return vocabulary or [UNKNOWN]
+def _trigrams(sentence: str) -> list[str]:
+    """``grams`` of a template, as a constant."""
+    tokens = re.findall(WORD, sentence.lower())
+    return sorted({" ".join(tokens[i:i + 3]) for i in range(len(tokens) - 2)})
 
 
-def _similarities(trigrams: Column) -> list[Column]:
-    """For each template the share of its word trigrams in the paragraph."""
-    out = []
-    for sentences in TEMPLATES.values():
-        for sentence in sentences:
-            own = grams(words(F.lit(sentence)), (3,))
-            out.append(F.size(F.array_intersect(own, trigrams)) / F.greatest(F.size(own), F.lit(1)))
-    return out
+def _similarity(trigrams: Column, sentences: tuple[str, ...]) -> Column:
+    """The greatest share of a template's word trigrams in the paragraph."""
+    shares = []
+    for own in map(_trigrams, sentences):
+        shares.append(F.size(F.array_intersect(F.array(*[F.lit(g) for g in own]), trigrams)) / max(1, len(own)))
+    return F.array_max(F.array(*shares))
 
 
 def _predicted(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
@@ -221,15 +230,10 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
     pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(w.replace('.', '[.]') for w in model.words) or '(?!)'})(?![a-z0-9])"
     able = paragraphs(documents.select("doc_id", "text").where(F.col("text").rlike(pattern))).where(
         F.col("text").rlike(pattern)).dropDuplicates()
-    rows = able.select("doc_id", "paragraph", "text", grams(words(F.col("text"))).alias("grams"))
-    keys = ["doc_id", "paragraph", "text"]
-    found = _predicted(rows, model, keys)
-    trigrams = grams(words(F.col("text")), (3,))
-    scores, at, similarity = _similarities(trigrams), 0, F.lit(0.0)
+    found = _predicted(_with_grams(able), model, ["doc_id", "paragraph", "trigrams"])
+    similarity = F.lit(0.0)
     for family, sentences in TEMPLATES.items():
-        own = F.greatest(F.lit(0.0), *scores[at:at + len(sentences)])
-        similarity = F.when(F.col("family") == family, own).otherwise(similarity)
-        at += len(sentences)
+        similarity = F.when(F.col("family") == family, _similarity(F.col("trigrams"), sentences)).otherwise(similarity)
     probability = 1 / (1 + F.exp(-(model.slope * F.col("margin") + model.offset)))
     sure = (F.col("probability") >= 0.5) & (F.col("similarity") >= CONFIRM)
     return (
