@@ -18,14 +18,15 @@ from sensorloom.workspace import run_dir
 END_ID = 2
 SEQUENCE = 2048
 ROWS = 64  # sequences of a batch: 512 KB of ids
-FILE_TEXT_BYTES = 64 << 20
-PAD, TOKEN, LAST = 0, 1, 2  # mask values: filling, a token, the end id of a document
+FILE_TEXT_BYTES = 256 << 20
 
 MANIFEST = "part int, file string, documents string, n_documents bigint, n_tokens bigint"
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def _schema(length: int, vocabulary: int) -> pa.Schema:
+    """Ids in the narrowest type that holds the vocabulary; masks of one bit for each id, set where it is no pad."""
+    kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+    return pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length // 8))])
 
 
 def _place(path: str) -> tuple[fs.FileSystem, str]:
@@ -35,36 +36,33 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 class _SequenceWriter:
     """Cuts a stream of ids into sequences and writes them in batches of ROWS; the last is filled up with pads."""
 
-    def __init__(self, sink, length: int) -> None:
-        self.length, self.schema = length, _schema(length)
+    def __init__(self, sink, length: int, vocabulary: int) -> None:
+        self.length, self.schema = length, _schema(length, vocabulary)
+        self.kind = self.schema.field("ids").type.value_type.to_pandas_dtype()
         self.writer = pa.ipc.new_file(sink, self.schema)
-        self.ids, self.mask, self.waiting = [], [], 0
+        self.ids, self.waiting = [], 0
 
     def add(self, ids: np.ndarray) -> None:
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[-1] = LAST
-        self.ids.append(ids)
-        self.mask.append(mask)
+        self.ids.append(ids.astype(self.kind))
         self.waiting += len(ids)
         if self.waiting >= self.length * ROWS:
-            self._write(self.waiting // (self.length * ROWS) * ROWS)
-
-    def _write(self, rows: int) -> None:
-        ids, mask, cut = np.concatenate(self.ids), np.concatenate(self.mask), rows * self.length
-        for at in range(0, cut, self.length * ROWS):
-            part = slice(at, min(cut, at + self.length * ROWS))
+            self._write(self.waiting // (self.length * ROWS) * self.length * ROWS)
+
+    def _write(self, n: int) -> None:
+        ids, width = np.concatenate(self.ids), self.length * ROWS
+        self.ids, self.waiting = [ids[n:]], self.waiting - min(n, len(ids))
+        for at in range(0, n, width):
+            part = ids[at:min(at + width, n)]
+            fill = -len(part) % self.length
+            mask = np.packbits(np.concatenate([np.ones(len(part), np.uint8), np.zeros(fill, np.uint8)]), bitorder="little")
+            part = np.concatenate([part, np.zeros(fill, self.kind)])
             self.writer.write_batch(pa.record_batch([
-                pa.FixedSizeListArray.from_arrays(pa.array(ids[part]), self.length),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), self.length)], schema=self.schema))
-        self.ids, self.mask, self.waiting = [ids[cut:]], [mask[cut:]], self.waiting - cut
+                pa.FixedSizeListArray.from_arrays(pa.array(part), self.length),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length // 8)], schema=self.schema))
 
     def close(self) -> None:
         if self.waiting:
-            fill = -self.waiting % self.length
-            self.ids.append(np.zeros(fill, np.uint32))
-            self.mask.append(np.full(fill, PAD, np.uint8))
-            self.waiting += fill
-            self._write(self.waiting // self.length)
+            self._write(self.waiting)
         self.writer.close()
 
 
@@ -73,7 +71,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, length: int = SEQUENC
 
     Documents stand in ascending doc_id order (null first, ties by text hash and text), each followed by
     ``end_id``; a null text is an empty one, which leaves the end id alone. A file holds a range of doc_ids as
-    one stream of ids, cut into sequences of ``length`` with a mask that marks pads and document ends; beside it
+    one stream of ids, cut into sequences of ``length`` (a multiple of 8) with masks that mark pads; beside it
     lies an Arrow file of (doc_id, start, n_tokens) with the documents' places in the stream. An empty table has
     no file. Tasks write under names of their own and only the names of those that ended are in the manifest,
     so a task that is run again leaves no trace in what is read. ``path`` must be one that pyarrow reaches too.
@@ -96,7 +94,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, length: int = SEQUENC
             for doc_id, encoded in zip(batch.column("doc_id"), tokens.encode_column(batch.column("text"), tokenizer)):
                 if writer is None:
                     sink = system.open_output_stream(f"{folder}/{part:06}-{stem}.arrow")
-                    writer = _SequenceWriter(sink, length)
+                    writer = _SequenceWriter(sink, length, tokens.encoder(tokenizer).tokenizer.get_vocab_size())
                 stream = np.append(np.frombuffer(encoded, "<u4"), np.uint32(end_id))
                 writer.add(stream)
                 ids.append(doc_id.as_py())
@@ -141,13 +139,13 @@ class TokenFile:
         n = self.file.num_record_batches
         return 0 if n == 0 else (n - 1) * ROWS + self.file.get_batch(n - 1).num_rows
 
-    def _row(self, column: str, i: int) -> np.ndarray:
-        batch = self.file.get_batch(i // ROWS).column(column)
-        return batch.flatten().to_numpy()[i % ROWS * self.length:(i % ROWS + 1) * self.length]
+    def _row(self, column: str, i: int, width: int) -> np.ndarray:
+        values = self.file.get_batch(i // ROWS).column(column).flatten().to_numpy()
+        return values[i % ROWS * width:(i % ROWS + 1) * width]
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``."""
-        return self._row("ids", i), self._row("mask", i)
+        """Ids and mask of sequence ``i``; the mask has 8 ids to a byte, the first lowest."""
+        return self._row("ids", i, self.length), self._row("mask", i, self.length // 8)
 
     def stream(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from position ``start`` of the file's stream, batch by batch."""
@@ -169,7 +167,7 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for start, n in zip(starts, sizes, strict=True):
                         crc = 0
                         for piece in ids.stream(int(start), int(n)):
-                            crc = zlib.crc32(piece.astype("<u4", copy=False), crc)
+                            crc = zlib.crc32(piece.astype("<u4"), crc)
                         sums.append(crc)
                     yield pa.RecordBatch.from_arrays(
                         [docs.column("doc_id"), pa.array(starts + row["base"]), docs.column("n_tokens"),

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-CACHED_UNITS = 400_000  # per Python worker, about 100 MB
-CACHED_LENGTH = 64  # longer units are encoded each time
+CACHED_WORDS = 300_000  # of each of two generations, per Python worker: about 130 MB
+CACHED_LENGTH = 64  # longer words are encoded each time
+_UNSAFE = re.compile(r" (?:\s|$)")
 
 
 class Encoder:
-    """Encodes a text in units that start at a space, and remembers the ids of units.
+    """Encodes a text word by word, and remembers the ids of words.
 
-    The byte-level pre-tokenizer starts a new piece at a single space that a non-space follows, whatever stands
-    before; a text is cut there, so that ids are those of the whole text. Texts with two spaces in a row, which
-    could be one piece, are encoded as they are. ``Encoder.check`` refuses tokenizers that work otherwise.
+    The byte-level pre-tokenizer starts a new piece at a space that a non-space follows, whatever stands before.
+    Texts are cut at such spaces, so that the ids are those of the whole text; a text with any other space is
+    encoded as it is. Words not seen lately are encoded together, as one text, whose ids fall into words at each
+    token that starts with a space. Tokenizers that work otherwise get whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -25,42 +28,60 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = self.check(self.tokenizer)
-        self.ids: dict[str, bytes] = {}
-
-    @staticmethod
-    def check(tokenizer) -> bool:
-        kind = repr(tokenizer.pre_tokenizer)
-        return kind.startswith("ByteLevel") and "add_prefix_space=False" in kind and "use_regex=True" in kind \
-            and tokenizer.normalizer is None
+        kind = repr(self.tokenizer.pre_tokenizer)
+        self.cuts = (kind.startswith("ByteLevel") and "add_prefix_space=False" in kind and "use_regex=True" in kind
+                     and self.tokenizer.normalizer is None)
+        self.starts_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.starts_word[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a space before it."""
+        found = []
+        for at in range(0, len(words), 20_000):
+            part = words[at:at + 20_000]
+            ids = np.frombuffer(self._plain([" " + " ".join(part)])[0], "<u4")
+            bounds = np.append(np.flatnonzero(self.starts_word[ids]), len(ids)) * 4
+            whole = ids.tobytes()
+            assert len(bounds) == len(part) + 1
+            found += [whole[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.cuts:
-            return self._plain(texts)
-        if len(self.ids) > CACHED_UNITS:
-            self.ids.clear()
-        ids, units = self.ids, []
-        for text in texts:
-            if "  " in text or " " not in text:
-                units.append(None)
-                continue
-            head, *tail = text.split(" ")
-            units.append([head, *[" " + t for t in tail]] if head else [" " + t for t in tail])
-        missing = {u for of in units if of for u in of if u not in ids}
-        short = [u for u in missing if len(u) <= CACHED_LENGTH]
-        ids.update(zip(short, self._plain(short), strict=True))
-        rare = [u for u in missing if len(u) > CACHED_LENGTH]
-        long = dict(zip(rare, self._plain(rare), strict=True))
-        whole = iter(self._plain([t for t, of in zip(texts, units, strict=True) if of is None]))
-        return [
-            next(whole) if of is None else b"".join([ids[u] if u in ids else long[u] for u in of])
-            for of in units
-        ]
+        out: list = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if not self.cuts or " " not in t or _UNSAFE.search(t)]
+        for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        rest = [i for i in range(len(texts)) if out[i] is None]
+        heads = self._plain([texts[i][:texts[i].index(" ")] for i in rest])
+        words, found = [], []
+        missing: set[str] = set()
+        for i in rest:
+            own = texts[i].split(" ")
+            own[0] = ""
+            ids = list(map(self.young.get, own))
+            lacking = [k for k, x in enumerate(ids) if x is None]
+            missing.update([own[k] for k in lacking])
+            words.append([(k, own[k]) for k in lacking])
+            found.append(ids)
+        missing.discard("")
+        kept = {w: self.old[w] for w in missing if w in self.old}
+        new = [w for w in missing if w not in kept]
+        known = dict(zip(new, self._words(new), strict=True)) | kept
+        for i, head, lacking, ids in zip(rest, heads, words, found, strict=True):
+            for k, word in lacking:
+                ids[k] = known[word] if k else head
+            out[i] = b"".join(ids)
+        if len(self.young) > CACHED_WORDS:
+            self.young, self.old = {}, self.young
+        self.young.update((w, x) for w, x in known.items() if len(w) <= CACHED_LENGTH)
+        return out
 
 
 @lru_cache(maxsize=2)
