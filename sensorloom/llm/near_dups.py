@@ -58,7 +58,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     sketch = np.full((len(sets), BINS), full)
     flat = sketch.reshape(-1)
     active = np.arange(len(sets))
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     owners = np.repeat(active, sizes)
     low = np.uint64((1 << VALUE_BITS) - 1)
