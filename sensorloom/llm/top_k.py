@@ -89,7 +89,7 @@ class _Shard:
             return None
         lead = terms[:16]
         gain = query[lead] @ self.columns[lead] if len(lead) else np.zeros(len(self.ids), np.int64)
-        gain = np.where(own, gain, np.iinfo(np.int64).min)
+        gain = np.where(own, gain, -np.iinfo(np.int64).max)
         rows = np.argpartition(-gain, k - 1)[:k]
         return int((self.matrix[rows] @ query).min())
 
