@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm import common
-from sensorloom.llm.common import staged
+from sensorloom.llm.common import free_name, staged
 
 SEED = 5  # words of a seed, and of the shortest tile
 COVERAGE = 0.5  # of an item's words in tiles, from which a document is contaminated
@@ -188,5 +188,6 @@ def _leaking_texts(documents: DataFrame, benchmark: DataFrame, coverage: float)
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The documents that are in no pair of ``leaks``; rows with a null text stay. Columns stay as they are."""
-    gone = _leaking_texts(documents, benchmark, coverage).select(F.col("text_key").alias("_leaking")).distinct()
-    return documents.join(gone, F.md5("text") == F.col("_leaking"), "left_anti")
+    leaking = free_name(documents, "leaking")
+    gone = _leaking_texts(documents, benchmark, coverage).select(F.col("text_key").alias(leaking)).distinct()
+    return documents.join(gone, F.md5("text") == F.col(leaking), "left_anti")

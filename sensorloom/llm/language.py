@@ -193,7 +193,7 @@ def keep_identified(documents: DataFrame) -> DataFrame:
     rows = documents.select(
         key.alias("id"), "text", F.col("lang").alias("declared"), F.lit(None).cast("string").alias("suffix"),
         F.lit(None).cast("string").alias("domain"), F.col("source").alias("host"))
-    gone = identify(rows, model).where("not keep").select("id.*").distinct().toDF("_doc", "_tie")
-    at = free_name(documents, "tie")
-    return documents.withColumn(at, F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col(at) == F.col("_tie")), "left_anti").select(*documents.columns)
+    doc, tie, at = (free_name(documents, name) for name in ("rejected", "rejected_tie", "tie"))
+    gone = identify(rows, model).where("not keep").select("id.*").distinct().toDF(doc, tie)
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(at) == F.col(tie))
+    return documents.withColumn(at, F.xxhash64("text")).join(gone, same, "left_anti").select(*documents.columns)

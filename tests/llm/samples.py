@@ -1,0 +1,38 @@
+"""Small tables that hold the awkward cases: nulls, empty and very long texts, ties, repeated rows, clashing columns."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, tie string, secrets string, node int, digest string"
+WORDS = ("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi "
+         "chi psi omega north south east west river stone cloud forest table window garden letter").split()
+
+
+def sentence(seed: int, n: int) -> str:
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) for _ in range(n))
+
+
+def row(doc_id: int | None, text: str | None, lang: str | None = "en", source: str | None = "s") -> tuple:
+    return (doc_id, text, lang, source, len(text) if text is not None else None, "x", "y", 1, "z")
+
+
+def frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame([row(*r) for r in rows], SCHEMA)
+
+
+def odd_rows() -> list[tuple]:
+    long = sentence(99, 30_000)
+    return [
+        (1, sentence(1, 60)), (2, sentence(1, 60)), (2, sentence(1, 60)), (3, None), (4, ""), (5, "   \n\t "),
+        (6, "one"), (7, "one"), (None, sentence(1, 60)), (None, None), (8, long), (9, long + " end"),
+        (10, sentence(2, 50), None, None), (11, "…—ß é 漢字 \U0001f600"), (12, "a" * 5000), (-5, sentence(3, 40)),
+        (50, "x y z w"), (100, "X Y z w"),
+    ]
+
+
+def rows_of(df: DataFrame) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)

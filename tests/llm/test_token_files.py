@@ -1,0 +1,75 @@
+import os
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sensorloom.llm import token_files, tokens
+from sensorloom.workspace import run_dir
+from tests.llm.samples import frame, odd_rows, rows_of, sentence
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+EDGES = ["", " ", "a", "a b", "a  b", "a \n b", "foo\n \nbar x", "x <|endoftext|> y", "a b ", " lead word", "don't 's 've x",
+         "\n a", "tab\tand space", "x  y", "###!! ### a", "é漢 字　  z", "end \n"]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_words_give_the_ids_of_whole_texts(tokenizer):
+    texts = EDGES + [sentence(i, 50) for i in range(20)] + [sentence(1, 50)]
+    encoder = tokens.Encoder(PATH)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    assert encoder.encode(texts) == want  # from the cache
+
+
+def test_round_trip(spark, tokenizer):
+    rows = odd_rows() + [(2000 + i, t) for i, t in enumerate(EDGES)]
+    found = rows_of(token_files.round_trip(frame(spark, rows), PATH))
+    assert len(found) == len(rows)
+    ids = {}
+    for doc_id, text, *_ in rows:
+        stream = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        ids.setdefault(doc_id, []).append((len(stream), zlib.crc32(stream.tobytes())))
+    ordered = sorted(found, key=lambda r: r[1])
+    at = 0
+    for doc_id, start, n, crc in ordered:
+        assert start == at
+        ids[doc_id].remove((n, crc))
+        at += n
+    assert not any(ids.values())
+    assert [r[0] for r in ordered] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i))
+
+
+def test_random_access(spark, tokenizer):
+    rows = [(i, sentence(i, 200)) for i in range(40)]
+    files = token_files.write(frame(spark, rows), run_dir(spark, "tokens"), PATH, length=64).collect()
+    for file in files:
+        opened = token_files.TokenFile(file["file"])
+        ids = np.concatenate([opened.sequence(i)[0] for i in range(len(opened))])
+        mask = np.concatenate([np.unpackbits(opened.sequence(i)[1], bitorder="little") for i in range(len(opened))])
+        assert len(ids) == len(mask) == 64 * len(opened)
+        assert mask.sum() == file["n_tokens"] and mask[:file["n_tokens"]].all()
+        assert (ids[file["n_tokens"]:] == 0).all() and ids.dtype == np.uint16
+        assert (ids[:file["n_tokens"]] == np.concatenate(list(opened.stream(0, file["n_tokens"])))).all()
+        assert not opened.sequence(0)[0].flags.owndata
+    assert sum(f["n_tokens"] for f in files) == sum(
+        len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
+def test_a_task_that_ran_twice_leaves_no_trace(spark):
+    path = run_dir(spark, "tokens")
+    os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    with open(f"{path.removeprefix('file:')}/000000-lost.arrow", "wb") as lost:
+        lost.write(b"half a file")
+    files = token_files.write(frame(spark, [(1, "a b")]), path, PATH)
+    assert token_files.read_documents(files).count() == 1
+
+
+def test_empty_table(spark):
+    assert token_files.round_trip(frame(spark, []), PATH).count() == 0
