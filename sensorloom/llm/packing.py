@@ -84,7 +84,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, buckets: in
     histogram = {row["n_tokens"]: row["count"] for row in counted}
     bounds = boundaries(histogram, buckets)
     bucket, shards = F.lit(None).cast("bigint"), F.lit(1)
-    for low, bound in reversed(list(zip([0, *bounds[:-1]], bounds, strict=True))):
+    for low, bound in reversed(list(zip([0, *bounds], bounds, strict=False))):
         rows = sum(n for size, n in histogram.items() if low < size <= bound)
         of_batch = max(1, batch_tokens // bound)
         bucket = F.when(F.col("n_tokens") <= bound, F.lit(bound).cast("bigint")).otherwise(bucket)

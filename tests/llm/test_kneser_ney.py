@@ -45,7 +45,8 @@ def labels(spark, rows):
 
 @pytest.fixture(scope="module")
 def case(spark):
-    rows = [(i, sentence(i, 12)) for i in range(24)] + [(100 + i, f"###{i}!!{'xyz' * i}") for i in range(4)] + odd_rows()[3:9]
+    rows = [(i, sentence(i, 12)) for i in range(24)] + [(100 + i, f"###{i}!!{'xyz' * i}") for i in range(4)]
+    rows += [(5000 + i, text) for i, text, *_ in odd_rows()[3:8]]
     marks = [(i, 1, 0) for i in range(24)] + [(0, None, 0), (1, 1, 1), (2, 0, 0), (100, 0, 0), (None, 1, 0), (999, 1, 0)]
     documents = frame(spark, rows)
     found = kneser_ney.classify(documents, labels(spark, marks), order=ORDER).collect()
