@@ -113,7 +113,9 @@ def is_hash_valid(data: Column, expected: Column) -> Column:
 
 
 def iso_millis(timestamp: Column) -> Column:
-    return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """UTC text, whatever the time zone of the session."""
+    utc = F.to_utc_timestamp(timestamp, F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
 def routing_key(camera: Column) -> Column:

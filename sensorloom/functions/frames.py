@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,7 +9,6 @@ from pyspark.sql import functions as F
 PNG_SIGNATURE = "89504E470D0A1A0A"
 PNG_COMPONENTS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 MARGIN = 1
-MAX_BLOCK_MEAN_VALUES = 1024
 
 
 def grid_size(count: Column) -> Column:
@@ -47,26 +44,6 @@ def to_pixels(vector: Column) -> Column:
     return F.transform(vector, lambda v: F.round((v.cast("double") + 1) * 127.5).cast("int"))
 
 
-def block_mean(pixels: Column, width: int, height: int, out_width: int, out_height: int,
-               channels: int = 1) -> Column:
-    """Shrink by whole factors: each output value is the mean of its block, rounded half up."""
-    if width % out_width or height % out_height:
-        raise ValueError("the output size must divide the input size")
-    if width * height * channels > MAX_BLOCK_MEAN_VALUES:
-        raise ValueError("for larger frames use raw bytes and functions.udfs.resize_bytes")
-    across, down = width // out_width, height // out_height
-    area = across * down
-
-    # One sum per output value, written out: compiled code, where a lambda over the array is interpreted.
-    def value(row: int, column: int, channel: int) -> Column:
-        block = [F.get(pixels, F.lit(((row * down + y) * width + column * across + x) * channels + channel))
-                 for y in range(down) for x in range(across)]
-        return F.floor((reduce(Column.__add__, block) * 2 + area) / (2 * area)).cast("int")
-
-    return F.array(*[value(row, column, channel) for row in range(out_height) for column in range(out_width)
-                     for channel in range(channels)])
-
-
 def compose(tiles: Column, size: Column, width: int, height: int, background: int = 0,
             margin: int = MARGIN, channels: int = 1) -> Column:
     """The canvas bytes of a square grid; ``tiles`` is a map from position to raw tile bytes.

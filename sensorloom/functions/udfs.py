@@ -8,18 +8,25 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import pandas_udf, udtf
-from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructType
 
 
 @pandas_udf(DoubleType())
 def mean_score_bytes(data: pd.Series) -> pd.Series:
-    """Mean byte over 255 of each raw frame."""
-    return data.map(lambda raw: np.frombuffer(raw, np.uint8).mean() / 255 if raw else None).astype("float64")
+    """Mean byte over 255 of each raw frame; null for a null or empty one."""
+    sizes = data.str.len().fillna(0).to_numpy(np.int64)
+    filled = sizes > 0
+    scores = np.full(len(data), np.nan)
+    if filled.any():
+        values = np.frombuffer(b"".join(data[filled]), np.uint8)
+        starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
+        scores[filled] = np.add.reduceat(values, starts, dtype=np.int64) / sizes[filled] / 255
+    return pd.Series(scores)
 
 
 @pandas_udf(DoubleType())
 def pandas_sum(values: pd.Series) -> float:
-    """Grouped aggregate, one Python call per group of bounded size; see ``events.sum_in_batches`` for any size."""
+    """Grouped aggregate, one Python call per group of bounded size."""
     return float(values.sum())
 
 
@@ -30,20 +37,48 @@ def pandas_mean(values: pd.Series) -> float:
 
 
 def resize_bytes(width: int, height: int, out_width: int, out_height: int, channels: int = 1) -> Callable:
-    """A UDF that shrinks raw frames by whole factors; the same result as ``frames.block_mean``."""
+    """A UDF that shrinks raw frames by whole factors; the same result as ``block_mean``."""
     if width % out_width or height % out_height:
         raise ValueError("the output size must divide the input size")
     across, down = width // out_width, height // out_height
 
     @pandas_udf(BinaryType())
     def resize(data: pd.Series) -> pd.Series:
-        def one(raw: bytes | None) -> bytes | None:
-            if raw is None:
-                return None
-            blocks = np.frombuffer(raw, np.uint8).reshape(out_height, down, out_width, across, channels)
-            total = blocks.sum(axis=(1, 3), dtype=np.int64)
-            return ((2 * total + across * down) // (2 * across * down)).astype(np.uint8).tobytes()
-        return data.map(one)
+        present = data.notna()
+        if not present.any():
+            return data
+        frames = np.frombuffer(b"".join(data[present]), np.uint8)
+        small = _block_means(frames, out_height, down, out_width, across, channels).astype(np.uint8)
+        return _placed(present, [row.tobytes() for row in small.reshape(int(present.sum()), -1)])
+
+    return resize
+
+
+def _placed(present: pd.Series, values: list) -> pd.Series:
+    """The values at the places that are present, None elsewhere."""
+    rest = iter(values)
+    return pd.Series([next(rest) if there else None for there in present], dtype=object)
+
+
+def _block_means(values: np.ndarray, out_height: int, down: int, out_width: int, across: int, channels: int) -> np.ndarray:
+    """Means of the blocks of all frames at once, rounded half up."""
+    total = values.reshape(-1, out_height, down, out_width, across, channels).sum(axis=(2, 4), dtype=np.int64)
+    return (2 * total + across * down) // (2 * across * down)
+
+
+def block_mean(width: int, height: int, out_width: int, out_height: int, channels: int = 1) -> Callable:
+    """A UDF that shrinks frames given as arrays of pixel values, of any size; the same result as ``resize_bytes``."""
+    if width % out_width or height % out_height:
+        raise ValueError("the output size must divide the input size")
+    across, down = width // out_width, height // out_height
+
+    @pandas_udf(ArrayType(IntegerType()))
+    def resize(pixels: pd.Series) -> pd.Series:
+        present = pixels.notna()
+        if not present.any():
+            return pixels
+        small = _block_means(np.concatenate(list(pixels[present])), out_height, down, out_width, across, channels)
+        return _placed(present, list(small.reshape(int(present.sum()), -1).astype(np.int32)))
 
     return resize
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,19 +143,28 @@ def require_hash(frames: DataFrame) -> DataFrame:
 
 
 def join_chunks(chunks: DataFrame, keys: list[str], n: int, how: str = "inner") -> DataFrame:
-    """Frames by an ``n``-way self-join on the index, with the payloads as ``data_0`` ... ``data_<n-1>``.
+    """Frames as an ``n``-way self-join on the index gives them, payloads as ``data_0`` ... ``data_<n-1>``.
 
-    For results as the join gives them; ``reassemble`` needs one shuffle for any number of chunks. Copies
-    of a chunk collapse ahead of the join, which then cannot multiply them.
+    ``inner`` keeps frames that have all of the first ``n`` chunks, ``left`` those that have chunk 0. Of copies
+    of a chunk the least payload counts. It is one grouping and one shuffle, in place of a join for each chunk.
+    As in a join, a NULL key equals nothing: such frames go, or have chunk 0 alone.
     """
-    joined = None
-    for i in range(n):
-        side = (
-            chunks.filter(F.col("chunk_index") == i)
-            .groupBy(*keys).agg(F.min("data").alias(f"data_{i}"))
-        )
-        joined = side if joined is None else joined.join(side, keys, how)
-    return joined
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    index = F.col("chunk_index")
+    found = chunks.filter((index >= 0) & (index < n)).groupBy(*keys).agg(
+        F.collect_set(F.struct(index.cast("int").alias("i"), "data")).alias("_parts"))
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+    def of(i: int) -> Column:
+        return F.filter("_parts", lambda p: p["i"] == i)
+
+    if how == "inner":
+        whole = [F.size(of(i)) > 0 for i in range(n)]
+        found = found.filter(~no_key & reduce(Column.__and__, whole))
+        return found.select(*keys, *[F.array_min(of(i))["data"].alias(f"data_{i}") for i in range(n)])
+    return found.filter(F.size(of(0)) > 0).select(*keys, *[
+        F.when(~no_key | F.lit(i == 0), F.array_min(of(i))["data"]).alias(f"data_{i}") for i in range(n)])
 
 
 def concat_chunks(n: int, null_safe: bool) -> Column:

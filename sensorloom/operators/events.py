@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,16 +30,18 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: s
 
 def stream_interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                          seconds: int, delay: str = "60 seconds") -> DataFrame:
-    """The same on streams: watermarks on both sides, so that Spark can drop state."""
-    a = left.withWatermark(left_ts, delay).alias("a")
-    b = right.withWatermark(right_ts, delay).alias("b")
+    """The same on streams: watermarks on both sides, so that Spark can drop state, and the same time buckets."""
+    width = seconds * 1_000_000
+    bucket = floor_div(_micros(right_ts), width)
+    a = left.withWatermark(left_ts, delay).withColumn("_bucket", floor_div(_micros(left_ts), width)).alias("a")
+    b = right.withWatermark(right_ts, delay).withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))).alias("b")
     interval = F.expr(f"INTERVAL {seconds} SECONDS")
     on = (
-        (F.col(f"a.{key}") == F.col(f"b.{key}"))
+        (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._bucket") == F.col("b._bucket"))
         & (F.col(f"a.{left_ts}") >= F.col(f"b.{right_ts}"))
         & (F.col(f"a.{left_ts}") < F.col(f"b.{right_ts}") + interval)
     )
-    return a.join(b, on).drop(F.col(f"b.{key}"))
+    return a.join(b, on).drop(F.col(f"b.{key}")).drop("_bucket")
 
 
 def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> DataFrame:
@@ -87,23 +86,8 @@ def window_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFr
     A window over whole partitions would gather each key in one task; the means are aggregated map-side and
     joined back, where Spark splits the partition of a hot key.
     """
-    means = df.groupBy(*keys).agg(F.avg(value).alias(name))
-    return df.join(means, keys, "left")
-
-
-def sum_in_batches(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """The sum per key with the first step in Arrow: one Python call per batch, not per group.
-
-    Shows how an aggregate that only Python has is kept partial: each batch gives one row per key it holds,
-    and the shuffle moves only those.
-    """
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = pa.Table.from_batches([batch]).group_by(key).aggregate([(value, "sum")])
-            yield from sums.select([key, f"{value}_sum"]).rename_columns([key, value]).to_batches()
-
-    narrow = df.select(key, F.col(value).cast("double").alias(value))
-    return narrow.mapInArrow(partial, narrow.schema).groupBy(key).agg(F.sum(value).alias(name))
+    means = df.groupBy(*[F.col(k).alias(f"_mean_{k}") for k in keys]).agg(F.avg(value).alias(name))
+    return df.join(means, [F.col(k).eqNullSafe(F.col(f"_mean_{k}")) for k in keys], "left").select(*df.columns, name)
 
 
 def ratio_estimate(points: DataFrame, x: Column, y: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorloom.workspace import materialize
 
 BLOCK_BITS = 20
+SPAN_BITS = 10  # blocks of a span, as a power of two
 
 
 def offset_block(offset: Column, bits: int = BLOCK_BITS) -> Column:
@@ -32,27 +33,38 @@ def prefix_sum(df: DataFrame, keys: list[str], order: list[str], block: list[Col
                name: str, total: str | None = None) -> DataFrame:
     """Add the running total of ``value`` in each key along ``order``, and the key's total if named.
 
-    ``block`` must grow with ``order``, and ``order`` must have no ties. Keys must not be NULL.
+    ``block`` must grow with ``order``, its last column be an integer, and ``order`` have no ties. NULL is a
+    key like any other. Blocks are added up in spans of 2**SPAN_BITS, and the spans in turn, so that one task
+    gets a key's spans and not its blocks.
     """
     names = [f"_block_{i}" for i in range(len(block))]
     blocked = df.withColumns({**dict(zip(names, block)), "_value": value.cast("bigint")})
     group = [*keys, *names]
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    starts = (
+    span = [*keys, *names[:-1], "_span"]
+    sums = (
         blocked.groupBy(*group).agg(F.sum("_value").alias("_sum"))
-        .select(*group, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
-                *([F.sum("_sum").over(whole).alias(total)] if total else []))
+        .withColumn("_span", F.shiftright(F.col(names[-1]), SPAN_BITS))
     )
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(*names[:-1], "_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = sums.groupBy(*span).agg(F.sum("_sum").alias("_sum")).select(
+        *[F.col(c).alias(f"_of_{c}") for c in span], F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"),
+        *([F.sum("_sum").over(Window.partitionBy(*keys)).alias(total)] if total else []))
+    inside = Window.partitionBy(*span).orderBy(names[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = _null_safe(sums.withColumn("_start", F.coalesce(F.sum("_sum").over(inside), F.lit(0))), spans, span).select(
+        *[F.col(c).alias(f"_of_{c}") for c in group], (F.col("_base") + F.col("_start")).alias("_start"), *([total] if total else []))
+    rows = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        blocked.withColumn("_inside", F.sum("_value").over(inside))
-        .join(starts, group)
+        _null_safe(blocked.withColumn("_inside", F.sum("_value").over(rows)), starts, group)
         .withColumn(name, F.col("_start") + F.col("_inside"))
-        .drop(*names, "_value", "_inside", "_start")
+        .select(*df.columns, *([total] if total else []), name)
     )
 
 
+def _null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Join on columns that ``right`` has with the prefix ``_of_``; NULL equals NULL."""
+    return left.join(right, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
+
+
 def position(df: DataFrame, keys: list[str], order: list[str], block: list[Column], name: str) -> DataFrame:
     """Add the 1-based row number in each key."""
     return prefix_sum(df, keys, order, block, F.lit(1), name)

@@ -73,7 +73,7 @@ def grid_frame_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small = px.block_mean(F.col("pixels"), TILE, TILE, HALF, HALF)
+    small = udfs.block_mean(TILE, TILE, HALF, HALF)("pixels")
     return _frames(spark, sf_dir).select("camera", "frame_number", hex_text(small).alias("small_hex"))
 
 
@@ -127,10 +127,11 @@ def frame_head_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir).select("camera", "frame_number", px.to_bytes(F.col("pixels")).alias("data"))
     path = run_dir(spark, "head")
     sinks.write_per_frame(frames.filter(F.col("frame_number") < HEAD_FRAMES), path)
-    head = spark.read.parquet(path).groupBy("camera").agg(
+    head = spark.read.schema(frames.schema).parquet(path).groupBy("camera").agg(
         F.count(F.lit(1)).alias("n_head"), F.sum(F.octet_length("data")).alias("n_head_bytes"))
     whole = frames.groupBy("camera").agg(F.count(F.lit(1)).alias("n_frames"))
-    return whole.join(head, "camera").select("camera", "n_frames", "n_head", "n_head_bytes")
+    return whole.join(head, "camera", "left").select("camera", "n_frames", *[
+        F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_head", "n_head_bytes")])
 
 
 def group_frames_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:

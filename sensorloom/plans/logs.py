@@ -28,13 +28,11 @@ def log_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the first to the third quarter of each segment's extent."""
+    """The second and the fourth quarter of each segment's extent, and once more a part of the second."""
     events = log(table(spark, sf_dir, "events"))
-    cuts = logs.extent(events).selectExpr(
-        "segment_id",
-        "head_offset + (tail_offset - head_offset) div 4 AS from_offset",
-        "head_offset + 3 * (tail_offset - head_offset) div 4 AS to_offset",
-    )
+    cuts = logs.extent(events).selectExpr("segment_id", "head_offset AS h", "tail_offset - head_offset AS n").selectExpr(
+        "segment_id", "stack(3, h + n div 4, h + n div 2, h + n div 3, h + n div 2,"
+        " h + 3 * n div 4, CAST(NULL AS BIGINT)) AS (from_offset, to_offset)")
     return logs.between_cuts(events, cuts).select(
         "segment_id", "offset", codec.decode_text(F.col("event")).alias("event_text")
     )
@@ -146,7 +144,8 @@ ORACLES = {
                    FROM events),
              e AS (SELECT segment_id, min("offset") AS h, max("offset") + 1 AS t FROM l GROUP BY segment_id)
         SELECT l.segment_id, l."offset", l.event_text FROM l JOIN e ON l.segment_id = e.segment_id
-        WHERE l."offset" >= h + (t - h) // 4 AND l."offset" < h + 3 * (t - h) // 4""",
+        WHERE l."offset" >= h + (t - h) // 4 AND l."offset" < h + (t - h) // 2
+           OR l."offset" >= h + 3 * (t - h) // 4""",
     "log_tail_read": f"""
         WITH l AS ({LOG_SQL}),
              m AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS middle FROM events),

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorloom.functions import times
+from sensorloom.functions import times, udfs
 from sensorloom.operators import events as ev
 from sensorloom.operators import ordering
 from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, scaled, scaled_sql, table
@@ -93,9 +93,34 @@ def agg_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agg_arrow_sum_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the first step in Arrow batches."""
-    sums = ev.sum_in_batches(table(spark, sf_dir, "events"), "user_id", "value", "sum_value")
-    return sums.select("user_id", F.round("sum_value", 2).alias("sum_value"))
+    """The same with a grouped-aggregate Pandas UDF, for aggregates that only Python has: a key is one call."""
+    events = table(spark, sf_dir, "events")
+    return events.groupBy("user_id").agg(F.round(udfs.pandas_sum("value"), 2).alias("sum_value"))
+
+
+def udf_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered functions called in SQL."""
+    udfs.register(spark)
+    table(spark, sf_dir, "events").createOrReplaceTempView("named_events")
+    return spark.sql("SELECT event_type, round(pandas_sum(value), 2) AS sum_value FROM named_events GROUP BY event_type")
+
+
+def window_mean_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean over a whole partition by a Pandas UDF, as a user may write it for small partitions."""
+    whole = Window.partitionBy("user_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    means = table(spark, sf_dir, "events").withColumn("mean_value", udfs.pandas_mean("value").over(whole))
+    return means.select("event_id", "user_id", scaled(F.col("mean_value"), 4).alias("mean_e4"))
+
+
+def null_key_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row number, running total and mean per device, where some readings have no device."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.nullif(F.col("user_id") % 10, F.lit(3)).alias("device_id"), "value")
+    block = [ordering.offset_block(F.col("event_id"), 4)]
+    placed = ordering.position(rows, ["device_id"], ["event_id"], block, "row_number")
+    summed = ordering.prefix_sum(placed, ["device_id"], ["event_id"], block, F.col("event_id"), "seen", total="all_ids")
+    means = ev.window_mean(summed, ["device_id"], "value", "mean_value")
+    return means.select("event_id", "device_id", "row_number", "seen", "all_ids", scaled(F.col("mean_value"), 4).alias("mean_e4"))
 
 
 def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +133,8 @@ def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     interval_join, discretize_time, sliding_count, session_count, ordered_vector, window_mean,
-    frame_row_number, sensor_residual, agg_sum_per_key, agg_arrow_sum_per_key, ratio_estimate,
+    frame_row_number, sensor_residual, agg_sum_per_key, agg_arrow_sum_per_key,
+    udf_by_name, window_mean_pandas, null_key_numbers, ratio_estimate,
 )}
 
 SLIDING_SQL = """
@@ -166,6 +192,16 @@ ORACLES = {
         FROM events""",
     "agg_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
     "agg_arrow_sum_per_key": "SELECT user_id, round(sum(value), 2) AS sum_value FROM events GROUP BY user_id",
+    "udf_by_name": "SELECT event_type, round(sum(value), 2) AS sum_value FROM events GROUP BY event_type",
+    "window_mean_pandas": f"""
+        SELECT event_id, user_id, {scaled_sql('mean', 4)} AS mean_e4
+        FROM (SELECT event_id, user_id, avg(value) OVER (PARTITION BY user_id) AS mean FROM events)""",
+    "null_key_numbers": f"""
+        SELECT event_id, device_id, row_number() OVER w AS row_number, sum(event_id) OVER w ::BIGINT AS seen,
+               (sum(event_id) OVER (PARTITION BY device_id))::BIGINT AS all_ids,
+               {scaled_sql('avg(value) OVER (PARTITION BY device_id)', 4)} AS mean_e4
+        FROM (SELECT event_id, nullif(user_id % 10, 3) AS device_id, value FROM events)
+        WINDOW w AS (PARTITION BY device_id ORDER BY event_id)""",
     "ratio_estimate": """
         WITH p AS (SELECT ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS x,
                           ('0x' || substr(md5(event_id::VARCHAR), 9, 8))::BIGINT / 4294967296.0::DOUBLE AS y

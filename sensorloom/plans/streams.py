@@ -1,20 +1,24 @@
 """The streaming forms. Each runs over its whole table and stops; the result is what the sink holds.
 
-In append mode the windows that the last watermark has not passed stay open, and the SQL leaves them out.
+The windows that the last watermark has not passed are added when the source has come to its end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.functions import codec, times
+from sensorloom.functions import codec, times, udfs
 from sensorloom.functions import frames as px
 from sensorloom.operators import chunks, grid
 from sensorloom.operators import events as ev
 from sensorloom.plans import camera_frames, payloads, readings
+from sensorloom.plans import logs as logs_plan
 from sensorloom.plans.tables import (
-    CHUNKS_SQL, TILE, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
+    CHUNKS_SQL, FRAMES_SQL, TILE, log, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
 )
 from sensorloom.plans.tables import readings as as_readings
 from sensorloom.sources import log as logs
@@ -22,8 +26,7 @@ from sensorloom.sources import sinks
 from sensorloom.streaming import frames, run, state
 from sensorloom.workspace import run_dir
 
-DELAY_SECONDS = 10
-DELAY = f"{DELAY_SECONDS} seconds"
+DELAY = "10 seconds"
 FRAME_KEYS = ["doc_id", "timestamp"]
 
 
@@ -86,27 +89,46 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("device_id", "event_id1", "event_id2", plain("timestamp1"), plain("timestamp2"))
 
 
+def _finished(spark: SparkSession, sf_dir: str, name: str, source: str, windows: Callable[[DataFrame], DataFrame],
+              end: str = "window_end",
+              last: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``windows`` over the table as a stream, with those still open at its end; ``last`` goes behind the choice."""
+    def rest(watermark: datetime) -> DataFrame:
+        batch = windows(table(spark, sf_dir, source))
+        return last(batch.filter(F.col(end) > F.lit(watermark)))
+
+    return run.to_finished_table(last(windows(table_stream(spark, sf_dir, source))), rest, name)
+
+
 def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _readings(spark, sf_dir).withColumn("key", times.value_bucket(F.col("temp_celsius"), 5))
-    counted = ev.window_counts(rows.withWatermark("timestamp", DELAY), ["key"], "timestamp", "2 hours", "1 hour")
-    found = run.to_table(counted, "stream-sliding")
+    def windows(events: DataFrame) -> DataFrame:
+        rows = as_readings(events).withColumn("key", times.value_bucket(F.col("temp_celsius"), 5))
+        return ev.window_counts(rows.withWatermark("timestamp", DELAY), ["key"], "timestamp", "2 hours", "1 hour")
+
+    found = _finished(spark, sf_dir, "stream-sliding", "events", windows)
     return found.select("key", plain("window_start"), plain("window_end"), "n_events")
 
 
 def stream_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = run.to_table(ev.stream_sessions(_readings(spark, sf_dir), ["device_id"], "timestamp",
-                                            readings.GAP, DELAY), "stream-sessions")
+    def windows(events: DataFrame) -> DataFrame:
+        return ev.stream_sessions(as_readings(events), ["device_id"], "timestamp", readings.GAP, DELAY)
+
+    found = _finished(spark, sf_dir, "stream-sessions", "events", windows, "session_end")
     return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
 
 
-def _last(spark: SparkSession, sf_dir: str, value: str) -> DataFrame:
-    images = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withWatermark("timestamp", "1 second")
-    return grid.last_per_camera(images, "timestamp", f"{camera_frames.WINDOW_MILLIS} milliseconds", value)
+def _grids(value: str) -> Callable[[DataFrame], DataFrame]:
+    """Two aggregates in a row: per camera and window, then per window."""
+    def windows(embeddings: DataFrame) -> DataFrame:
+        images = pixel_frames(embeddings).withWatermark("timestamp", "1 second")
+        last = grid.last_per_camera(images, "timestamp", f"{camera_frames.WINDOW_MILLIS} milliseconds", value)
+        return grid.grid_rows(last, value)
+
+    return windows
 
 
 def stream_grid_last_per_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two aggregates in a row: per camera and window, then per window."""
-    found = run.to_table(grid.grid_rows(_last(spark, sf_dir, "pixels"), "pixels"), "stream-grid")
+    found = _finished(spark, sf_dir, "stream-grid", "embeddings", _grids("pixels"))
     images = F.transform("tiles", lambda t: F.concat_ws(
         ":", t["camera"].cast("string"), camera_frames.hex_text(t["value"])))
     return found.select(plain("window_start"), plain("timestamp"), "n_cameras",
@@ -115,16 +137,21 @@ def stream_grid_last_per_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_grid_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shrink each frame, compose one grid frame per window and write it as chunked JSON events."""
-    small = px.block_mean(F.col("pixels"), TILE, TILE, camera_frames.HALF, camera_frames.HALF)
-    images = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withColumn("data", px.to_bytes(small))
-    last = grid.last_per_camera(images.withWatermark("timestamp", "1 second"), "timestamp",
-                                f"{camera_frames.WINDOW_MILLIS} milliseconds")
-    canvas = grid.compose(grid.grid_rows(last), camera_frames.HALF, camera_frames.HALF)
-    frame = canvas.select(F.lit(camera_frames.OUT_CAMERA).alias("camera"), "window_start", "timestamp", "data",
-                          codec.frame_hash(F.col("data")).alias("hash"))
-    events = sinks.to_events(chunks.split(frame, 64), codec.routing_key(F.col("camera")),
-                             "camera", "window_start", "timestamp", "data", "hash", "chunk_index", "final_chunk_index")
-    written = run.to_table(events, "stream-grid-sink")
+    resize = udfs.block_mean(TILE, TILE, camera_frames.HALF, camera_frames.HALF)
+
+    def windows(embeddings: DataFrame) -> DataFrame:
+        images = pixel_frames(embeddings).withColumn("data", px.to_bytes(resize("pixels")))
+        return grid.grid_rows(grid.last_per_camera(images.withWatermark("timestamp", "1 second"), "timestamp",
+                                                   f"{camera_frames.WINDOW_MILLIS} milliseconds"))
+
+    def events(rows: DataFrame) -> DataFrame:
+        canvas = grid.compose(rows, camera_frames.HALF, camera_frames.HALF)
+        frame = canvas.select(F.lit(camera_frames.OUT_CAMERA).alias("camera"), "window_start", "timestamp", "data",
+                              codec.frame_hash(F.col("data")).alias("hash"))
+        return sinks.to_events(chunks.split(frame, 64), codec.routing_key(F.col("camera")),
+                               "camera", "window_start", "timestamp", "data", "hash", "chunk_index", "final_chunk_index")
+
+    written = _finished(spark, sf_dir, "stream-grid-sink", "embeddings", windows, last=events)
     ddl = ("camera int, window_start timestamp, timestamp timestamp, data binary, hash binary, "
            "chunk_index smallint, final_chunk_index smallint")
     parts = codec.decode_json(written, ddl, mode="FAILFAST")
@@ -135,15 +162,46 @@ def stream_grid_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_grid_frame_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The output frame counter, kept in state by a second stream over the table of grid frames."""
-    rows = grid.grid_rows(_last(spark, sf_dir, "ssrc"), "ssrc").select(
-        F.lit(camera_frames.OUT_CAMERA).alias("camera"), "window_start")
-    base = run_dir(spark, "stream-grid-windows")
-    sinks.stream_to_table(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    windows = logs.scan_stream(spark, f"{base}/table", rows.schema)
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(camera_frames.OUT_CAMERA).alias("camera"), "window_start")
+
+    rows = _finished(spark, sf_dir, "stream-grid-windows", "embeddings", _grids("ssrc"), last=named)
+    path = run_dir(spark, "stream-grid-table")
+    rows.write.parquet(path)
+    windows = logs.scan_stream(spark, path, rows.schema)
     found = run.to_table(state.number_frames(windows, "camera", "window_start"), "stream-grid-number")
     return found.select("camera", plain("window_start"), "frame_number")
 
 
+def stream_table_tumble_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table form on a stream: JSON events with row time, tumbling windows of 100 ms."""
+    path = run_dir(spark, "json-frames")
+    rows = pixel_frames(table(spark, sf_dir, "embeddings")).select("camera", "frame_number", "timestamp")
+    sinks.write_json(rows, path)
+
+    def windows(frames: DataFrame) -> DataFrame:
+        marked = frames.withWatermark("timestamp", "100 milliseconds")
+        return marked.groupBy(F.window("timestamp", "100 milliseconds")).agg(
+            F.count(F.lit(1)).alias("n_frames"), F.max("frame_number").alias("last_frame"),
+        ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n_frames", "last_frame")
+
+    found = run.to_finished_table(
+        windows(logs.json_stream(spark, path, rows.schema)),
+        lambda watermark: windows(spark.read.schema(rows.schema).json(path)).filter(F.col("window_end") > F.lit(watermark)),
+        "stream-tumble")
+    return found.select(plain("window_start"), plain("window_end"), "n_frames", "last_frame")
+
+
+def stream_tail_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at the tail of the log as it was at the middle of its time span."""
+    events = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.select(micros.alias("m")).agg(F.expr("(min(m) + max(m)) div 2")).scalar()
+    tails = logs.extent(log(events.filter(micros <= middle)))
+    ahead = logs.from_tail(log(table_stream(spark, sf_dir, "events")), tails)
+    return run.to_table(ahead.select("segment_id", "offset", "routing_key"), "stream-tail")
+
+
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score frames and write each micro-batch in frame order."""
     images = pixel_frames(table_stream(spark, sf_dir, "embeddings"))
@@ -159,19 +217,10 @@ QUERIES = {f.__name__: f for f in (
     stream_json_chunks, stream_chunk_join_inner, stream_dedup, stream_chunk_reassemble,
     stream_chunk_reassemble_batches, stream_interval_join,
     stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
-    stream_grid_frame_number, stream_foreach_batch,
+    stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_foreach_batch,
 )}
 
 
-def _closed(sql: str, end: str, delay: str, times_sql: str) -> str:
-    """The rows whose window has ended when the watermark is ``delay`` behind the last event."""
-    latest = f"(SELECT date_trunc('milliseconds', max(ts)) FROM ({times_sql}))"
-    return f"SELECT * FROM ({sql}) WHERE {end} <= {latest} - INTERVAL {delay}"
-
-
-_EVENT_TIMES = "SELECT ts FROM events"
-_WINDOW_END = f"window_start + to_milliseconds({camera_frames.WINDOW_MILLIS})"
-_WINDOWS_SQL = _closed(camera_frames.GRID_SQL, _WINDOW_END, "1 SECOND", camera_frames.FRAMES_SQL)
 # A grid of g x g tiles of 4 x 4 with margin 1; g from the greatest camera.
 _SINK_SQL = f"""
     SELECT window_start, timestamp, (5 * g - 1) * (5 * g - 1) AS n_bytes
@@ -193,16 +242,22 @@ ORACLES = {
         SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
         FROM ({payloads.ORACLES['chunk_reassemble']})""",
     "stream_interval_join": readings.INTERVAL_SQL,
-    "stream_sliding_count": _closed(readings.SLIDING_SQL, "window_end", f"{DELAY_SECONDS} SECOND", _EVENT_TIMES),
-    "stream_session_count": _closed(readings.SESSION_SQL, "session_end", f"{DELAY_SECONDS} SECOND", _EVENT_TIMES),
-    "stream_grid_last_per_camera": _WINDOWS_SQL,
+    "stream_sliding_count": readings.SLIDING_SQL,
+    "stream_session_count": readings.SESSION_SQL,
+    "stream_grid_last_per_camera": camera_frames.GRID_SQL,
     "stream_grid_sink": f"""
         SELECT {camera_frames.OUT_CAMERA} AS camera, window_start, timestamp,
                ((n_bytes + 63) // 64)::BIGINT AS n_chunks, n_bytes, true AS is_hash_valid
-        FROM ({_closed(_SINK_SQL, _WINDOW_END, '1 SECOND', camera_frames.FRAMES_SQL)})""",
+        FROM ({_SINK_SQL})""",
     "stream_grid_frame_number": f"""
         SELECT {camera_frames.OUT_CAMERA} AS camera, window_start,
                row_number() OVER (ORDER BY window_start) - 1 AS frame_number
-        FROM ({_WINDOWS_SQL})""",
+        FROM ({camera_frames.GRID_SQL})""",
+    "stream_table_tumble_grid": f"""
+        SELECT w AS window_start, w + INTERVAL 100 MILLISECOND AS window_end, count(*) AS n_frames,
+               max(frame_number) AS last_frame
+        FROM (SELECT make_timestamp(epoch_us(ts) // 100000 * 100000) AS w, frame_number FROM ({FRAMES_SQL}))
+        GROUP BY w""",
+    "stream_tail_read": logs_plan.ORACLES["log_tail_read"],
     "stream_foreach_batch": camera_frames.ORACLES["frame_mean_score"],
 }

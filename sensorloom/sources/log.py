@@ -11,9 +11,6 @@ from pyspark.sql.types import StructType
 
 from sensorloom.operators import chunks, ordering
 
-# Positions of up to this many segments become a filter that the file scan can use; more are joined.
-MAX_FILTER_SEGMENTS = 200
-
 
 def scan(spark: SparkSession, path: str, scope: str | None = None, stream: str | None = None) -> DataFrame:
     """The whole log, or one stream of it, from the earliest event."""
@@ -87,14 +84,6 @@ def extent(log: DataFrame) -> DataFrame:
     )
 
 
-def positions(cuts: DataFrame, *columns: str) -> tuple[dict[int, int], ...] | None:
-    """One position (segment -> offset) per column, or None if there are over MAX_FILTER_SEGMENTS segments."""
-    rows = cuts.select("segment_id", *columns).limit(MAX_FILTER_SEGMENTS + 1).collect()
-    if len(rows) > MAX_FILTER_SEGMENTS:
-        return None
-    return tuple({row["segment_id"]: row[column] for row in rows} for column in columns)
-
-
 def between(log: DataFrame, start: Mapping[int, int] | None, end: Mapping[int, int] | None) -> DataFrame:
     """Events from ``start`` up to but not including ``end``; None is unbounded.
 
@@ -130,27 +119,35 @@ def between(log: DataFrame, start: Mapping[int, int] | None, end: Mapping[int, i
 
 
 def between_cuts(log: DataFrame, cuts: DataFrame) -> DataFrame:
-    """As ``between``, with a table (segment_id, from_offset, to_offset)."""
-    found = positions(cuts, "from_offset", "to_offset")
-    if found is not None:
-        return between(log, *found)
-    bounded = log.join(cuts, "segment_id").filter("offset >= from_offset AND offset < to_offset")
-    return bounded.select(*log.columns)
+    """Events that lie in a range of ``cuts`` (segment_id, from_offset, to_offset), each once.
+
+    A segment may have any number of ranges, which may overlap; one that ``cuts`` does not name is left out. A
+    NULL bound is none, and a NULL segment_id stands for the events without one. The scan also gets the least
+    and the greatest offset of all ranges as a plain filter, to skip row groups.
+    """
+    outer = cuts.agg(
+        F.min(F.coalesce("from_offset", F.lit(-2**63))).alias("low"), F.max(F.coalesce("to_offset", F.lit(2**63 - 1))).alias("high")
+    ).first()
+    if outer["low"] is None:
+        return log.filter(F.lit(False))
+    inside = log.filter((F.col("offset") >= outer["low"]) & ((F.col("offset") < outer["high"]) | F.lit(outer["high"] == 2**63 - 1)))
+    ranges = cuts.select(F.col("segment_id").alias("_segment"), "from_offset", "to_offset")
+    offset = F.col("offset")
+    on = (
+        F.col("segment_id").eqNullSafe(F.col("_segment"))
+        & (F.col("from_offset").isNull() | (offset >= F.col("from_offset")))
+        & (F.col("to_offset").isNull() | (offset < F.col("to_offset")))
+    )
+    return inside.join(ranges, on, "left_semi")
 
 
 def from_tail(log: DataFrame, tails: DataFrame) -> DataFrame:
     """Events at or after the tail, a table (segment_id, tail_offset) such as an earlier ``extent``.
 
-    Segments created later, so not in the tail, are read from their start. With few segments this is a
-    filter, which streams can use as well.
+    Segments created later, so not in the tail, are read from their start, as is one with a NULL tail. Works on
+    a stream as well: the events before the tail are taken out by a join with a static table.
     """
-    found = positions(tails, "tail_offset")
-    if found is None:
-        ahead = log.join(tails.select("segment_id", "tail_offset"), "segment_id", "left")
-        return ahead.filter("tail_offset IS NULL OR offset >= tail_offset").select(*log.columns)
-    (position,) = found
-    if not position:
-        return log
-    later = ~F.col("segment_id").isin(list(position))
-    ahead = [(F.col("segment_id") == s) & (F.col("offset") >= o) for s, o in position.items()]
-    return log.filter(reduce(Column.__or__, ahead, later))
+    behind = tails.groupBy("segment_id").agg(F.max("tail_offset").alias("_tail")).select(
+        F.col("segment_id").alias("_segment"), "_tail")
+    on = F.col("segment_id").eqNullSafe(F.col("_segment")) & (F.col("offset") < F.col("_tail"))
+    return log.join(behind, on, "left_anti")

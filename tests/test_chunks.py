@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -27,30 +28,40 @@ def writers(spark, tmp_path):
     return read(spark, fx.write(tmp_path / "in", *fx.WRITER_FILES), schemas.FILE_CHUNK)
 
 
-COMPLETE = [("18:00:00.000", 33), ("18:00:00.001", 23), ("18:02:00.000", 23), ("18:02:00.000", 33)]
-
-
 def test_reassemble_two_writers(writers):
     rows = chunks.reassemble(writers, KEYS).collect()
-    assert times(rows) == COMPLETE
-    assert {bytes(r["data"]) for r in rows} == {b"abcd\nefg\nhi\n"}
-    assert {r["n_chunks"] for r in rows} == {3}
+    assert times(rows) == fx.COMPLETE
+    assert {bytes(r["data"]) for r in rows} == {fx.WHOLE}
+    assert {r["n_chunks"] for r in rows} == {4}
 
 
 def test_errors_two_writers(writers):
     rows = chunks.errors(writers, KEYS).collect()
     assert sorted((r["timestamp"].strftime("%H:%M"), r["ssrc"], r["error"]) for r in rows) == [
-        ("18:01", 23, chunks.SEQUENCE), ("18:01", 33, chunks.SEQUENCE),
-        ("18:02", 13, chunks.COUNT), ("18:02", 43, chunks.COUNT),
-        ("18:20", 23, chunks.COUNT), ("18:20", 33, chunks.COUNT),
+        ("06:16", 501, chunks.SEQUENCE), ("06:16", 502, chunks.SEQUENCE),
+        ("06:17", 901, chunks.SEQUENCE), ("06:17", 902, chunks.COUNT), ("06:40", 501, chunks.COUNT),
     ]
 
 
 def test_join_equals_reassembly(writers):
-    joined = chunks.join_chunks(writers.filter("final_chunk_index = 2"), KEYS, 3)
-    rows = joined.withColumn("data", chunks.concat_chunks(3, null_safe=False)).collect()
-    assert times(rows) == COMPLETE
-    assert {bytes(r["data"]) for r in rows} == {b"abcd\nefg\nhi\n"}
+    joined = chunks.join_chunks(writers.filter("final_chunk_index = 3"), KEYS, 4)
+    rows = joined.withColumn("data", chunks.concat_chunks(4, null_safe=False)).collect()
+    assert times(rows) == fx.COMPLETE
+    assert {bytes(r["data"]) for r in rows} == {fx.WHOLE}
+
+
+def test_join_is_one_shuffle_of_the_payload(writers):
+    plan = chunks.join_chunks(writers, KEYS, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+
+
+def test_join_of_copies_nulls_and_null_keys(spark):
+    rows = [(1, 0, b"b"), (1, 0, b"a"), (1, 1, b"c"), (2, 0, None), (2, 1, b"d"), (3, 1, b"e"), (None, 0, b"f"), (None, 1, b"g")]
+    parts = spark.createDataFrame(rows, "id int, chunk_index int, data binary")
+    inner = {tuple(r) for r in chunks.join_chunks(parts, ["id"], 2).collect()}
+    assert inner == {(1, b"a", b"c"), (2, None, b"d")}
+    left = {tuple(r) for r in chunks.join_chunks(parts, ["id"], 2, "left").collect()}
+    assert left == {(1, b"a", b"c"), (2, None, b"d"), (None, b"f", None)}
 
 
 def test_checks_of_the_frames(writers):
@@ -59,31 +70,32 @@ def test_checks_of_the_frames(writers):
         codec.is_checksum_correct(F.col("data")).alias("ok"), codec.checksum(F.col("data")).alias("stored"),
         F.crc32(codec.checked_payload(F.col("data"))).alias("found"), F.hex(codec.frame_hash(F.col("data"))).alias("h"),
     ).distinct().collect()
-    assert [tuple(r) for r in row] == [(False, 1633837924, 2772477173, "03FE2E3D0326")]
+    stored, found = int.from_bytes(fx.WHOLE[:4], "big"), zlib.crc32(fx.WHOLE[4:])
+    assert [tuple(r) for r in row] == [(False, stored, found, hashlib.sha1(fx.WHOLE).hexdigest()[:12].upper())]
 
 
 def test_dedup_keeps_least_ssrc(writers):
     frames = chunks.reassemble(writers, KEYS)
     kept = chunks.dedup_frames(frames, ["timestamp", "camera"], ["ssrc"])
-    assert times(kept.collect()) == [("18:00:00.000", 33), ("18:00:00.001", 23), ("18:02:00.000", 23)]
+    assert times(kept.collect()) == [(fx.FIRST, 501), (fx.SECOND, 501), (fx.THIRD, 502)]
 
 
 def test_joins_without_count(spark, tmp_path):
     ddl = "timestamp timestamp, camera int, chunk int, data binary"
     parts = read(spark, fx.write(tmp_path / "in", fx.PLAIN), ddl)
-    for n, data in ((2, b"abcd\nefg\n"), (3, b"abcd\nefg\nhi\n")):
+    for n, data in ((2, b"north east "), (4, fx.WHOLE)):
         rows = chunks.join_chunks(parts, ["timestamp", "camera"], n).select(
             "timestamp", chunks.concat_chunks(n, False).alias("data")).collect()
-        assert sorted((r["timestamp"].minute, bytes(r["data"])) for r in rows) == [(0, data), (2, data)]
+        assert sorted((r["timestamp"].minute, bytes(r["data"])) for r in rows) == [(15, data), (17, data)]
 
 
 def test_numeric_chunks(spark, tmp_path):
     ddl = "timestamp timestamp, camera int, chunk int, data double"
     parts = read(spark, fx.write(tmp_path / "in", fx.NUMBERS), ddl)
     joined = chunks.join_chunks(parts, ["timestamp", "camera"], 2).collect()
-    assert [(r["timestamp"].minute, r["data_0"], r["data_1"]) for r in joined] == [(0, 100.0, 101.0)]
+    assert [(r["timestamp"].minute, r["data_0"], r["data_1"]) for r in joined] == [(15, 2.5, 7.5)]
     sums = parts.groupBy("timestamp", "camera").sum("data").collect()
-    assert sorted((r["timestamp"].minute, r["sum(data)"]) for r in sums) == [(0, 303.0), (20, 3.0)]
+    assert sorted((r["timestamp"].minute, r["sum(data)"]) for r in sums) == [(15, 50.0), (17, 6.0), (40, 9.0)]
 
 
 def test_variable_chunk_count(spark, tmp_path):
@@ -93,8 +105,8 @@ def test_variable_chunk_count(spark, tmp_path):
     ).orderBy("timestamp").collect()
     plain = [r["plain"] and bytes(r["plain"]) for r in rows]
     safe = [bytes(r["safe"]) for r in rows]
-    assert plain == [b"abcd\nefg\nhi\n", None, b"xyz\nxyz\nxyz\n"]
-    assert safe == [b"abcd\nefg\nhi\n", b"efg\nhi\n", b"xyz\nxyz\nxyz\n"]
+    assert plain == [b"north east south ", None, None]
+    assert safe == [b"north east south ", b"north east ", b"north "]
     grouped = chunks.reassemble(parts, KEYS).orderBy("timestamp").collect()
     assert [bytes(r["data"]) for r in grouped] == safe
 

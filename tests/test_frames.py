@@ -27,14 +27,14 @@ def random_frame(rng, width, height, channels=1):
 
 
 @pytest.mark.parametrize("width,height,out_width,out_height,channels", [
-    (8, 8, 4, 4, 1), (8, 4, 2, 2, 3), (6, 9, 2, 3, 1), (4, 4, 4, 4, 3), (10, 10, 1, 1, 1)])
+    (8, 8, 4, 4, 1), (8, 4, 2, 2, 3), (6, 9, 2, 3, 1), (4, 4, 4, 4, 3), (10, 10, 1, 1, 1), (640, 480, 40, 40, 3)])
 def test_block_mean(spark, width, height, out_width, out_height, channels):
     rng = np.random.default_rng(1)
     images = [random_frame(rng, width, height, channels) for _ in range(3)]
     frame = spark.createDataFrame([(i, [int(p) for p in image], bytearray(image.tobytes())) for i, image in enumerate(images)],
                                   "i int, pixels array<int>, data binary")
     rows = frame.select(
-        "i", px.block_mean(F.col("pixels"), width, height, out_width, out_height, channels).alias("a"),
+        "i", udfs.block_mean(width, height, out_width, out_height, channels)("pixels").alias("a"),
         udfs.resize_bytes(width, height, out_width, out_height, channels)("data").alias("b")).collect()
     for row in rows:
         blocks = images[row["i"]].reshape(out_height, height // out_height, out_width, width // out_width, channels)
@@ -44,16 +44,23 @@ def test_block_mean(spark, width, height, out_width, out_height, channels):
 
 def test_block_mean_needs_whole_factors(spark):
     with pytest.raises(ValueError):
-        px.block_mean(F.col("pixels"), 8, 8, 3, 4)
+        udfs.block_mean(8, 8, 3, 4)
     with pytest.raises(ValueError):
         udfs.resize_bytes(8, 8, 3, 4)
 
 
 def test_mean_score(spark):
-    frame = spark.createDataFrame([([0, 255], bytearray([0, 255])), ([255] * 4, bytearray([255] * 4))],
+    frame = spark.createDataFrame([([0, 255], bytearray([0, 255])), ([255] * 4, bytearray([255] * 4)), (None, None)],
                                   "pixels array<int>, data binary")
     rows = frame.select(px.mean_score(F.col("pixels")).alias("a"), udfs.mean_score_bytes("data").alias("b")).collect()
-    assert [tuple(r) for r in rows] == [(0.5, 0.5), (1.0, 1.0)]
+    assert [tuple(r) for r in rows] == [(0.5, 0.5), (1.0, 1.0), (None, None)]
+
+
+def test_udfs_of_null_frames(spark):
+    frame = spark.createDataFrame([(None, None), ([1, 3], bytearray([1, 3])), (None, None)], "pixels array<int>, data binary")
+    rows = frame.select(udfs.block_mean(2, 1, 1, 1)("pixels").alias("a"), udfs.resize_bytes(2, 1, 1, 1)("data").alias("b"))
+    assert [tuple(r) for r in rows.collect()] == [(None, None), ([2], bytearray([2])), (None, None)]
+    assert [tuple(r) for r in rows.limit(1).collect()] == [(None, None)]
 
 
 def paint(tiles, size, width, height, channels, background):

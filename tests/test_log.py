@@ -53,18 +53,26 @@ def test_bounded_read_reaches_the_scan(spark, path):
     assert "GreaterThanOrEqual(offset,100)" in pushed and "LessThan(offset,400)" in pushed
 
 
-@pytest.mark.parametrize("limit", [200, 2])
-def test_cut_tables_small_and_large(spark, path, limit, monkeypatch):
-    """Over the limit the cuts are joined; the result is the same."""
-    monkeypatch.setattr(logs, "MAX_FILTER_SEGMENTS", limit)
+def test_cut_tables(spark, path):
     log = logs.scan(spark, path)
-    cuts = spark.createDataFrame([(0, 100, 300), (1, 200, 201), (2, 5, 5), (3, 0, 9)],
+    cuts = spark.createDataFrame([(0, 100, 300), (0, 200, 320), (0, 900, 904), (1, 200, 201), (2, 5, 5), (3, None, 9), (1, 3990, None)],
                                  "segment_id long, from_offset long, to_offset long")
-    expected = [(s, o) for s, a, b in [(0, 100, 300), (1, 200, 201), (3, 0, 9)] for o in range(a, b) if o % 4 == s]
+    ranges = [(0, 100, 320), (0, 900, 904), (1, 200, 201), (3, 0, 9), (1, 3990, 4000)]
+    expected = [(s, o) for s, a, b in ranges for o in range(a, b) if o % 4 == s]
     assert offsets(logs.between_cuts(log, cuts)) == sorted(expected)
-    tails = spark.createDataFrame([(0, 3990), (1, 4000), (2, 3991)], "segment_id long, tail_offset long")
+    assert logs.between_cuts(log, cuts.limit(0)).count() == 0
+    tails = spark.createDataFrame([(0, 3990), (0, 3000), (1, 4000), (2, 3991)], "segment_id long, tail_offset long")
     ahead = [(s, o) for s, t in [(0, 3990), (1, 4000), (2, 3991), (3, 0)] for o in range(t, 4000) if o % 4 == s]
     assert offsets(logs.from_tail(log, tails)) == sorted(ahead)
+    assert logs.from_tail(log, tails.limit(0)).count() == 4000
+
+
+def test_cuts_of_events_without_a_segment(spark):
+    log = spark.createDataFrame([(None, 1), (None, 5), (7, 5)], "segment_id long, offset long")
+    cuts = spark.createDataFrame([(None, 2, 9)], "segment_id long, from_offset long, to_offset long")
+    assert [tuple(r) for r in logs.between_cuts(log, cuts).collect()] == [(None, 5)]
+    tails = cuts.selectExpr("segment_id", "5L AS tail_offset")
+    assert sorted((tuple(r) for r in logs.from_tail(log, tails).collect()), key=repr) == [(7, 5), (None, 5)]
 
 
 def test_named_table(spark, path):

@@ -4,15 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
+from sensorloom import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = {"frame_resize_bytes", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_arrow_sum_per_key"}
-BATCH = [n for n in entry_module.queries() if not n.startswith("stream_")]
+PYTHON = {"frame_resize", "frame_resize_bytes", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_arrow_sum_per_key",
+          "udf_by_name", "window_mean_pandas"}
+BATCH = [n for n in plans.queries() if not n.startswith("stream_")]
 
 
 def plan(spark, name):
-    return entry_module.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return plans.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -36,7 +37,7 @@ def test_reassembly_shuffles_payloads_once(spark):
 
 
 def test_status_of_reassembly_is_computed_once(spark):
-    frames = entry_module.queries()["chunk_reassemble"](spark, SF_DIR)
+    frames = plans.queries()["chunk_reassemble"](spark, SF_DIR)
     frames.collect()
     final = frames._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
@@ -57,5 +58,10 @@ def test_aggregates_are_partial_ahead_of_the_shuffle(spark, name):
     assert "partial_" in plan(spark, name)
 
 
+def test_chunk_joins_shuffle_payloads_once(spark):
+    for name in ("chunk_join_inner", "chunk_join_left"):
+        assert plan(spark, name).count("Exchange hashpartitioning") == 1
+
+
 def test_interval_join_uses_time_buckets(spark):
     assert re.search(r"Join[^\n]*\[device_id#\d+L, _bucket#\d+L\]", plan(spark, "interval_join"))

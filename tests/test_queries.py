@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from sensorloom import plans
 from tests import oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = plans.queries()
+ORACLES = plans.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck():
 
 def test_all_queries_have_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry_module.queries().keys() and ORACLES.keys() <= entry_module.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
