@@ -23,8 +23,9 @@ def reassemble_to_table(chunks: DataFrame, keys: list[str], ts: str, path: str,
 
     A frame that lacks chunks waits until an event ``timeout_millis`` later than it has come; then, and at
     once if its chunks contradict each other, it becomes a row with an error code and no data. Waiting
-    chunks are in ``path``/pending. There are two folders, in turns: a batch reads what the one before it
-    wrote and writes the other, so that a repeated batch does the same again.
+    chunks are in ``path``/pending, and the keys of finished frames in ``path``/done for as long, so that chunks
+    delivered again are left out. There are two folders of each, in turns: a batch reads what the one before
+    it wrote and writes the other, so that a repeated batch does the same again.
     """
     columns = list(dict.fromkeys([*keys, "chunk_index", "final_chunk_index", "data", "hash"]))
     chunks = chunks.select(*columns)
@@ -34,7 +35,10 @@ def reassemble_to_table(chunks: DataFrame, keys: list[str], ts: str, path: str,
         spark = batch.sparkSession
         this, previous = batch_id % 2, (batch_id + 1) % 2
         held, latest = batch, batch.agg(F.max(ts).alias("latest"))
+        finished = batch.select(*keys).limit(0)
         if batch_id > 0:
+            finished = spark.read.schema(finished.schema).parquet(f"{path}/done/{previous}")
+            held = held.join(finished, keys, "left_anti")
             held = held.unionByName(spark.read.schema(schema).parquet(f"{path}/pending/{previous}"))
             latest = latest.unionByName(spark.read.schema(latest.schema).parquet(f"{path}/latest/{previous}"))
         held = held.persist(StorageLevel.DISK_ONLY)
@@ -52,6 +56,9 @@ def reassemble_to_table(chunks: DataFrame, keys: list[str], ts: str, path: str,
             frames = whole.select(*keys, "n_chunks", F.when(valid, F.col("data")).alias("data"),
                                   F.when(~valid, ops.HASH).alias("error"))
             frames.unionByName(failed).write.mode("overwrite").parquet(f"{path}/frames/batch={batch_id}")
+            written = spark.read.schema(frame_schema(held, keys)).parquet(f"{path}/frames/batch={batch_id}")
+            ended = finished.unionByName(written.select(*keys)).filter(~F.coalesce(expired, F.lit(True)))
+            ended.write.mode("overwrite").parquet(f"{path}/done/{this}")
             pending = held.join(status.filter(waits).select(*keys), keys, "left_semi").select(*columns)
             pending.write.mode("overwrite").parquet(f"{path}/pending/{this}")
         finally:

@@ -12,19 +12,31 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from sensorloom.functions import codec
-from sensorloom.operators.chunks import COUNT, FINAL_MISMATCH, HASH, INDEX_RANGE, MAX_CHUNKS, SEQUENCE
+from sensorloom.operators.chunks import COUNT, FINAL_MISMATCH, HASH, INDEX_RANGE, MAX_CHUNKS, NO_KEY, SEQUENCE
 
 _RESULT = "n_chunks int, data binary, error string"
-_STATE = "final int, error string, n_rows int, indexes array<int>, payloads array<binary>, hash binary"
+_STATE = ("done boolean, low int, high int, n_rows int, n_null int, indexes array<int>, payloads array<binary>, hash binary")
+
+
+def frame_error(low: int | None, high: int | None, n_rows: int, indexes: set[int], n_null: int = 0) -> str | None:
+    """The error code of a frame, in the order of ``chunks.frame_status``; None if it is whole."""
+    if low is None or low != high:
+        return FINAL_MISMATCH
+    if indexes and (min(indexes) < 0 or max(indexes) > high):
+        return INDEX_RANGE
+    if n_null or len(indexes) != n_rows or not indexes or min(indexes) != 0 or max(indexes) != n_rows - 1:
+        return SEQUENCE
+    return COUNT if n_rows != high + 1 else None
 
 
 def reassemble(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_millis: int = 10_000) -> DataFrame:
     """Frames as soon as their last missing chunk arrives, in any order of arrival.
 
     ``chunks`` has ``keys`` (with the event time ``ts`` among them), chunk_index, final_chunk_index, data
-    and hash. A frame with a wrong or repeated index gives a row with an error code and no data, as does
-    one that is not complete ``timeout_millis`` of event time after its chunks. State holds at most one
-    payload per index, and none once a frame is known to be bad.
+    and hash. A frame that is not whole ``timeout_millis`` of event time after its chunks gives a row with an
+    error code and no data; a NULL key gives one at once. State holds at most one payload per index, none
+    once a frame cannot become whole, and until the time limit the mere key of a finished one, whose chunks
+    are left out if they are delivered again. For high rates see ``streaming.frames``.
     """
     schema = StructType.fromDDL(", ".join(
         [f"{f.name} {f.dataType.simpleString()}" for f in chunks.select(*keys).schema] + [_RESULT]
@@ -35,42 +47,47 @@ def reassemble(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_
         def result(n: int, data: bytes | None, error: str | None) -> pd.DataFrame:
             return pd.DataFrame([[*key, n, data, error]], columns=schema.fieldNames())
 
-        final, error, n_rows, indexes, payloads, expected = (
-            state.get if state.exists else (None, None, 0, [], [], None)
+        if any(pd.isna(k) for k in key):
+            yield result(sum(len(batch) for batch in batches), None, NO_KEY)
+            return
+        done, low, high, n_rows, n_null, indexes, payloads, expected = (
+            state.get if state.exists else (False, None, None, 0, 0, [], [], None)
         )
         if state.hasTimedOut:
             state.remove()
-            contiguous = sorted(indexes) == list(range(len(indexes)))
-            yield result(n_rows, None, error or (COUNT if contiguous else SEQUENCE))
+            if not done:
+                yield result(n_rows, None, frame_error(low, high, n_rows, set(indexes), n_null))
             return
 
-        held = dict(zip(indexes, payloads))
+        seen, held = set(indexes), dict(zip(indexes, payloads))
         for batch in batches:
+            if done:
+                continue
             rows = zip(batch["chunk_index"], batch["final_chunk_index"], batch["data"], batch["hash"])
-            for index, row_final, data, row_hash in rows:
+            for index, final, data, row_hash in rows:
                 n_rows += 1
-                if error:
-                    continue
-                if final is None:
-                    final, expected = int(row_final), row_hash
-                if row_final != final:
-                    error = FINAL_MISMATCH
-                elif not 0 <= index <= final or final >= MAX_CHUNKS:
-                    error = INDEX_RANGE
-                elif index in held:
-                    error = SEQUENCE
+                if not pd.isna(final):
+                    low = int(final) if low is None else min(low, int(final))
+                    high = int(final) if high is None else max(high, int(final))
+                if expected is None and row_hash is not None:
+                    expected = row_hash
+                if pd.isna(index):
+                    n_null += 1
                 else:
-                    held[int(index)] = data
-                if error:
-                    held = {}
-        if not error and final is not None and len(held) == final + 1:
-            if state.exists:
-                state.remove()
-            whole = b"".join(held[i] for i in range(final + 1))
+                    seen.add(int(index))
+                    held.setdefault(int(index), data)
+        lost = n_null or len(seen) != n_rows or low != high or len(seen) > MAX_CHUNKS or (
+            high is not None and seen and not 0 <= min(seen) <= max(seen) <= high)
+        if lost:  # only what the error code needs
+            seen = {min(seen), max(seen)} | set(sorted(seen)[:MAX_CHUNKS]) if seen else seen
+            held = {}
+        if not done and not lost and frame_error(low, high, n_rows, seen) is None:
+            whole = b"".join(held[i] or b"" for i in range(high + 1))
             valid = expected is None or hashlib.sha1(whole).digest()[:codec.HASH_BYTES] == expected
             yield result(n_rows, whole if valid else None, None if valid else HASH)
-            return
-        state.update((final, error, n_rows, list(held), list(held.values()), expected))
+            done, seen, held = True, set(), {}
+        order = sorted(seen)
+        state.update((done, low, high, n_rows, n_null, order, [held.get(i) for i in order] if held else [], expected))
         event_millis = int(key[ts_position].timestamp() * 1000)
         state.setTimeoutTimestamp(max(event_millis, state.getCurrentWatermarkMs()) + timeout_millis)
 

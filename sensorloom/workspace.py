@@ -62,8 +62,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the shared one."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder below the shared one, in a folder of the session that goes when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/sensorloom-{spark.sparkContext.applicationId}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{path}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_json_stream_with_declared_schema(spark, tmp_path):
     parts = schemas.normalize_names(logs.json_stream(spark, folder, schemas.FILE_CHUNK, max_files=1))
     found = run.to_table(parts, "json").collect()
     assert len(found) == 24
-    assert sum(bytes(r["data"]) == b"east " for r in found) == 8
+    assert sum(bytes(r["data"]) == b"east " for r in found) == 7
 
 
 def test_stream_join_of_chunks_then_dedup(spark, tmp_path):
@@ -153,6 +153,63 @@ def test_bad_frames_become_error_rows(spark, tmp_path, assemble):
     }
 
 
+@both
+def test_nulls_are_error_rows_and_codes_have_one_order(spark, tmp_path, assemble):
+    """A NULL does not end the stream; of several faults all forms report the same one."""
+    stream = Stream(spark, str(tmp_path), CHUNK)
+    part = (bytearray(b"x"), None)
+    rows = [
+        (0, seconds(0), 0, None, *part), (1, seconds(0), None, 0, *part),
+        (2, seconds(0), 0, 1, *part), (2, seconds(0), 0, 1, *part), (2, seconds(0), 1, 2, *part),
+        (3, seconds(0), 0, 0, *part)]
+    stream.add(rows)
+    stream.add([(9, seconds(60), 0, 0, *part)])
+    stream.add([(9, seconds(120), 0, 0, *part)])
+    found = {k: v for k, v in frames_of(assemble(stream)).items() if k[0] != 9}
+    batch = spark.createDataFrame(rows, CHUNK)
+    expected = {(r["camera"], 0): (None, r["error"]) for r in chunks.errors(batch, ["camera", "ts"]).collect()}
+    assert found == {**expected, (3, 0): (b"x", None)}
+    assert [expected[c, 0][1] for c in range(3)] == [chunks.FINAL_MISMATCH, chunks.SEQUENCE, chunks.FINAL_MISMATCH]
+
+
+@both
+def test_a_frame_delivered_again_comes_once(spark, tmp_path, assemble):
+    stream = Stream(spark, str(tmp_path), CHUNK)
+    rows = sorted(chunk_rows(spark, [(1, 0, bytes(range(20))), (2, 1, b"one chunk"[:5])]))
+    stream.add(rows)
+    stream.add(rows[:2])
+    stream.add(rows[2:])
+    stream.add(chunk_rows(spark, [(9, 60, b"later")]))
+    stream.add(chunk_rows(spark, [(9, 120, b"later")]))
+    found = [r for r in assemble(stream).collect() if r["camera"] != 9]
+    assert sorted((r["camera"], bytes(r["data"]), r["error"]) for r in found) == [
+        (1, bytes(range(20)), None), (2, b"one c", None)]
+
+
+def test_a_null_key_is_an_error_row(spark, tmp_path):
+    stream = Stream(spark, str(tmp_path), CHUNK)
+    stream.add([(None, seconds(0), 0, 0, bytearray(b"x"), None), (1, None, 0, 0, bytearray(b"x"), None)])
+    assert {(r["camera"], r["error"]) for r in with_state(stream).collect()} == {(None, chunks.NO_KEY), (1, chunks.NO_KEY)}
+
+
+def test_bounded_streams_are_whole_in_any_number_of_batches(spark, tmp_path):
+    rng = random.Random(8)
+    rows = sorted(((rng.randrange(4), seconds(rng.randrange(900)), float(i)) for i in range(300)), key=lambda r: r[1])
+    batch = spark.createDataFrame(rows, READING)
+
+    def windows(df):
+        return ev.window_counts(df.withWatermark("ts", "30 seconds"), ["d"], "ts", "20 seconds", "10 seconds")
+
+    for files in (1, 5):
+        stream = Stream(spark, str(tmp_path / str(files)), READING)
+        for i in range(files):
+            stream.add(rows[i * 300 // files:(i + 1) * 300 // files])
+        source = logs.scan_stream(spark, f"{stream.folder}/in/*", READING, max_files=1)
+        found = run.to_finished_table(
+            windows(source), lambda mark: windows(batch).filter(F.col("window_end") > F.lit(mark)), "whole")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, windows(batch).collect()))
+
+
 @both
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path, assemble):
     """Half a frame before the restart and half after it; windows counted once."""
