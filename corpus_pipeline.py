@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import decontaminate, language, near_dups, packing, secret_scan
 from sensorloom.llm.common import staged, table
 from sensorloom.llm.queries import tokenizer_path
+from sensorloom.workspace import LARGE_ROW_CONF, configure
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +37,22 @@ def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [
+def _with_settings(stage):
+    """The stage with Arrow batches in a size fit for long texts."""
+    @functools.wraps(stage)
+    def configured(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark, LARGE_ROW_CONF), docs, sf_dir)
+
+    return configured
+
+
+STAGES = [(name, _with_settings(stage)) for name, stage in (
     ("language_id", identify_language),
     ("near_dedup", drop_near_duplicates),
     ("decontamination", drop_benchmark_leaks),
     ("secret_scan", mask_secrets),
     ("packing", pack_batches),
-]
+)]
 
 # The language model and the tilings are not expressible in SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
