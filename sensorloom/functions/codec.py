@@ -30,18 +30,20 @@ def decode_json(df: DataFrame, ddl: str, event: str = "event", mode: str = "PERM
 def decode_required(df: DataFrame, ddl: str, required: list[str], event: str = "event") -> DataFrame:
     """Like ``decode_json``, with a ``decode_error`` column: NULL, ``malformed`` or ``missing <field>``.
 
+    A field with an explicit null is there.
     Good rows go on, the others to an error table; use ``require`` to fail the job instead.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(decode_text(F.col(event)), f"{ddl}, {CORRUPT} string", options)
     others = [name for name in df.columns if name != event]
     fields = StructType.fromDDL(ddl).fieldNames()
+    present = F.json_object_keys(decode_text(F.col(event)))
     missing = F.coalesce(*[
-        F.when(F.col(f"_parsed.{name}").isNull(), F.lit(f"missing {name}")) for name in required
+        F.when(~F.array_contains("_present", name), F.lit(f"missing {name}")) for name in required
     ])
     error = F.when(F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull(), F.lit("malformed"))
     return (
-        df.select(*others, parsed.alias("_parsed"))
+        df.select(*others, parsed.alias("_parsed"), present.alias("_present"))
         .select(*others, *[f"_parsed.{name}" for name in fields],
                 F.coalesce(error, missing).alias("decode_error"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Field names and types of the producers' records.
 LOG = "scope string, stream string, segment_id long, offset long, routing_key string, event binary"
 SENSOR = "timestamp timestamp, event_type string, device_id string, temp_celsius double"
 FORCE = "punchID double, Force double, eventTime timestamp"
@@ -29,13 +30,13 @@ FIELD_NAMES = {
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
-    """Rename camel-case fields, and turn (chunk, num_chunks) into (chunk_index, final_chunk_index)."""
+    """Rename camel-case fields, and turn (chunk, num_chunks) into (chunk_index, final_chunk_index), as wide as they are."""
     renames = {old: new for old, new in FIELD_NAMES.items() if old in df.columns}
     df = df.withColumnsRenamed(renames)
     if "chunk" in df.columns:
-        df = df.withColumn("chunk_index", F.col("chunk").cast("smallint")).drop("chunk")
+        df = df.withColumn("chunk_index", F.col("chunk")).drop("chunk")
     if "num_chunks" in df.columns:
-        df = df.withColumn("final_chunk_index", (F.col("num_chunks") - 1).cast("smallint")).drop("num_chunks")
+        df = df.withColumn("final_chunk_index", F.col("num_chunks") - 1).drop("num_chunks")
     return df
 
 

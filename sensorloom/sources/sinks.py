@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sensorloom.functions import codec
+from sensorloom.workspace import STREAMING_CONF, configure
 
 
 def to_events(df: DataFrame, key: Column, *columns: str) -> DataFrame:
@@ -42,6 +43,8 @@ def write_per_frame(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def stream_writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataStreamWriter:
+    """Append, with the state of a long-running stream off the heap (``workspace.STREAMING_CONF``)."""
+    configure(df.sparkSession, STREAMING_CONF)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 

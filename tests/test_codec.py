@@ -67,11 +67,12 @@ def test_decode_sensor_json(spark):
 
 
 def test_required_fields(spark):
-    events = [b'{"camera": 1, "data": "YWJj"}', b'{"camera": 1}', b'{"camera": ', b'{"data": "YWJj", "camera": "x"}']
+    events = [b'{"camera": 1, "data": "YWJj"}', b'{"camera": 1}', b'{"camera": ', b'{"data": "YWJj", "camera": "x"}',
+              b'{"camera": null, "data": "YWJj"}']
     frame = spark.createDataFrame([(i, bytearray(e)) for i, e in enumerate(events)], "id int, event binary")
     checked = codec.decode_required(frame, schemas.GRID_PLAYER, ["camera", "data"])
     assert {r["id"]: r["decode_error"] for r in checked.collect()} == {
-        0: None, 1: "missing data", 2: "malformed", 3: "malformed"}
+        0: None, 1: "missing data", 2: "malformed", 3: "malformed", 4: None}
     assert codec.require(checked.filter("id = 0")).count() == 1
     with pytest.raises(Exception, match="missing data"):
         codec.require(checked.filter("id < 2")).collect()

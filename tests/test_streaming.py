@@ -372,3 +372,9 @@ def test_rocksdb_state(spark, readings):
     finally:
         for name, value in previous.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_streams_keep_state_off_the_heap(spark, readings):
+    readings.add([(1, seconds(1), 1.0)])
+    readings.run(lambda df: ev.window_counts(df.withWatermark("ts", "1 second"), ["d"], "ts", "10 seconds"))
+    assert all(spark.conf.get(name) == value for name, value in STREAMING_CONF.items())
