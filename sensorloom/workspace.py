@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,11 @@ LARGE_ROW_CONF = {
 def configure(spark: SparkSession, *groups: dict[str, str]) -> SparkSession:
     """Apply RUNTIME_CONF and any further groups to a session.
 
-    A local session also gets no more shuffle partitions than it has cores: every state partition of a
+    A session in one process also gets no more shuffle partitions than it has cores: every state partition of a
     stream costs files in each micro-batch. On a cluster the number is left as it is set.
     """
     context, partitions = spark.sparkContext, "spark.sql.shuffle.partitions"
-    if context.master.startswith("local") and int(spark.conf.get(partitions)) > context.defaultParallelism:
+    if re.match(r"local(\[|$)", context.master) and int(spark.conf.get(partitions)) > context.defaultParallelism:
         spark.conf.set(partitions, str(context.defaultParallelism))
     for group in (RUNTIME_CONF, *groups):
         for name, value in group.items():
@@ -54,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         path = tempfile.mkdtemp(prefix="sensorloom-")
     if context.getCheckpointDir() is None:
