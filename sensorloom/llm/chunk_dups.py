@@ -60,21 +60,15 @@ def _chunked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return row, start - offsets[row], end - offsets[row], common.word_hashes(data, start, end)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            yield batch.slice(at, 512)
-
-
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _slices(batches):
+    for batch in common.slices(batches):
         digest, n = np.unique(_chunked(batch)[3], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(n)], names=["digest", "n"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The chunks that may be repeated, with their place and a 128-bit digest."""
-    for batch in _slices(batches):
+    for batch in common.slices(batches):
         row, start, end, digest = _chunked(batch)
         data, offsets = common.text_bytes(batch.column("text"))
         whole, first = data.tobytes(), np.concatenate([[True], row[1:] != row[:-1]])[:len(row)]

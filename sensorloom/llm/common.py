@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.workspace import configure, run_dir
+from sensorloom.workspace import LARGE_ROW_CONF, configure, run_dir
 
+SEGMENT_BYTES = 1 << 20  # of text that words are hashed in at a time
+SLICE_BYTES = 1 << 20  # of text that operators on bytes take at a time
 FILTER_BITS = 26  # 2**26 bits, 8 MB, whatever the number of keys
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, with Arrow batches in a size fit for long texts."""
+    return configure(spark, LARGE_ROW_CONF).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -64,15 +72,42 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(powers)
 
 
+@lru_cache(maxsize=2)
+def powers(base: int) -> np.ndarray:
+    """The powers of ``base`` modulo 2**64 from 0 on, one for each byte of a segment."""
+    return _powers(base, SEGMENT_BYTES)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word: a polynomial over byte values by prefix sums, then mixed."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, n), out=sums[1:])
-    inverse = _powers(pow(_BASE, -1, 1 << 64), n)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of the bytes of each word: a polynomial over byte values by prefix sums, then mixed.
+
+    The sums are of one segment of words at a time, so that memory does not grow with the text; a word longer
+    than a segment has one of its own.
+    """
+    out, first, n = np.zeros(len(starts), np.uint64), 0, len(starts)
+    while first < n:
+        low = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, low + SEGMENT_BYTES, side="right")))
+        size = int(ends[last - 1]) - low
+        up, down = (powers(b) if size <= SEGMENT_BYTES else _powers(b, size) for b in (_BASE, _INVERSE))
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data[low:low + size]] * up[:size], out=sums[1:])
+        a, b = starts[first:last] - low, ends[first:last] - low
+        out[first:last] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        first = last
+    return out
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in slices of SLICE_BYTES of the text column, or of one row if that has more."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def runs(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

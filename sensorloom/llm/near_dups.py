@@ -99,13 +99,8 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def _signed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in _slices(whole)):
+    for batch in common.slices(batches):
         sets = shingle_sets(batch.column("text"))
         filled = [i for i, s in enumerate(sets) if len(s)]
         keys: list = [None] * len(sets)
@@ -118,7 +113,7 @@ def _signed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in _slices(whole)):
+    for batch in common.slices(batches):
         packed = [s.tobytes() for s in shingle_sets(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("candidate"), batch.column("node"), batch.column("blocks"), pa.array(packed, pa.binary())],
