@@ -17,10 +17,10 @@ from sensorloom.llm.common import staged
 ORDER = 4  # bytes of an n-gram, at most 7
 START, END = 0xFF, 0xFE  # bytes that UTF-8 does not use
 SYMBOLS = 257  # what may follow: any byte or the end
-BLOCK_BYTES = 16 << 20  # of text in a scoring group
+BLOCK_BYTES = 8 << 20  # of text in a scoring group
 HELD_OUT = 3  # one trusted text in so many is not trained on, but used for the thresholds
 QUANTILE = 0.995  # of the held-out trusted texts of a language, that are to stay
-SLICE = 1 << 21  # positions counted at a time
+SLICE = 1 << 19  # positions counted at a time
 SCORE_UNIT = 1000  # scores are whole thousandths of a bit per byte
 
 
