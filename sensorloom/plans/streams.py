@@ -45,18 +45,28 @@ def stream_json_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.to_table(read, "stream-json").withColumn("timestamp", plain("timestamp"))
 
 
+def _joined(spark: SparkSession, sf_dir: str, condition: str, how: str, name: str) -> DataFrame:
+    """Chunk joins as one keyed aggregate: a frame comes when the watermark has passed its time."""
+    def frames_of(documents: DataFrame) -> DataFrame:
+        parts = payloads.thirds(documents).filter(condition).withWatermark("timestamp", DELAY)
+        joined = chunks.join_chunks(parts, FRAME_KEYS, payloads.JOIN_CHUNKS, how)
+        return joined.select(
+            *FRAME_KEYS, F.sha1(chunks.concat_chunks(payloads.JOIN_CHUNKS, False)).alias("plain_sha1"),
+            F.sha1(chunks.concat_chunks(payloads.JOIN_CHUNKS, True)).alias("safe_sha1"))
+
+    return _finished(spark, sf_dir, name, "documents", frames_of, "timestamp")
+
+
 def stream_chunk_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames of three chunks by stream-stream joins, then one row per frame."""
-    parts = payloads.thirds(table_stream(spark, sf_dir, "documents")).filter("final_chunk_index = 2") \
-        .withWatermark("timestamp", DELAY)
-    joined = None
-    for i in range(payloads.JOIN_CHUNKS):
-        side = parts.filter(F.col("chunk_index") == i).select(*FRAME_KEYS, F.col("data").alias(f"data_{i}"))
-        # Copies of a chunk go before they can multiply in the join.
-        side = side.dropDuplicates(FRAME_KEYS)
-        joined = side if joined is None else joined.join(side, FRAME_KEYS)
-    whole = joined.select(*FRAME_KEYS, F.sha1(chunks.concat_chunks(payloads.JOIN_CHUNKS, False)).alias("data_sha1"))
-    return run.to_table(whole, "stream-chunk-join").select("doc_id", "data_sha1")
+    """Frames of exactly three chunks."""
+    found = _joined(spark, sf_dir, "final_chunk_index = 2", "inner", "stream-chunk-join")
+    return found.select("doc_id", F.col("plain_sha1").alias("data_sha1"))
+
+
+def stream_chunk_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of up to three chunks."""
+    found = _joined(spark, sf_dir, "final_chunk_index <= 2", "left", "stream-chunk-left")
+    return found.select("doc_id", "plain_sha1", "safe_sha1")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +183,43 @@ def stream_grid_frame_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("camera", plain("window_start"), "frame_number")
 
 
+def stream_camera_grid_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole camera job: chunks to frames, shrink, last per camera, grid, number, chunks, write by key.
+
+    Frames come out of the chunk stream per micro-batch; a second stream makes one grid of each window. The
+    written events are read back and put together again.
+    """
+    keys = ["camera", "frame_number", "ssrc", "timestamp"]
+    images = pixel_frames(table_stream(spark, sf_dir, "embeddings")).withColumn("data", px.to_bytes(F.col("pixels")))
+    parts = chunks.split(images.select(*keys, "data", codec.frame_hash(F.col("data")).alias("hash")), 24)
+    base = run_dir(spark, "camera-job")
+    frames.reassemble_to_table(parts, keys, "timestamp", base, f"{base}/checkpoint").awaitTermination()
+    schema, resize = frames.frame_schema(parts, keys), udfs.resize_bytes(TILE, TILE, camera_frames.HALF, camera_frames.HALF)
+
+    def windows(found: DataFrame) -> DataFrame:
+        small = found.filter("error IS NULL").withWatermark("timestamp", "1 second").withColumn("data", resize("data"))
+        return grid.grid_rows(grid.last_per_camera(small, "timestamp", f"{camera_frames.WINDOW_MILLIS} milliseconds"))
+
+    folder = f"{base}/frames/batch=*"
+    rows = run.to_finished_table(
+        windows(logs.scan_stream(spark, folder, schema)),
+        lambda mark: windows(spark.read.schema(schema).parquet(folder)).filter(F.col("window_end") > F.lit(mark)), "camera-grid")
+    canvas = grid.compose(rows, camera_frames.HALF, camera_frames.HALF).withColumn("camera", F.lit(camera_frames.OUT_CAMERA))
+    numbered = grid.number_frames(canvas, camera_frames.WINDOW_MILLIS * 1000).select(
+        "camera", "window_start", "frame_number", "data", codec.frame_hash(F.col("data")).alias("hash"))
+    fields = ["camera", "window_start", "frame_number", "data", "hash", "chunk_index", "final_chunk_index"]
+    events = chunks.split(numbered, 64).select(
+        codec.routing_key(F.col("camera")).alias("routing_key"), "frame_number", "chunk_index",
+        codec.encode_json(*fields).alias("event"))
+    sinks.write_routed(events, f"{base}/grids", ["frame_number", "chunk_index"])
+    ddl = ("camera int, window_start timestamp, frame_number bigint, data binary, hash binary, "
+           "chunk_index smallint, final_chunk_index smallint")
+    read = codec.decode_json(spark.read.schema(events.schema).parquet(f"{base}/grids").select("event"), ddl, mode="FAILFAST")
+    whole = chunks.check_hash(chunks.reassemble(read, ["camera", "window_start", "frame_number"], carry=["hash"]))
+    return whole.select("camera", plain("window_start"), "frame_number", "n_chunks",
+                        F.octet_length("data").alias("n_bytes"), "is_hash_valid")
+
+
 def stream_table_tumble_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table form on a stream: JSON events with row time, tumbling windows of 100 ms."""
     path = run_dir(spark, "json-frames")
@@ -214,7 +261,7 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_json_chunks, stream_chunk_join_inner, stream_dedup, stream_chunk_reassemble,
+    stream_json_chunks, stream_chunk_join_inner, stream_chunk_join_left, stream_camera_grid_job, stream_dedup, stream_chunk_reassemble,
     stream_chunk_reassemble_batches, stream_interval_join,
     stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
     stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_foreach_batch,
@@ -234,6 +281,12 @@ ORACLES = {
                (final_chunk_index + 1)::INT AS num_chunks, sha1(data) AS data_sha1
         FROM ({CHUNKS_SQL})""",
     "stream_chunk_join_inner": payloads.ORACLES["chunk_join_inner"],
+    "stream_chunk_join_left": payloads.ORACLES["chunk_join_left"],
+    "stream_camera_grid_job": f"""
+        SELECT {camera_frames.OUT_CAMERA} AS camera, window_start,
+               row_number() OVER (ORDER BY window_start) - 1 AS frame_number,
+               ((n_bytes + 63) // 64)::BIGINT AS n_chunks, n_bytes, true AS is_hash_valid
+        FROM ({_SINK_SQL})""",
     "stream_dedup": "SELECT DISTINCT date_trunc('hour', ts) AS hour, user_id AS device_id FROM events",
     "stream_chunk_reassemble": f"""
         SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
