@@ -6,6 +6,7 @@ from sensorloom.llm import decontaminate, near_dups, secret_scan
 from sensorloom.llm.common import table
 from tests.llm.samples import frame, odd_rows, sentence
 from tests.llm.test_near_dups import brute_force
+from tests.llm.test_secret_scan import brute_force as spans
 
 DIR = "/root/testdata/sf0.001"
 
@@ -37,7 +38,8 @@ def test_each_stage_does_its_work(spark, stages):
     assert sorted(r.doc_id for r in unique) == sorted(kept)
     assert {r.doc_id for r in clean} <= {r.doc_id for r in unique} and len(clean) >= 0.9 * len(unique)
     assert [r.doc_id for r in sorted(masked)] == [r.doc_id for r in sorted(clean)]
-    assert any(secret_scan.PLACEHOLDER in r.text for r in masked)
+    after = {r.doc_id: r.text for r in masked}
+    assert all((secret_scan.PLACEHOLDER in after[r.doc_id]) == bool(spans(r.text)[1]) for r in clean)
     assert {r.doc_id for r in packed} == {r.doc_id for r in masked}
 
 
