@@ -14,9 +14,14 @@ from sensorloom.llm import common
 from sensorloom.llm.common import staged
 
 WINDOW = 16  # bytes that decide about a cut
-MASK_BITS = 5  # a cut after one byte in 32, on average
+SPREAD = 8  # consecutive candidates of which one at least is a cut: chunks of 4.5 words on average
+LONG_WORD = 32  # bytes without a space behind which bytes are candidates too
+MASK_BITS = 3  # a candidate after one of those bytes in 8, on average
 SMALLEST, LARGEST = 8, 256  # bytes of a chunk; the last of a text may be shorter
 PASSAGE = 96  # bytes of consecutive repeated chunks that make a repeated passage
+# Words of them that do, however short. Of 51 words, the first WINDOW / 2 may lack hashed bytes, and 2 * SPREAD - 1
+# at either side may hold cuts that depend on what stands around the passage: 14 words remain.
+WORDS = 14
 
 _GEAR = common.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -31,17 +36,40 @@ def gear(data: np.ndarray) -> np.ndarray:
     return hashed
 
 
+def word_starts(data: np.ndarray) -> np.ndarray:
+    """Whether a word starts at each byte: behind white space, or any character of scripts written without spaces."""
+    space, starts = data <= 32, data >= 0xE0
+    starts[1:] |= space[:-1] & ~space[1:]
+    starts[:1] = True
+    return starts & (data != 0xE2)  # U+2000 to U+2FFF are punctuation and signs
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of one text: where the upper bits of the window's hash are zero, within the size limits."""
-    if not len(data):
+    """Ends of the chunks of one text, within the size limits.
+
+    Candidates are the starts of words, and within long words the characters that the upper bits of the hash choose.
+    A cut is where the hash of the bytes ahead is the least of SPREAD consecutive candidates, so that cuts depend on
+    the words around them alone and no passage is without one for longer than that.
+    """
+    n = len(data)
+    if not n:
         return np.zeros(0, np.int64)
-    marks = np.flatnonzero((gear(data) >> np.uint64(64 - MASK_BITS)) == 0) + 1
+    hashed = gear(data)
+    starts, place = word_starts(data), np.arange(n)
+    away = place - np.maximum.accumulate(np.where(starts, place, 0))
+    inner = data & 0xC0 == 0x80
+    starts[1:] |= (hashed[:-1] >> np.uint64(64 - MASK_BITS) == 0) & (away[1:] > LONG_WORD) & ~inner[1:]
+    at = np.flatnonzero(starts[1:]) + 1
+    marks = np.zeros(0, np.int64)
+    if len(at) >= SPREAD:
+        windows = np.lib.stride_tricks.sliding_window_view(common.mix(hashed[at - 1]), SPREAD)
+        marks = at[np.unique(windows.argmin(axis=1) + np.arange(len(windows)))]
     ends, last = [], 0
-    for mark in [*marks.tolist(), len(data)]:
+    for mark in [*marks.tolist(), n]:
         while mark - last > LARGEST:
-            last += LARGEST
+            last += next((k for k in range(LARGEST, LARGEST - 4, -1) if not inner[last + k]), LARGEST)
             ends.append(last)
-        if mark - last >= SMALLEST or mark == len(data) and mark > last:
+        if mark - last >= SMALLEST or mark == n and mark > last:
             ends.append(mark)
             last = mark
     return np.array(ends, np.int64)
@@ -72,6 +100,9 @@ def _repeated(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[p
         row, start, end, digest = _chunked(batch)
         data, offsets = common.text_bytes(batch.column("text"))
         whole, first = data.tobytes(), np.concatenate([[True], row[1:] != row[:-1]])[:len(row)]
+        begun = word_starts(data)
+        begun[offsets[row[first]]] = True
+        words = np.diff(np.cumsum(begun)[offsets[row] + end - 1], prepend=0) if len(row) else row
         index = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
         kept = np.flatnonzero(common.may_hold(bits, digest))
         begins, ends = offsets[row[kept]] + start[kept], offsets[row[kept]] + end[kept]
@@ -79,15 +110,16 @@ def _repeated(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[p
         rows = pa.array(row[kept])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(rows), batch.column("tie").take(rows), pa.array(strong, pa.binary()),
-             pa.array(index[kept]), pa.array(start[kept]), pa.array(end[kept])],
-            names=["doc_id", "tie", "digest", "at", "start", "end"])
+             pa.array(index[kept]), pa.array(start[kept]), pa.array(end[kept]), pa.array(words[kept].astype(np.int64))],
+            names=["doc_id", "tie", "digest", "at", "start", "end", "words"])
 
 
 def passages(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
-    """doc_id, start, end, copies, original: the spans of ``shortest`` bytes or more that other documents hold too.
+    """doc_id, start, end, copies, original: the spans of ``shortest`` bytes or WORDS words or more that other documents hold too.
 
     Texts are cut where the rolling hash says so, hence at the same places in every copy of a passage, whatever
-    was inserted before it. Chunks are counted by a 64-bit hash, those that occur twice are found again through a
+    was inserted before it. Every passage of more than 50 words that documents share has a span; a span ends at the
+    cuts next to the passage's edges. Chunks are counted by a 64-bit hash, those that occur twice are found again through a
     filter of fixed size, and joined by a 128-bit digest. Consecutive chunks that occur in two or more documents
     make a span, in bytes of the UTF-8 text; ``copies`` is how often its most frequent chunk occurs, and
     ``original`` tells that no chunk of it occurs in a document of smaller (doc_id, text hash).
@@ -103,19 +135,19 @@ def passages(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
     bits = documents.sparkSession.sparkContext.broadcast(common.bit_filter(twice, "digest"))
     chunks = staged(documents.mapInArrow(
         lambda batches: _repeated(batches, bits.value),
-        "doc_id bigint, tie bigint, digest binary, at bigint, start bigint, end bigint"), "chunks")
+        "doc_id bigint, tie bigint, digest binary, at bigint, start bigint, end bigint, words bigint"), "chunks")
     holder = F.struct("doc_id", "tie")
     shared = chunks.groupBy("digest").agg(
         F.count("*").alias("copies"), F.min(holder).alias("first"), F.max(holder).alias("last")).where("first <> last")
     found = chunks.join(shared, "digest").select(
-        "doc_id", "tie", "at", "start", "end", "copies", (F.col("first") == holder).alias("original")
+        "doc_id", "tie", "at", "start", "end", "words", "copies", (F.col("first") == holder).alias("original")
     ).dropDuplicates(["doc_id", "tie", "at"])
     order = Window.partitionBy("doc_id", "tie").orderBy("at")
     return (
         found.withColumn("run", F.col("at") - F.row_number().over(order))
         .groupBy("doc_id", "tie", "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"),
-             F.every("original").alias("original"))
-        .where(F.col("end") - F.col("start") >= shortest)
+             F.every("original").alias("original"), F.sum("words").alias("words"))
+        .where((F.col("end") - F.col("start") >= shortest) | (F.col("words") >= WORDS))
         .select("doc_id", "start", "end", "copies", "original")
     )

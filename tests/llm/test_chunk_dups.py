@@ -72,3 +72,29 @@ def test_passages_as_brute_force(spark):
 def test_nothing_repeated_and_empty_table(spark):
     assert chunk_dups.passages(frame(spark, [(i, sentence(i, 3)) for i in range(5)])).count() == 0
     assert chunk_dups.passages(frame(spark, [])).count() == 0
+
+
+def test_every_passage_of_51_words_is_found(spark):
+    pick, rows = random.Random(3), []
+    for i in range(1500):
+        longest = 1 if i % 3 == 0 else 3 if i % 3 == 1 else 9
+        words = ["".join(pick.choice("abcdefghijklmnop") for _ in range(pick.randint(1, longest))) for _ in range(51)]
+        for k in range(2):
+            around = prose(10_000 + 2 * i + k, 60).split(" ")
+            at = pick.randrange(61)
+            rows.append((2 * i + k, " ".join([*around[:at], *words, *around[at:]])))
+    found = {r.doc_id for r in chunk_dups.passages(frame(spark, rows)).select("doc_id").collect()}
+    assert found == set(range(3000))
+
+
+def test_passages_of_other_scripts(spark):
+    pick, rows = random.Random(4), []
+    for i in range(100):
+        passage = "".join(chr(pick.randrange(0x4E00, 0x9000)) for _ in range(51))
+        for k in range(2):
+            ahead, behind = ("".join(chr(pick.randrange(0x4E00, 0x9000)) for _ in range(40)) for _ in range(2))
+            rows.append((2 * i + k, ahead + passage + behind))
+    assert {r.doc_id for r in chunk_dups.passages(frame(spark, rows)).collect()} == set(range(200))
+    for _, text in rows[:20]:
+        ends = [0, *chunk_dups.cuts(data(text)).tolist()]
+        assert "".join(text.encode()[a:b].decode() for a, b in zip(ends, ends[1:])) == text
