@@ -114,15 +114,16 @@ def _repeated(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[p
             names=["doc_id", "tie", "digest", "at", "start", "end", "words"])
 
 
-def passages(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
-    """doc_id, start, end, copies, original: the spans of ``shortest`` bytes or WORDS words or more that other documents hold too.
+def _spans(documents: DataFrame, shortest: int) -> DataFrame:
+    """doc_id, tie, start, end, copies, original, repeats: the spans of ``shortest`` bytes or WORDS words or more that other documents hold too.
 
     Texts are cut where the rolling hash says so, hence at the same places in every copy of a passage, whatever
     was inserted before it. Every passage of more than 50 words that documents share has a span; a span ends at the
     cuts next to the passage's edges. Chunks are counted by a 64-bit hash, those that occur twice are found again through a
     filter of fixed size, and joined by a 128-bit digest. Consecutive chunks that occur in two or more documents
     make a span, in bytes of the UTF-8 text; ``copies`` is how often its most frequent chunk occurs, and
-    ``original`` tells that no chunk of it occurs in a document of smaller (doc_id, text hash).
+    ``original`` tells that no chunk of it occurs in a document of smaller (doc_id, text hash). ``repeats`` are the
+    parts of the span, in order, whose chunks do: what to drop, so that each chunk stays in its first holder.
 
     Null and empty texts have no chunk. Rows without doc_id take part, with a null one in the result; rows
     that repeat both doc_id and text are the same document.
@@ -142,12 +143,41 @@ def passages(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
     found = chunks.join(shared, "digest").select(
         "doc_id", "tie", "at", "start", "end", "words", "copies", (F.col("first") == holder).alias("original")
     ).dropDuplicates(["doc_id", "tie", "at"])
-    order = Window.partitionBy("doc_id", "tie").orderBy("at")
+    order = Window.partitionBy("doc_id", "tie").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    alike = F.when(F.col("original"), F.sum(F.col("original").cast("int")).over(order)).otherwise(
+        F.sum((~F.col("original")).cast("int")).over(order))
+    parts = (
+        found.withColumn("run", F.col("at") - F.row_number().over(order)).withColumn("part", F.col("at") - alike)
+        .groupBy("doc_id", "tie", "run", "part", "original")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"),
+             F.sum("words").alias("words"))
+    )
+    again = F.collect_list(F.when(~F.col("original"), F.struct("start", "end")))
     return (
-        found.withColumn("run", F.col("at") - F.row_number().over(order))
-        .groupBy("doc_id", "tie", "run")
+        parts.groupBy("doc_id", "tie", "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"),
-             F.every("original").alias("original"), F.sum("words").alias("words"))
+             F.every("original").alias("original"), F.sum("words").alias("words"), F.array_sort(again).alias("repeats"))
         .where((F.col("end") - F.col("start") >= shortest) | (F.col("words") >= WORDS))
-        .select("doc_id", "start", "end", "copies", "original")
+        .select("doc_id", "tie", "start", "end", "copies", "original", "repeats")
     )
+
+
+def passages(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
+    """doc_id, start, end, copies, original, repeats: the spans of ``_spans``."""
+    return _spans(documents, shortest).drop("tie")
+
+
+def deduplicated(documents: DataFrame, shortest: int = PASSAGE) -> DataFrame:
+    """doc_id, text of each document without the ``repeats`` of its passages; a repeated chunk stays in its first holder.
+
+    Rows that repeat both doc_id and text are one document and give one row; null and empty texts stay as they are.
+    """
+    rows = documents.select("doc_id", F.xxhash64("text").alias("tie"), "text").dropDuplicates(["doc_id", "tie"])
+    drop = _spans(documents, shortest).groupBy(F.col("doc_id").alias("id"), F.col("tie").alias("hash")).agg(
+        F.array_sort(F.flatten(F.collect_list("repeats"))).alias("drop"))
+    kept = F.arrays_zip(F.concat(F.array(F.lit(0).cast("bigint")), F.col("drop.end")).alias("start"),
+                        F.concat("drop.start", F.array(F.octet_length("text").cast("bigint"))).alias("end"))
+    pieces = F.transform(kept, lambda p: F.substring(
+        F.col("text").cast("binary"), p["start"].cast("int") + 1, (p["end"] - p["start"]).cast("int")).cast("string"))
+    return rows.join(drop, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash")), "left").select(
+        "doc_id", F.when(F.size("drop") > 0, F.array_join(pieces, "")).otherwise(F.col("text")).alias("text"))

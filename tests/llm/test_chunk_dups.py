@@ -98,3 +98,31 @@ def test_passages_of_other_scripts(spark):
     for _, text in rows[:20]:
         ends = [0, *chunk_dups.cuts(data(text)).tolist()]
         assert "".join(text.encode()[a:b].decode() for a, b in zip(ends, ends[1:])) == text
+
+
+def test_each_repeated_chunk_survives_once(spark):
+    quote, whole, other = prose(900, 70), prose(901, 120), prose(902, 90)
+    copied = f"{whole} {quote} {other}"
+    rows = [(3, f"{prose(903, 40)} {quote} {prose(904, 40)}"), (7, copied), (9, copied), (9, copied), (None, None),
+            (11, f"é漢 {prose(905, 30)}\n{copied}"), (12, ""), (13, f"{prose(906, 40)} {other}")]
+    chunks = lambda text: {text.encode()[a:b] for ends in [chunk_dups.cuts(data(text)).tolist()]
+                           for a, b in zip([0, *ends], ends)}
+    found = chunk_dups.passages(frame(spark, rows)).collect()
+    first = {}
+    for doc_id, text in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
+        for c in chunks(text):
+            first.setdefault(c, doc_id)
+    for r in found:
+        text = dict(rows)[r.doc_id].encode()
+        at = [0, *chunk_dups.cuts(data(text.decode())).tolist()]
+        for a, b in zip(at, at[1:]):
+            if r.start <= a and b <= r.end:
+                assert (first[text[a:b]] != r.doc_id) == any(x.start <= a and b <= x.end for x in r.repeats)
+    assert all(r.original == (not r.repeats) for r in found)
+    kept = chunk_dups.deduplicated(frame(spark, rows)).collect()
+    texts = {r.doc_id: r.text for r in kept}
+    assert len(kept) == 7 and texts[None] is None and texts[12] == "" and texts[3] == rows[0][1]
+    assert texts[9] == "" and len(texts[7]) < len(whole) + len(other) + 80 and texts[11].startswith("é漢 ")
+    for part in (quote, whole, other):
+        middle = part[60:-60]
+        assert sum((t or "").count(middle) for t in texts.values()) == 1
