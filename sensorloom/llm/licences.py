@@ -20,7 +20,9 @@ from sensorloom.llm.common import staged
 
 UNKNOWN = "unknown"
 NEGATIVES = 4000  # corpus paragraphs to train on, on average, chosen by a hash
-COMMON = 0.01  # share of those paragraphs from which a word is too common to be a feature by itself
+# Function words of the templates, which are no feature by themselves.
+FUNCTION = frozenset("a all along and any are as at by except have in is it may not of or should that the this to under with "
+                     "without you".split())
 CONFIRM = 0.6  # least share of a template's word trigrams in the paragraph
 HELD_OUT = 3  # one training row in so many is for the calibration
 WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -146,20 +148,18 @@ def train(documents: DataFrame, negatives: int = NEGATIVES) -> Model:
 
     The paragraphs come from texts chosen by a hash of doc_id, whole texts each, and count as unknown unless
     they hold most of a template. Features are the templates' n-grams of one to three words that have a word
-    which is rare in the corpus, so a paragraph without any such word has no feature and is unknown.
+    other than FUNCTION, whatever the corpus holds, so a paragraph without any such word is unknown.
     """
     spark = documents.sparkSession
     n_texts = documents.count()
     share = F.lit(min(1.0, negatives / 4 / max(1, n_texts)) * 1e6)
-    corpus = paragraphs(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)).select("text")
-    corpus = corpus.where(F.pmod(F.xxhash64("text"), F.lit(4)) == 0)
+    corpus = paragraphs(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share))
+    corpus = corpus.where(F.pmod(F.xxhash64("doc_id", "paragraph"), F.lit(4)) == 0).select("text")
     templates = [" ".join(re.findall(WORD, t.lower())) for sentences in TEMPLATES.values() for t in sentences]
     tokens = {w for t in templates for w in t.split(" ")}
     listed = {" ".join(t.split(" ")[i:i + n]) for t in templates for n in (1, 2, 3) for i in range(t.count(" ") + 2 - n)}
-    seen = corpus.select(F.explode(F.array_distinct(words(F.col("text")))).alias("w")).where(F.col("w").isin(sorted(tokens)))
-    common = seen.groupBy("w").count().where(F.col("count") > COMMON * corpus.count())
-    rare = tokens - {row["w"] for row in common.collect()}
-    vocabulary = sorted(g for g in listed if rare.intersection(g.split(" ")))
+    able = tokens - FUNCTION
+    vocabulary = sorted(g for g in listed if able.intersection(g.split(" ")))
     own = _rows(spark, _examples(), "text string, family string")
     families = [UNKNOWN, *TEMPLATES]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
@@ -175,7 +175,7 @@ def train(documents: DataFrame, negatives: int = NEGATIVES) -> Model:
     fitted = LogisticRegression(family="multinomial", regParam=1e-3, elasticNetParam=0.0, maxIter=60).fit(featured.where(~held))
     matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     weights = {g: [float(w) for w in matrix[:, i]] for i, g in enumerate(vocabulary)}
-    model = Model(families, weights, [float(x) for x in intercepts], 1.0, 0.0, sorted(rare))
+    model = Model(families, weights, [float(x) for x in intercepts], 1.0, 0.0, sorted(able))
     scored = _predicted(rows.where(held).withColumn("id", F.monotonically_increasing_id()), model, ["id", "label"])
     right = (F.get(F.array(*[F.lit(f) for f in families]), F.col("label").cast("int")) == F.col("family")).cast("double")
     margins = scored.select(F.array(F.col("margin")).alias("margins"), right.alias("label"))

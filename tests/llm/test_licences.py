@@ -49,3 +49,10 @@ def test_no_python_in_the_plan(spark, model):
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert licences.scan(empty, licences.train(empty)).count() == 0
+
+
+def test_a_notice_in_a_third_of_the_documents(spark):
+    rows = [(i, f"{sentence(i, 30)}\nThis library is licensed under the GNU Lesser General Public License, version 3.\n" * (i % 3 == 0) + sentence(5000 + i, 30)) for i in range(900)]
+    documents = frame(spark, rows)
+    found = licences.scan(documents, licences.train(documents)).where("family = 'LGPL-3.0'").select("doc_id", "paragraph").collect()
+    assert sorted(map(tuple, found)) == [(i, 1) for i in range(0, 900, 3)]
