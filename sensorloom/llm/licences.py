@@ -24,6 +24,7 @@ NEGATIVES = 4000  # corpus paragraphs to train on, on average, chosen by a hash
 FUNCTION = frozenset("a all along and any are as at by except have in is it may not of or should that the this to under with "
                      "without you".split())
 CONFIRM = 0.6  # least share of a template's word trigrams in the paragraph
+WRAP = 8  # lines that a wrapped notice may take
 HELD_OUT = 3  # one training row in so many is for the calibration
 WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
@@ -217,27 +218,62 @@ def _predicted(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
                         (-F.log(rest)).alias("margin"))
 
 
+def _wrapped(documents: DataFrame, pattern: str) -> DataFrame:
+    """(doc_id, paragraph, lines, text, head, tail): adjacent lines that may hold a template together.
+
+    ``head`` and ``tail`` are the text without its last and its first line; each of the two adds trigrams of templates.
+    """
+    known = F.array(*[F.lit(g) for g in sorted({g for ss in TEMPLATES.values() for t in ss for g in _trigrams(t)})])
+
+    def held(text: str) -> Column:
+        return F.size(F.array_intersect(known, grams(words(F.col(text)), (3,))))
+
+    none = F.array().cast("array<int>")
+    lines = documents.select("doc_id", F.split("text", "\n").alias("line"))
+    lines = lines.withColumn("able", F.transform("line", lambda x: x.rlike(pattern)))
+    starts = F.filter(F.sequence(F.lit(1), F.size("line")), lambda i: F.get("able", i - 1))
+    near = F.transform(starts, lambda i: F.struct(
+        (i - 1).alias("paragraph"), F.slice("line", i, WRAP).alias("line"), F.slice("able", i, WRAP).alias("able")))
+    lines = lines.select("doc_id", F.inline(near))
+    ends = F.when(F.size("line") > 1, F.sequence(F.lit(2), F.size("line"))).otherwise(none)
+    ends = F.filter(ends, lambda n: F.get("able", n - 1) & F.forall(F.slice("line", 1, n), lambda x: F.trim(x) != ""))
+    found = lines.select("doc_id", "paragraph", "line", F.explode(ends).alias("lines")).select(
+        "doc_id", "paragraph", "lines", F.array_join(F.slice("line", F.lit(1), F.col("lines")), "\n").alias("text"),
+        F.array_join(F.slice("line", F.lit(1), F.col("lines") - 1), "\n").alias("head"),
+        F.array_join(F.slice("line", F.lit(2), F.col("lines") - 1), "\n").alias("tail"))
+    return found.where((held("text") > 1) & (held("text") > held("head")) & (held("text") > held("tail")))
+
+
 def scan(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, paragraph, predicted, probability, similarity, family for each paragraph with a feature word.
+    """doc_id, paragraph, predicted, probability, similarity, family, lines for each paragraph with a feature word.
 
     ``predicted`` is the regression's class, ``probability`` the calibrated chance that it is right, and
     ``similarity`` the greatest share of a template of that family in the paragraph. ``family`` is the predicted
-    one if the probability is at least one half and a template confirms it, and otherwise unknown.
+    one if the probability is at least one half and a template confirms it, and otherwise unknown. A paragraph is
+    a line; a notice wrapped over up to WRAP lines without a blank one between is a further row, with its first line
+    and how many ``lines`` it takes, if it is of a family that it confirms in no fewer of these lines.
 
     Paragraphs without any feature word are unknown by the model and not in the result, so neither are null and
     empty texts. Rows without doc_id are scanned too; repeated rows give each paragraph once.
     """
     pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(w.replace('.', '[.]') for w in model.words) or '(?!)'})(?![a-z0-9])"
-    able = paragraphs(documents.select("doc_id", "text").where(F.col("text").rlike(pattern))).where(
-        F.col("text").rlike(pattern)).dropDuplicates()
-    found = _predicted(_with_grams(able), model, ["doc_id", "paragraph", "trigrams"])
-    similarity = F.lit(0.0)
+    documents = documents.select("doc_id", "text").where(F.col("text").rlike(pattern))
+    single = paragraphs(documents).where(F.col("text").rlike(pattern)).select(
+        "doc_id", "paragraph", F.lit(1).alias("lines"), "text", F.lit("").alias("head"), F.lit("").alias("tail"))
+    rows = _with_grams(single.union(_wrapped(documents, pattern)).dropDuplicates()).withColumns(
+        {c: grams(words(F.col(c)), (3,)) for c in ("head", "tail")})
+    found = _predicted(rows, model, ["doc_id", "paragraph", "lines", "trigrams", "head", "tail"])
+    similarity = less = F.lit(0.0)
     for family, sentences in TEMPLATES.items():
-        similarity = F.when(F.col("family") == family, _similarity(F.col("trigrams"), sentences)).otherwise(similarity)
+        own = F.col("family") == family
+        similarity = F.when(own, _similarity(F.col("trigrams"), sentences)).otherwise(similarity)
+        less = F.when(own & (F.col("lines") > 1), F.greatest(
+            _similarity(F.col("head"), sentences), _similarity(F.col("tail"), sentences))).otherwise(less)
     probability = 1 / (1 + F.exp(-(model.slope * F.col("margin") + model.offset)))
     sure = (F.col("probability") >= 0.5) & (F.col("similarity") >= CONFIRM)
     return (
         found.withColumn("similarity", similarity).withColumn("probability", probability)
+        .where((F.col("lines") == 1) | sure & (less < CONFIRM))
         .select("doc_id", "paragraph", F.col("family").alias("predicted"), "probability", "similarity",
-                F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"))
+                F.when(sure, F.col("family")).otherwise(UNKNOWN).alias("family"), "lines")
     )

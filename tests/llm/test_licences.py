@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from sensorloom.llm import licences
@@ -56,3 +58,21 @@ def test_a_notice_in_a_third_of_the_documents(spark):
     documents = frame(spark, rows)
     found = licences.scan(documents, licences.train(documents)).where("family = 'LGPL-3.0'").select("doc_id", "paragraph").collect()
     assert sorted(map(tuple, found)) == [(i, 1) for i in range(0, 900, 3)]
+
+
+def test_wrapped_notices(spark, model):
+    rows, want = odd_rows(), set()
+    long = [(f, t) for f, sentences in licences.TEMPLATES.items() for t in sentences if len(t.split()) >= 18]
+    for i, (family, text) in enumerate(long):
+        for k, width in enumerate((30, 45, 70)):
+            lines = textwrap.wrap(text, width)
+            rows.append((1000 + 10 * i + k, "\n".join([sentence(i, 30), "", *(f" * {x}" for x in lines), "", sentence(k, 20)])))
+            want.add((1000 + 10 * i + k, family))
+    rows.append((2000, "Redistribution and use in source and binary forms, with or without\n"
+                       "modification, are permitted provided that the following conditions are met:"))
+    rows.append((2001, "    This program is free software: you can redistribute it and/or modify\n"
+                       "    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation."))
+    rows.append((2002, "Released under the\n\nMIT License."))
+    found = [r for r in licences.scan(frame(spark, rows), model).collect() if r.family != licences.UNKNOWN]
+    assert {(r.doc_id, r.family) for r in found} == want | {(2000, "BSD-3-Clause"), (2001, "GPL-3.0")}
+    assert all(1 <= r.lines <= licences.WRAP and r.similarity >= licences.CONFIRM for r in found)
