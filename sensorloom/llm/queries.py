@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import (
-    chunk_dups, decontaminate, kneser_ney, language, licences, near_dups, packing, secret_scan, token_files, top_k,
+    chunk_dups, decontaminate, kneser_ney, language, licences, near_dups, packing, prefix_trie, secret_scan, token_files,
+    top_k,
 )
 from sensorloom.llm.common import table
 
@@ -59,6 +60,10 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -145,6 +150,38 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, r.component_id
 FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = s.doc_id
 """
 
+# The checksum bit by bit; then every prefix of every rebuilt conversation, and every prefix of every node.
+OP11_SQL = """
+WITH turns AS (
+    SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+    SELECT conv_id, list(x ORDER BY pos) AS own, xor(list_reduce(
+        [4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+        lambda crc, s: list_reduce([xor(crc, s), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 6 AS h
+    FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT c.conv_id, coalesce(b.own[1:c.h], []) || c.own[c.h + 1:] AS r
+    FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+nodes AS (
+    SELECT r[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(r) = d), '')) AS ends_sha256
+    FROM (SELECT conv_id, r, unnest(range(0, len(r) + 1)) AS d FROM rebuilt) GROUP BY ALL),
+children AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+valued AS (
+    SELECT v.*, coalesce(c.n, 0) AS n_children,
+           CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(v.node[d].text) END AS saved
+    FROM nodes v LEFT JOIN children c ON c.node = v.node),
+totals AS (
+    SELECT node[1:i] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM valued) GROUP BY ALL)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves, t.saved_tokens,
+       v.ends_sha256, coalesce(length(v.node[v.d].text), 0)::BIGINT AS last_chars
+FROM valued v JOIN totals t ON t.node = v.node LEFT JOIN nodes p ON v.d > 0 AND p.node = v.node[1:v.d - 1]
+"""
+
 QUERIES = {
     "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_maxscore_top_k": op2_maxscore_top_k,
@@ -156,10 +193,12 @@ QUERIES = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_language_id": op9_language_id,
     "op10_length_buckets": op10_length_buckets,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES = {
     "op2_maxscore_top_k": OP2_SQL,
     "op6_secret_scan": OP6_SQL,
     "op7_minhash_near_dedup": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }
