@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import (
     chunk_dups, decontaminate, kneser_ney, language, licences, near_dups, packing, prefix_trie, secret_scan, token_files,
-    top_k,
+    top_k, whitening,
 )
 from sensorloom.llm.common import table
 
@@ -64,6 +64,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -194,6 +198,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_length_buckets": op10_length_buckets,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLES = {
