@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import (
     chunk_dups, decontaminate, kneser_ney, language, licences, near_dups, packing, prefix_trie, secret_scan, token_files,
-    top_k, whitening,
+    top_k, vector_dups, whitening,
 )
 from sensorloom.llm.common import table
 
@@ -68,6 +68,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.groups(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -186,6 +190,22 @@ SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_chil
 FROM valued v JOIN totals t ON t.node = v.node LEFT JOIN nodes p ON v.d > 0 AND p.node = v.node[1:v.d - 1]
 """
 
+OP13_SQL = """
+WITH RECURSIVE able AS (
+    SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))))
+    WHERE list_bool_or(list_transform(v, lambda x: x <> 0))),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, r.component_id, r.component_id = e.vec_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
+LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
 QUERIES = {
     "op1_kneser_ney_quality": op1_kneser_ney_quality,
     "op2_maxscore_top_k": op2_maxscore_top_k,
@@ -199,6 +219,7 @@ QUERIES = {
     "op10_length_buckets": op10_length_buckets,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 ORACLES = {
@@ -206,4 +227,5 @@ ORACLES = {
     "op6_secret_scan": OP6_SQL,
     "op7_minhash_near_dedup": OP7_SQL,
     "op11_prefix_trie": OP11_SQL,
+    "op13_embedding_near_dedup": OP13_SQL,
 }
