@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import pandas_udf, udtf
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructType
 
+from sensorloom.functions import resample
+
 
 @pandas_udf(DoubleType())
 def mean_score_bytes(data: pd.Series) -> pd.Series:
@@ -37,19 +39,33 @@ def pandas_mean(values: pd.Series) -> float:
 
 
 def resize_bytes(width: int, height: int, out_width: int, out_height: int, channels: int = 1) -> Callable:
-    """A UDF that shrinks raw frames by whole factors; the same result as ``block_mean``."""
-    if width % out_width or height % out_height:
-        raise ValueError("the output size must divide the input size")
-    across, down = width // out_width, height // out_height
+    """A UDF that resizes raw frames of one size to any other; the same result as ``block_mean``."""
+    resample.axis_weights(width, out_width), resample.axis_weights(height, out_height)
 
     @pandas_udf(BinaryType())
     def resize(data: pd.Series) -> pd.Series:
         present = data.notna()
         if not present.any():
             return data
-        frames = np.frombuffer(b"".join(data[present]), np.uint8)
-        small = _block_means(frames, out_height, down, out_width, across, channels).astype(np.uint8)
-        return _placed(present, [row.tobytes() for row in small.reshape(int(present.sum()), -1)])
+        small = resample.area_means(resample.of_bytes(list(data[present]), height, width, channels), out_height, out_width)
+        return _placed(present, [row.tobytes() for row in small.astype(np.uint8)])
+
+    return resize
+
+
+def resize_area(out_width: int, out_height: int, channels: int = 1) -> Callable:
+    """A UDF of (data, width, height) that resizes raw frames of many sizes; NULL where any of the three is."""
+    resample.axis_weights(out_width, out_width), resample.axis_weights(out_height, out_height)
+
+    @pandas_udf(BinaryType())
+    def resize(data: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
+        found = pd.Series([None] * len(data), dtype=object)
+        sizes = pd.DataFrame({"width": width, "height": height})[data.notna()].dropna().astype(np.int64)
+        for (w, h), rows in sizes.groupby(["width", "height"]).groups.items():
+            small = resample.area_means(resample.of_bytes(list(data[rows]), int(h), int(w), channels), out_height, out_width)
+            for row, raw in zip(rows, small.astype(np.uint8), strict=True):
+                found[row] = raw.tobytes()
+        return found
 
     return resize
 
@@ -60,24 +76,17 @@ def _placed(present: pd.Series, values: list) -> pd.Series:
     return pd.Series([next(rest) if there else None for there in present], dtype=object)
 
 
-def _block_means(values: np.ndarray, out_height: int, down: int, out_width: int, across: int, channels: int) -> np.ndarray:
-    """Means of the blocks of all frames at once, rounded half up."""
-    total = values.reshape(-1, out_height, down, out_width, across, channels).sum(axis=(2, 4), dtype=np.int64)
-    return (2 * total + across * down) // (2 * across * down)
-
-
 def block_mean(width: int, height: int, out_width: int, out_height: int, channels: int = 1) -> Callable:
-    """A UDF that shrinks frames given as arrays of pixel values, of any size; the same result as ``resize_bytes``."""
-    if width % out_width or height % out_height:
-        raise ValueError("the output size must divide the input size")
-    across, down = width // out_width, height // out_height
+    """A UDF that resizes frames given as arrays of pixel values; the same result as ``resize_bytes``."""
+    resample.axis_weights(width, out_width), resample.axis_weights(height, out_height)
 
     @pandas_udf(ArrayType(IntegerType()))
     def resize(pixels: pd.Series) -> pd.Series:
         present = pixels.notna()
         if not present.any():
             return pixels
-        small = _block_means(np.concatenate(list(pixels[present])), out_height, down, out_width, across, channels)
+        frames = np.concatenate(list(pixels[present])).reshape(-1, height, width, channels)
+        small = resample.area_means(frames, out_height, out_width)
         return _placed(present, list(small.reshape(int(present.sum()), -1).astype(np.int32)))
 
     return resize

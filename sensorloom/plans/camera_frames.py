@@ -15,7 +15,8 @@ from sensorloom.workspace import run_dir
 WINDOW_MILLIS = 500
 HALF = TILE // 2
 HEAD_FRAMES = 20
-OUT_CAMERA = 1000
+ODD_WIDTH, ODD_HEIGHT = 5, 3
+OUT_CAMERA = 1000  # fixed value: the number of the grid's own camera
 GREY = 0
 BACKGROUND = 128
 
@@ -84,6 +85,20 @@ def frame_resize_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("camera", "frame_number", F.hex(small).alias("small_hex"))
 
 
+def frame_resize_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of three sizes, the whole one and its upper part or left part, to a size that divides none."""
+    pixels, odd = F.col("pixels"), F.col("frame_number") % 3
+    height = F.when(odd == 1, TILE - 1).otherwise(TILE)
+    width = F.when(odd == 2, TILE // 2).otherwise(TILE)
+    cut = (
+        F.when(odd == 1, F.slice(pixels, 1, TILE * (TILE - 1)))
+        .when(odd == 2, F.filter(pixels, lambda p, i: i % TILE < TILE // 2)).otherwise(pixels)
+    )
+    raw = _frames(spark, sf_dir).select("camera", "frame_number", px.to_bytes(cut).alias("data"), width.alias("width"), height.alias("height"))
+    small = udfs.resize_area(ODD_WIDTH, ODD_HEIGHT)("data", "width", "height")
+    return raw.select("camera", "frame_number", F.hex(small).alias("small_hex"))
+
+
 def grid_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = _last(spark, sf_dir).withColumn("data", px.to_bytes(F.col("pixels"))).drop("pixels")
     canvas = grid.compose(grid.grid_rows(last), TILE, TILE)
@@ -145,7 +160,7 @@ def group_frames_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     grid_last_per_camera, table_tumble_grid, grid_layout, grid_sources, grid_frame_number, frame_resize,
-    frame_resize_bytes, grid_compose, grid_compose_in_pandas, frame_mean_score, frame_mean_score_bytes, frame_metadata,
+    frame_resize_bytes, frame_resize_area, grid_compose, grid_compose_in_pandas, frame_mean_score, frame_mean_score_bytes, frame_metadata,
     frame_head_filter, group_frames_by_number,
 )}
 
@@ -176,6 +191,21 @@ _SMALL_SQL = f"""
     GROUP BY ALL
 """
 _RESIZE_SQL = f"SELECT camera, frame_number, {_HEX.format('small')} AS small_hex FROM ({_SMALL_SQL})"
+# Each pixel with each output pixel that it shares a part of, in units of 1/ODD_WIDTH and 1/ODD_HEIGHT.
+_AREA_SQL = f"""
+    SELECT camera, frame_number, list(v ORDER BY oy, ox) AS small FROM (
+        SELECT camera, frame_number, ox, oy, ((2 * sum(p * sx * sy) + w * h) // (2 * w * h))::INT AS v FROM (
+            SELECT *, least((x + 1) * {ODD_WIDTH}, (ox + 1) * w) - greatest(x * {ODD_WIDTH}, ox * w) AS sx,
+                   least((y + 1) * {ODD_HEIGHT}, (oy + 1) * h) - greatest(y * {ODD_HEIGHT}, oy * h) AS sy
+            FROM (SELECT *, i % {TILE} AS x, i // {TILE} AS y FROM (
+                SELECT camera, frame_number, unnest(pixels) AS p, unnest(range({TILE * TILE})) AS i,
+                       CASE WHEN frame_number % 3 = 2 THEN {TILE // 2} ELSE {TILE} END AS w,
+                       CASE WHEN frame_number % 3 = 1 THEN {TILE - 1} ELSE {TILE} END AS h FROM ({FRAMES_SQL}))),
+                 (SELECT unnest(range({ODD_WIDTH})) AS ox), (SELECT unnest(range({ODD_HEIGHT})) AS oy)
+            WHERE x < w AND y < h)
+        WHERE sx > 0 AND sy > 0 GROUP BY camera, frame_number, ox, oy, w, h)
+    GROUP BY ALL
+"""
 _SCORE_SQL = f"""
     SELECT camera, frame_number, {scaled_sql('list_sum(pixels)::DOUBLE / len(pixels) / 255.0::DOUBLE', 6)} AS score_e6
     FROM ({FRAMES_SQL})
@@ -213,6 +243,7 @@ ORACLES = {
         FROM ({LAST_SQL}) GROUP BY window_start""",
     "frame_resize": _RESIZE_SQL,
     "frame_resize_bytes": _RESIZE_SQL,
+    "frame_resize_area": f"SELECT camera, frame_number, {_HEX.format('small')} AS small_hex FROM ({_AREA_SQL})",
     "grid_compose": f"""
         SELECT window_start, side AS canvas_width, side AS canvas_height, {_CANVAS_HEX.format(0)} AS canvas_hex
         FROM ({_CANVAS_SQL}) GROUP BY window_start, side""",

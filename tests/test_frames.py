@@ -3,13 +3,14 @@ import math
 import random
 import struct
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.functions import frames as px
-from sensorloom.functions import udfs
+from sensorloom.functions import resample, udfs
 from sensorloom.operators import grid
 
 START = dt.datetime(2024, 1, 1)
@@ -42,11 +43,54 @@ def test_block_mean(spark, width, height, out_width, out_height, channels):
         assert row["a"] == expected == list(row["b"])
 
 
-def test_block_mean_needs_whole_factors(spark):
-    with pytest.raises(ValueError):
-        udfs.block_mean(8, 8, 3, 4)
+def overlaps(size, out_size):
+    """The share of each input pixel in each output pixel, as exact fractions."""
+    return [[max(Fraction(0), min(Fraction(i + 1), Fraction((o + 1) * size, out_size)) - max(Fraction(i), Fraction(o * size, out_size)))
+             for i in range(size)] for o in range(out_size)]
+
+
+@pytest.mark.parametrize("width,height,out_width,out_height,channels", [
+    (8, 8, 5, 3, 1), (7, 5, 4, 4, 3), (3, 2, 7, 5, 1), (1, 1, 3, 3, 1), (9, 4, 1, 4, 2), (6, 6, 6, 5, 1)])
+def test_area_means_as_fractions(width, height, out_width, out_height, channels):
+    image = random_frame(np.random.default_rng(2), width, height, channels).reshape(height, width, channels)
+    across, down = overlaps(width, out_width), overlaps(height, out_height)
+    area = Fraction(width * height, out_width * out_height)
+    want = [[[math.floor(sum(int(image[y, x, c]) * across[ox][x] * down[oy][y] for y in range(height) for x in range(width)) / area
+                         + Fraction(1, 2)) for c in range(channels)] for ox in range(out_width)] for oy in range(out_height)]
+    assert resample.area_means(image[None], out_height, out_width)[0].tolist() == want
+
+
+def test_resize_to_sizes_of_the_camera_jobs(spark):
+    """640 x 480 in colour to 100 x 100, 84 x 84 and 50 x 50, against dense matrices."""
+    image = random_frame(np.random.default_rng(3), 640, 480, 3)
+    frame = spark.createDataFrame([(bytearray(image.tobytes()),)] * 3, "data binary")
+    for out in (100, 84, 50):
+        across, down = (np.array(overlaps(n, out), float) for n in (640, 480))
+        exact = np.einsum("oy,yxc,px->opc", down, image.reshape(480, 640, 3).astype(float), across) * out * out / (640 * 480)
+        for row in frame.select(udfs.resize_bytes(640, 480, out, out, 3)("data").alias("b")).collect():
+            got = np.frombuffer(bytes(row["b"]), np.uint8).reshape(out, out, 3)
+            assert np.abs(got - exact).max() <= 0.5 + 1e-9
+
+
+def test_resize_of_many_sizes(spark):
+    rng = np.random.default_rng(4)
+    sizes = [(8, 8), (5, 7), (8, 8), (1, 3), (20, 11)]
+    images = [random_frame(rng, w, h) for w, h in sizes]
+    rows = [(i, bytearray(image.tobytes()), w, h) for i, (image, (w, h)) in enumerate(zip(images, sizes))]
+    rows += [(5, None, 8, 8), (6, bytearray(b"a"), None, 1), (7, bytearray(b"a"), 1, None)]
+    frame = spark.createDataFrame(rows, "i int, data binary, width int, height int")
+    found = {r["i"]: r["b"] for r in frame.select("i", udfs.resize_area(4, 3)("data", "width", "height").alias("b")).collect()}
+    for i, (image, (w, h)) in enumerate(zip(images, sizes)):
+        assert bytes(found[i]) == resample.area_means(image.reshape(1, h, w, 1), 3, 4).astype(np.uint8).tobytes()
+    assert found[5] is found[6] is found[7] is None
+
+
+def test_resize_of_a_frame_of_another_size(spark):
+    frame = spark.createDataFrame([(bytearray(b"abc"),)], "data binary")
+    with pytest.raises(Exception, match="a frame of 3 bytes is not 2 x 2"):
+        frame.select(udfs.resize_bytes(2, 2, 1, 1)("data")).collect()
     with pytest.raises(ValueError):
-        udfs.resize_bytes(8, 8, 3, 4)
+        udfs.resize_area(0, 4)
 
 
 def test_mean_score(spark):

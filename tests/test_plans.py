@@ -7,7 +7,7 @@ import pytest
 from sensorloom import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = {"frame_resize", "frame_resize_bytes", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_arrow_sum_per_key",
+PYTHON = {"frame_resize", "frame_resize_bytes", "frame_resize_area", "frame_mean_score_bytes", "grid_compose_in_pandas", "agg_arrow_sum_per_key",
           "udf_by_name", "window_mean_pandas"}
 BATCH = [n for n in plans.queries() if not n.startswith("stream_")]
 
