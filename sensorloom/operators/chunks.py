@@ -146,25 +146,23 @@ def join_chunks(chunks: DataFrame, keys: list[str], n: int, how: str = "inner")
     """Frames as an ``n``-way self-join on the index gives them, payloads as ``data_0`` ... ``data_<n-1>``.
 
     ``inner`` keeps frames that have all of the first ``n`` chunks, ``left`` those that have chunk 0. Of copies
-    of a chunk the least payload counts. It is one grouping and one shuffle, in place of a join for each chunk.
-    As in a join, a NULL key equals nothing: such frames go, or have chunk 0 alone.
+    of a chunk the least payload counts, and a group holds one payload for each index. It is one grouping and one
+    shuffle, in place of a join for each chunk. As in a join, a NULL key equals nothing: such rows go, or each
+    first chunk is a frame of its own, without the others; they are not grouped.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     index = F.col("chunk_index")
-    found = chunks.filter((index >= 0) & (index < n)).groupBy(*keys).agg(
-        F.collect_set(F.struct(index.cast("int").alias("i"), "data")).alias("_parts"))
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-
-    def of(i: int) -> Column:
-        return F.filter("_parts", lambda p: p["i"] == i)
-
+    # The set of indexes tells a chunk with a NULL payload from none, and holds no payload.
+    found = chunks.filter(~no_key & (index >= 0) & (index < n)).groupBy(*keys).agg(
+        F.collect_set(index.cast("int")).alias("_found"), *[F.min(F.when(index == i, F.col("data"))).alias(f"data_{i}") for i in range(n)])
+    names = [*keys, *[f"data_{i}" for i in range(n)]]
     if how == "inner":
-        whole = [F.size(of(i)) > 0 for i in range(n)]
-        found = found.filter(~no_key & reduce(Column.__and__, whole))
-        return found.select(*keys, *[F.array_min(of(i))["data"].alias(f"data_{i}") for i in range(n)])
-    return found.filter(F.size(of(0)) > 0).select(*keys, *[
-        F.when(~no_key | F.lit(i == 0), F.array_min(of(i))["data"]).alias(f"data_{i}") for i in range(n)])
+        return found.filter(F.size("_found") == n).select(*names)
+    alone = chunks.filter(no_key & (index == 0)).select(
+        *keys, F.col("data").alias("data_0"), *[F.lit(None).cast("binary").alias(name) for name in names[len(keys) + 1:]])
+    return found.filter(F.array_contains("_found", 0)).select(*names).unionByName(alone)
 
 
 def concat_chunks(n: int, null_safe: bool) -> Column:

@@ -16,6 +16,7 @@ FAULTS = 11
 JOIN_CHUNKS = 3
 # Offsets leave room for 32,768 chunks per document: a block has 64 documents.
 LOG_BLOCK_BITS = 21
+WRITERS = 4
 
 
 def chunk_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +43,30 @@ def chunk_v1_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = codec.v1_fields(F.col("event"))["chunk_index"]
     log = events.select((F.col("doc_id") % SEGMENTS).alias("segment_id"),
                         (F.col("doc_id") * chunks.MAX_CHUNKS + index).alias("offset"), "event")
-    whole = logs.scan_payloads(log, "chunked_v1", LOG_BLOCK_BITS)
+    whole = logs.scan_payloads(log, "chunked_v1", LOG_BLOCK_BITS, payload_bits=LOG_BLOCK_BITS)
+    return whole.select("segment_id", "offset", "n_chunks", F.sha1("data").alias("data_sha1"))
+
+
+def _interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in which four writers take turns in each segment: each sends one document's chunks at a time."""
+    frames = payloads(table(spark, sf_dir, "documents")).select("doc_id", "data")
+    events = chunks.split_v1(frames, codec.V1_SLICE_OVERHEAD + CHUNK_BYTES)
+    turn, writer = F.floor(F.col("doc_id") / WRITERS), F.col("doc_id") % WRITERS
+    index = codec.v1_fields(F.col("event"))["chunk_index"]
+    return events.select((turn % SEGMENTS).alias("segment_id"), ((turn * chunks.MAX_CHUNKS + index) * WRITERS + writer).alias("offset"),
+                         codec.routing_key(writer).alias("routing_key"), "event")
+
+
+def chunk_v1_scan_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole payloads from a log in which several writers interleave, told apart by routing key."""
+    whole = logs.scan_payloads(_interleaved(spark, sf_dir), "chunked_v1", LOG_BLOCK_BITS, by="routing_key", payload_bits=LOG_BLOCK_BITS)
+    return whole.select("segment_id", "offset", "n_chunks", F.sha1("data").alias("data_sha1"))
+
+
+def chunk_v1_scan_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the key, by the headers alone."""
+    log = _interleaved(spark, sf_dir).drop("routing_key")
+    whole = logs.scan_payloads(log, "chunked_v1", writers=WRITERS, payload_bits=LOG_BLOCK_BITS)
     return whole.select("segment_id", "offset", "n_chunks", F.sha1("data").alias("data_sha1"))
 
 
@@ -137,7 +161,7 @@ def frame_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    chunk_split, chunk_v1_roundtrip, chunk_v1_scan, chunk_reassemble, chunk_errors, chunk_reassemble_with_faults,
+    chunk_split, chunk_v1_roundtrip, chunk_v1_scan, chunk_v1_scan_by_key, chunk_v1_scan_matched, chunk_reassemble, chunk_errors, chunk_reassemble_with_faults,
     chunk_join_inner, chunk_join_left, dedup_frames, crc_prefix_check, frame_hash,
 )}
 
@@ -165,7 +189,16 @@ _THIRDS_SQL = f"""
                  greatest(1, (octet_length(encode(text)) + {JOIN_CHUNKS - 1}) // {JOIN_CHUNKS}) AS s FROM documents)
 """
 
+_INTERLEAVED_SQL = f"""
+    SELECT doc_id // {WRITERS} % {SEGMENTS} AS segment_id,
+           doc_id // {WRITERS} * {chunks.MAX_CHUNKS * WRITERS} + doc_id % {WRITERS} AS "offset",
+           {_N_SQL}::BIGINT AS n_chunks, sha1(encode(text)) AS data_sha1
+    FROM documents WHERE octet_length(encode(text)) > 0
+"""
+
 ORACLES = {
+    "chunk_v1_scan_by_key": _INTERLEAVED_SQL,
+    "chunk_v1_scan_matched": _INTERLEAVED_SQL,
     "chunk_split": f"""
         SELECT doc_id, chunk_index::INT AS chunk_index, final_chunk_index::INT AS final_chunk_index,
                octet_length(data)::INT AS n_bytes, hex(data) AS data_hex FROM ({CHUNKS_SQL})""",

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions import codec, times, udfs
@@ -54,7 +54,8 @@ def _joined(spark: SparkSession, sf_dir: str, condition: str, how: str, name: st
             *FRAME_KEYS, F.sha1(chunks.concat_chunks(payloads.JOIN_CHUNKS, False)).alias("plain_sha1"),
             F.sha1(chunks.concat_chunks(payloads.JOIN_CHUNKS, True)).alias("safe_sha1"))
 
-    return _finished(spark, sf_dir, name, "documents", frames_of, "timestamp")
+    # Chunks without a key wait for nothing: the stream has given them all.
+    return _finished(spark, sf_dir, name, "documents", frames_of, "timestamp", F.col("doc_id").isNotNull())
 
 
 def stream_chunk_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,12 +101,15 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _finished(spark: SparkSession, sf_dir: str, name: str, source: str, windows: Callable[[DataFrame], DataFrame],
-              end: str = "window_end",
+              end: str = "window_end", open_rows: Column | None = None,
               last: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """``windows`` over the table as a stream, with those still open at its end; ``last`` goes behind the choice."""
+    """``windows`` over the table as a stream, with those still open at its end; ``last`` goes behind the choice.
+
+    ``open_rows`` are those that may be open at all.
+    """
     def rest(watermark: datetime) -> DataFrame:
-        batch = windows(table(spark, sf_dir, source))
-        return last(batch.filter(F.col(end) > F.lit(watermark)))
+        batch = windows(table(spark, sf_dir, source)).filter(F.col(end) > F.lit(watermark))
+        return last(batch if open_rows is None else batch.filter(open_rows))
 
     return run.to_finished_table(last(windows(table_stream(spark, sf_dir, source))), rest, name)
 

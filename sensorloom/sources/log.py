@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from sensorloom.functions import codec
 from sensorloom.operators import chunks, ordering
 
+PAYLOAD_BITS = 9  # offsets that one group has payloads of, as a power of two: 512 MiB with the largest events
+
 
 def scan(spark: SparkSession, path: str, scope: str | None = None, stream: str | None = None) -> DataFrame:
     """The whole log, or one stream of it, from the earliest event."""
@@ -43,32 +47,122 @@ def _one_stream(log: DataFrame, scope: str | None, stream: str | None) -> DataFr
     return log
 
 
-def chunked_frames(log: DataFrame, bits: int = ordering.BLOCK_BITS) -> DataFrame:
-    """Chunked events with header fields, payload, and ``frame``: the number of first chunks so far.
+def segment_columns(log: DataFrame) -> list[str]:
+    """What tells the segments of a log apart: one stream's log may lack scope and stream."""
+    return [name for name in ("scope", "stream", "segment_id") if name in log.columns]
+
+
+def _headers(log: DataFrame, by: str | None) -> DataFrame:
+    """Place, header fields and writer of chunked events, without their payloads."""
+    fields = codec.v1_fields(F.col("event"))
+    named = [F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")).alias("writer")] if by else []
+    return log.select(*segment_columns(log), *named, "offset", fields["chunk_index"].alias("chunk_index"),
+                      fields["final_chunk_index"].alias("final_chunk_index"))
+
+
+def chunked_frames(log: DataFrame, bits: int = ordering.BLOCK_BITS, by: str | None = None, writers: int | None = None) -> DataFrame:
+    """Place and header fields of chunked events with the ``frame`` that they belong to; payloads stay out.
+
+    Chunked events name no frame. With one writer its chunks follow each other in their segment, and index 0
+    starts the next one: ``frame`` is the number of first chunks so far. Several writers interleave:
 
-    Chunked events name no frame: its chunks follow each other in their segment, and index 0 starts the next
-    one. ``bits`` is the size of the offset blocks in which they are counted, see ``ordering``.
+    - ``by`` names the column that tells them apart, such as the routing key (NULL is a writer of its own). The
+      frames of each are numbered, and a column ``writer`` is part of a frame's key.
+    - Without such a column ``writers`` is their number, and ``match_frames`` finds the frames.
+
+    ``bits`` is the size of the offset blocks in which first chunks are counted, see ``ordering``.
     """
-    parts = chunks.parse_v1(log).drop("version")
-    starts = (F.col("chunk_index") == 0).cast("int")
+    heads = _headers(log, by)
+    if writers is not None:
+        if by is not None:
+            raise ValueError("give either the writers' column or their number")
+        return match_frames(heads, segment_columns(log), writers)
+    key = [*segment_columns(log), *(["writer"] if by else [])]
     block = [ordering.offset_block(F.col("offset"), bits)]
-    return ordering.prefix_sum(parts, ["segment_id"], ["offset"], block, starts, "frame")
+    return ordering.prefix_sum(heads, key, ["offset"], block, (F.col("chunk_index") == 0).cast("int"), "frame")
+
 
+def match_frames(heads: DataFrame, segment: list[str], writers: int) -> DataFrame:
+    """Tell interleaved frames apart by their headers: a chunk goes to the oldest open frame that expects it.
 
-def scan_payloads(log: DataFrame, encoding: str | None = None, bits: int = ordering.BLOCK_BITS) -> DataFrame:
-    """Whole payloads as (segment_id, offset, data). With ``encoding='chunked_v1'`` chunked events are put
-    together in log order; ``offset`` is that of the first chunk. For the others see ``payload_errors``."""
+    Frames of one final index are matched apart from all others, in offset order; ``frame`` is the offset of the
+    first chunk. At most ``writers`` frames are open: a further first chunk closes the one that has waited
+    longest, whose writer must have given it up. A chunk that none expects is a frame of its own, of number
+    -1 - offset. The rows are a few numbers each, are sorted by Spark, and are taken one after another.
+    """
+    order = [*segment, "final_chunk_index", "offset"]
+    names = [*order, "chunk_index", "frame"]
+    fields = [heads.schema[name] for name in (*order, "chunk_index")]
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, opened = None, []  # of [next index, first offset, last offset], oldest first
+        for batch in batches:
+            frames = []
+            for *key, offset, index in zip(*(batch.column(name).to_pylist() for name in names[:-1]), strict=True):
+                if key != current:
+                    current, opened = key, []
+                final = key[-1]
+                if index == 0:
+                    frames.append(offset)
+                    if final:
+                        if len(opened) >= writers:
+                            opened.remove(min(opened, key=lambda f: f[2]))
+                        opened.append([1, offset, offset])
+                    continue
+                found = next((f for f in opened if f[0] == index), None)
+                if found is None:
+                    frames.append(-1 - offset)
+                    continue
+                frames.append(found[1])
+                found[0], found[2] = index + 1, offset
+                if index == final:
+                    opened.remove(found)
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names[:-1]), pa.array(frames, pa.int64())], names=names)
+
+    dealt = heads.select(*names[:-1]).repartition(*segment, "final_chunk_index").sortWithinPartitions(*order)
+    return dealt.mapInArrow(matched, StructType([*fields, StructField("frame", LongType())]))
+
+
+def scan_payloads(log: DataFrame, encoding: str | None = None, bits: int = ordering.BLOCK_BITS, by: str | None = None,
+                  writers: int | None = None, payload_bits: int = PAYLOAD_BITS) -> DataFrame:
+    """Whole payloads as (segment columns, offset, data). With ``encoding='chunked_v1'`` chunked events are put
+    together; ``offset`` is that of the first chunk. For the others see ``payload_errors``.
+
+    Frames are found on the headers alone, see ``chunked_frames``. Payloads are shuffled once, by blocks of
+    2**``payload_bits`` offsets: each block gets the small list of its chunks' frames and puts them together on
+    the spot. Only the parts of frames that go on over a block's end are shuffled again.
+    """
+    segment = segment_columns(log)
     if encoding is None:
-        return log.select("segment_id", "offset", F.col("event").alias("data"))
+        return log.select(*segment, "offset", F.col("event").alias("data"))
     if encoding != "chunked_v1":
         raise ValueError(f"unknown encoding {encoding!r}")
-    whole = chunks.reassemble(chunked_frames(log, bits), ["segment_id", "frame"], carry=["offset"])
-    return whole.select("segment_id", "offset", "n_chunks", "data")
+    frames = chunked_frames(log, bits, by, writers)
+    key = [*segment, *(["writer"] if by else []), "frame"]
+    block = ordering.offset_block(F.col("offset"), payload_bits).alias("block")
+    good = chunks.frame_status(frames, key).filter(F.col("error").isNull()).select(*key, F.col("n_rows").alias("n_chunks"))
+    span = frames.groupBy(*key).agg(F.min("offset").alias("start"), F.max(block).alias("last"))
+    placed = frames.join(good.join(span, key), key)
+    first = ordering.offset_block(F.col("start"), payload_bits)
+    mark = F.struct("start", "n_chunks", "chunk_index", (first != F.col("last")).alias("crosses"))
+    lists = placed.groupBy(*segment, block).agg(F.map_from_entries(F.collect_list(F.struct("offset", mark))).alias("marks"))
+    marked = (
+        log.select(*segment, "offset", block, "event").join(lists, [*segment, "block"])
+        .withColumn("mark", F.try_element_at("marks", "offset")).filter(F.col("mark").isNotNull())
+        .select(*segment, "block", "mark.*", codec.v1_fields(F.col("event"))["data"].alias("data"))
+    )
+    parts = marked.groupBy(*segment, "block", "start", "n_chunks", "crosses").agg(
+        F.min("chunk_index").alias("index"), F.expr("listagg(data) WITHIN GROUP (ORDER BY chunk_index)").alias("data"))
+    inside = parts.filter(~F.col("crosses")).select(*segment, "start", "n_chunks", "data")
+    across = parts.filter("crosses").groupBy(*segment, "start", "n_chunks").agg(
+        F.expr("listagg(data) WITHIN GROUP (ORDER BY index)").alias("data"))
+    return inside.unionByName(across).select(*segment, F.col("start").alias("offset"), "n_chunks", "data")
 
 
-def payload_errors(log: DataFrame, bits: int = ordering.BLOCK_BITS) -> DataFrame:
-    """The frames of a log of chunked events that are not whole; frame 0 is what precedes the first start."""
-    return chunks.errors(chunked_frames(log, bits), ["segment_id", "frame"])
+def payload_errors(log: DataFrame, bits: int = ordering.BLOCK_BITS, by: str | None = None, writers: int | None = None) -> DataFrame:
+    """The frames of a log of chunked events that are not whole; number 0 is what precedes the first start."""
+    key = [*segment_columns(log), *(["writer"] if by else []), "frame"]
+    return chunks.errors(chunked_frames(log, bits, by, writers), key)
 
 
 def register(log: DataFrame, name: str) -> DataFrame:
@@ -77,9 +171,9 @@ def register(log: DataFrame, name: str) -> DataFrame:
     return log.sparkSession.table(name)
 
 
-def extent(log: DataFrame) -> DataFrame:
-    """Head and tail (one past the last offset) of each segment."""
-    return log.groupBy("segment_id").agg(
+def extent(log: DataFrame, segment: Sequence[str] = ("segment_id",)) -> DataFrame:
+    """Head and tail (one past the last offset) of each segment; for several streams give ``segment_columns``."""
+    return log.groupBy(*segment).agg(
         F.min("offset").alias("head_offset"), (F.max("offset") + 1).alias("tail_offset")
     )
 

@@ -62,6 +62,9 @@ def test_join_of_copies_nulls_and_null_keys(spark):
     assert inner == {(1, b"a", b"c"), (2, None, b"d")}
     left = {tuple(r) for r in chunks.join_chunks(parts, ["id"], 2, "left").collect()}
     assert left == {(1, b"a", b"c"), (2, None, b"d"), (None, b"f", None)}
+    twice = parts.union(parts.filter("id IS NULL").selectExpr("id", "chunk_index", "cast('h' as binary)"))
+    lone = chunks.join_chunks(twice, ["id"], 2, "left").filter("id IS NULL").collect()
+    assert sorted(tuple(r) for r in lone) == [(None, b"f", None), (None, b"h", None)]
 
 
 def test_checks_of_the_frames(writers):

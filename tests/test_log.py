@@ -1,3 +1,4 @@
+import random
 import struct
 
 import pytest
@@ -157,3 +158,84 @@ def test_payloads_in_log_order(spark):
     assert logs.scan_payloads(log).count() == len(rows)
     with pytest.raises(ValueError):
         logs.scan_payloads(log, "other")
+
+
+def _chunked(writer, payload, size):
+    pieces = [payload[i:i + size] for i in range(0, len(payload), size)]
+    return [(writer, bytearray(struct.pack("!bxxxhh", 1, i, len(pieces) - 1) + piece)) for i, piece in enumerate(pieces)]
+
+
+def _interleaved(seed, gap=1):
+    """Three writers that take turns at random, each sending frame after frame; offsets of first chunks by payload."""
+    pick = random.Random(seed)
+    streams = {w: [p for n in range(12) for p in _chunked(w, bytes(pick.randrange(256) for _ in range(pick.choice([1, 5, 9, 30]))), 4)]
+               for w in ("a", "b", None)}
+    rows, offset = [], 0
+    while any(streams.values()):
+        writer = pick.choice([w for w, left in streams.items() if left])
+        rows.append((7, offset, *streams[writer].pop(0)))
+        offset += gap
+    return rows
+
+
+def _frames_of(rows):
+    """Each writer's events alone, one after another."""
+    found = []
+    for writer in ("a", "b", None):
+        start, data = None, b""
+        for _, offset, key, event in rows:
+            if key == writer:
+                _, index, final = struct.unpack("!bxxxhh", event[:8])
+                start, data = (offset, bytes(event[8:])) if index == 0 else (start, data + event[8:])
+                if index == final:
+                    found.append((7, start, final + 1, data))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("bits", [1, 3, 9])
+def test_interleaved_writers_by_key(spark, bits):
+    rows = _interleaved(1)
+    log = spark.createDataFrame(rows, "segment_id long, offset long, routing_key string, event binary").repartition(3)
+    whole = logs.scan_payloads(log, "chunked_v1", 2, by="routing_key", payload_bits=bits)
+    assert sorted((r[0], r[1], r[2], bytes(r[3])) for r in whole.collect()) == _frames_of(rows)
+    assert logs.payload_errors(log, by="routing_key").count() == 0
+    assert logs.payload_errors(log).count() > 0  # taken for one writer's
+    lost = log.filter("offset <> 5")
+    assert logs.payload_errors(lost, by="routing_key").count() <= 1
+    assert logs.scan_payloads(lost, "chunked_v1", by="routing_key").count() >= len(_frames_of(rows)) - 1
+
+
+def test_interleaved_writers_without_a_key(spark):
+    """Writers that keep their turns: the oldest frame that expects an index is the right one."""
+    pick = random.Random(3)
+    rows, offset = [], 0
+    for _ in range(20):
+        order = pick.sample(["a", "b", None], 3)
+        sent = {w: _chunked(w, bytes(pick.randrange(256) for _ in range(pick.choice([3, 8, 20]))), 4) for w in order}
+        while any(sent.values()):
+            for w in order:
+                if sent[w]:
+                    rows.append((7, offset, *sent[w].pop(0)))
+                    offset += 1
+    log = spark.createDataFrame(rows, "segment_id long, offset long, routing_key string, event binary").repartition(3)
+    whole = logs.scan_payloads(log.drop("routing_key"), "chunked_v1", writers=3, payload_bits=4)
+    assert sorted((r[0], r[1], r[2], bytes(r[3])) for r in whole.collect()) == _frames_of(rows)
+
+
+def test_a_frame_that_is_given_up_takes_no_other_frames_chunks(spark):
+    events = _chunked("a", b"12345678", 4)[:1] + _chunked("a", b"abcdefgh", 4) + _chunked("a", b"ABCDEFGH", 4) + _chunked("b", b"x" * 12, 4)[1:2]
+    log = spark.createDataFrame([(1, i, e) for i, (_, e) in enumerate(events)], "segment_id long, offset long, event binary")
+    whole = logs.scan_payloads(log, "chunked_v1", writers=1)
+    assert sorted((r["offset"], bytes(r["data"])) for r in whole.collect()) == [(1, b"abcdefgh"), (3, b"ABCDEFGH")]
+    assert sorted((r["frame"], r["error"]) for r in logs.payload_errors(log, writers=1).collect()) == [
+        (-6, "index_not_next"), (0, "count_differs")]
+    with pytest.raises(ValueError):
+        logs.chunked_frames(log, by="event", writers=2)
+
+
+def test_segments_of_several_streams_are_apart(spark):
+    rows = [("s", t, 1, i, e) for t in ("left", "right") for i, (_, e) in enumerate(_chunked(t, t.encode() * 3, 4))]
+    log = spark.createDataFrame(rows, "scope string, stream string, segment_id long, offset long, event binary")
+    whole = logs.scan_payloads(log, "chunked_v1")
+    assert sorted((r["stream"], bytes(r["data"])) for r in whole.collect()) == [("left", b"left" * 3), ("right", b"right" * 3)]
+    assert sorted((r["stream"], r["tail_offset"]) for r in logs.extent(log, logs.segment_columns(log)).collect()) == [("left", 3), ("right", 4)]
