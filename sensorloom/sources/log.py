@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from sensorloom.functions import codec
 from sensorloom.operators import chunks, ordering
+from sensorloom.workspace import materialize
 
 PAYLOAD_BITS = 9  # offsets that one group has payloads of, as a power of two: 512 MiB with the largest events
 
@@ -137,7 +138,8 @@ def scan_payloads(log: DataFrame, encoding: str | None = None, bits: int = order
         return log.select(*segment, "offset", F.col("event").alias("data"))
     if encoding != "chunked_v1":
         raise ValueError(f"unknown encoding {encoding!r}")
-    frames = chunked_frames(log, bits, by, writers)
+    # Written, as the three uses below would each read all events for their headers.
+    frames = materialize(chunked_frames(log, bits, by, writers))
     key = [*segment, *(["writer"] if by else []), "frame"]
     block = ordering.offset_block(F.col("offset"), payload_bits).alias("block")
     good = chunks.frame_status(frames, key).filter(F.col("error").isNull()).select(*key, F.col("n_rows").alias("n_chunks"))
