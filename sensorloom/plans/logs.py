@@ -12,9 +12,12 @@ from sensorloom.plans.tables import (
 )
 from sensorloom.sources import log as logs
 from sensorloom.sources import sinks
+from sensorloom.sources.transactions import TransactionalTable
 from sensorloom.workspace import run_dir
 
 COMMIT_PERIOD = 10
+WRITERS = 4
+ABORTED = (2, 1)  # writer and transaction
 SEED = 1
 SAMPLE = 1000
 
@@ -112,6 +115,23 @@ def txn_commit_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("lang", "doc_id", F.col("chunk_index").cast("int").alias("chunk_index"), "txn")
 
 
+def txn_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four writers with two transactions each, of which one is aborted after writing; what a reader then sees."""
+    schema = "writer bigint, doc_id bigint, chunk_index smallint, data binary"
+    events = payload_chunks(table(spark, sf_dir, "documents")).withColumn("writer", F.col("doc_id") % WRITERS)
+    target = TransactionalTable(spark, run_dir(spark, "transactions"), schema)
+    half = F.col("doc_id") % COMMIT_PERIOD < COMMIT_PERIOD // 2
+    for writer in range(WRITERS):
+        for part, rows in enumerate((half, ~half)):
+            transaction = target.begin(f"writer-{writer}-{part}")
+            transaction.write(events.filter((F.col("writer") == writer) & rows).select("writer", "doc_id", "chunk_index", "data"))
+            if (writer, part) == ABORTED:
+                transaction.abort()
+            else:
+                transaction.commit()
+    return target.read().select("writer", "doc_id", F.col("chunk_index").cast("int").alias("chunk_index"), F.sha1("data").alias("data_sha1"))
+
+
 def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All readings in random order as JSON, read back."""
     path = run_dir(spark, "export")
@@ -128,7 +148,7 @@ def limit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     log_scan_count, log_extent, log_bounded_read, log_tail_read, sql_view_scan, decode_utf8, decode_flatten,
-    json_required_fields, encode_json_event, iso_millis, routed_write_layout, txn_commit_groups,
+    json_required_fields, encode_json_event, iso_millis, routed_write_layout, txn_commit_groups, txn_write_read,
     training_export, limit_sample,
 )}
 
@@ -186,6 +206,9 @@ ORACLES = {
                           sum(commit_flag) OVER (PARTITION BY lang) AS commits FROM c)
         SELECT lang, doc_id, chunk_index, (seen - commit_flag)::BIGINT AS txn
         FROM s WHERE seen - commit_flag < commits""",
+    "txn_write_read": f"""
+        SELECT doc_id % {WRITERS} AS writer, doc_id, chunk_index::INT AS chunk_index, sha1(data) AS data_sha1 FROM ({CHUNKS_SQL})
+        WHERE NOT (doc_id % {WRITERS} = {ABORTED[0]} AND doc_id % {COMMIT_PERIOD} >= {COMMIT_PERIOD // 2})""",
     "training_export": """
         SELECT event_id, user_id AS device_id, ts AS timestamp, event_type, value AS temp_celsius FROM events""",
     "limit_sample": f"SELECT event_id, user_id, value FROM events ORDER BY event_id LIMIT {SAMPLE}",

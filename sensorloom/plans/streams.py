@@ -18,16 +18,17 @@ from sensorloom.operators import events as ev
 from sensorloom.plans import camera_frames, payloads, readings
 from sensorloom.plans import logs as logs_plan
 from sensorloom.plans.tables import (
-    CHUNKS_SQL, FRAMES_SQL, TILE, log, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
+    CHUNKS_SQL, FRAMES_SQL, SEGMENTS, TILE, log, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
 )
 from sensorloom.plans.tables import readings as as_readings
 from sensorloom.sources import log as logs
 from sensorloom.sources import sinks
-from sensorloom.streaming import frames, run, state
+from sensorloom.streaming import frames, positions, run, state
 from sensorloom.workspace import run_dir
 
 DELAY = "10 seconds"
 FRAME_KEYS = ["doc_id", "timestamp"]
+FILES = 4
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,31 @@ def stream_chunk_reassemble_batches(spark: SparkSession, sf_dir: str) -> DataFra
     return found.select("doc_id", plain("timestamp"), "n_chunks", F.sha1("data").alias("data_sha1"), "error")
 
 
+def stream_chunk_reassemble_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with payloads outside the state, from a chunk log of three parts that are a micro-batch each.
+
+    Every other chunk comes three seconds late, so that frames go on over the end of a part.
+    """
+    parts = payload_chunks(table(spark, sf_dir, "documents")).withColumns({
+        "segment_id": F.col("doc_id") % SEGMENTS, "offset": F.col("doc_id") * chunks.MAX_CHUNKS + F.col("chunk_index")})
+    base = run_dir(spark, "stream-reassemble-positions")
+    late = F.col("doc_id") + F.when(F.col("chunk_index") % 2 == 1, 3).otherwise(0)
+    ends = parts.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    step = ((ends["high"] or 0) - (ends["low"] or 0) + 4) // 3 + 1
+    for i in range(3):
+        start = (ends["low"] or 0) + i * step
+        parts.filter((late >= start) & (late < start + step)).repartition(FILES).write.mode("append").parquet(f"{base}/log")
+    stream = logs.scan_stream(spark, f"{base}/log", parts.schema, max_files=FILES)
+
+    def log(session: SparkSession) -> DataFrame:
+        return session.read.schema(parts.schema).parquet(f"{base}/log")
+
+    positions.reassemble_to_table(stream, log, FRAME_KEYS, "timestamp", DELAY, base, f"{base}/checkpoint",
+                                  buckets=spark.sparkContext.defaultParallelism).awaitTermination()
+    found = spark.read.schema(frames.frame_schema(parts, FRAME_KEYS)).parquet(f"{base}/frames")
+    return found.select("doc_id", plain("timestamp"), "n_chunks", F.sha1("data").alias("data_sha1"), "error")
+
+
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = readings.interval_sides(_readings(spark, sf_dir))
     pairs = ev.stream_interval_join(left, right, "device_id", "timestamp1", "timestamp2", readings.INTERVAL)
@@ -266,7 +292,7 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     stream_json_chunks, stream_chunk_join_inner, stream_chunk_join_left, stream_camera_grid_job, stream_dedup, stream_chunk_reassemble,
-    stream_chunk_reassemble_batches, stream_interval_join,
+    stream_chunk_reassemble_batches, stream_chunk_reassemble_positions, stream_interval_join,
     stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
     stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_foreach_batch,
 )}
@@ -298,6 +324,9 @@ ORACLES = {
     "stream_chunk_reassemble_batches": f"""
         SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
         FROM ({payloads.ORACLES['chunk_reassemble']})""",
+    "stream_chunk_reassemble_positions": f"""
+        SELECT doc_id, timestamp, n_chunks, data_sha1, NULL::VARCHAR AS error
+        FROM ({payloads.ORACLES['chunk_reassemble']})""",
     "stream_interval_join": readings.INTERVAL_SQL,
     "stream_sliding_count": readings.SLIDING_SQL,
     "stream_session_count": readings.SESSION_SQL,
