@@ -22,7 +22,8 @@ from sensorloom.plans.tables import (
 )
 from sensorloom.plans.tables import readings as as_readings
 from sensorloom.sources import log as logs
-from sensorloom.sources import sinks
+from sensorloom.sources import segment_log, sinks
+from sensorloom.sources.segment_log import SegmentLog
 from sensorloom.streaming import frames, positions, run, state
 from sensorloom.workspace import run_dir
 
@@ -279,6 +280,38 @@ def stream_tail_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.to_table(ahead.select("segment_id", "offset", "routing_key"), "stream-tail")
 
 
+def stream_tail_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by log position: what came before the middle is one transaction, of which no file is opened."""
+    events = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.select(micros.alias("m")).agg(F.expr("(min(m) + max(m)) div 2")).scalar()
+    rows = events.withColumn("_early", F.coalesce(micros <= middle, F.lit(False)))
+    written = log(events)
+    kept = SegmentLog(spark, run_dir(spark, "segment-log"), written.schema)
+    with kept.begin("before") as transaction:
+        transaction.write(log(rows.filter("_early")))
+    cuts = kept.tails()
+    with kept.begin("after") as transaction:
+        transaction.write(log(rows.filter("NOT _early")))
+    ahead = segment_log.stream(kept, cuts)
+    return run.to_table(ahead.select("segment_id", "offset", "routing_key"), "stream-tail-positions")
+
+
+def stream_routed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by routing key in three micro-batches, each key numbered on from one to the next."""
+    events = log(table(spark, sf_dir, "events")).select("routing_key", "offset")
+    ends = events.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
+    low, step = ends["low"] or 0, ((ends["high"] or 0) - (ends["low"] or 0)) // 3 + 1
+    base = run_dir(spark, "stream-routed")
+    for i in range(3):
+        part = events.filter(F.col("offset").between(low + i * step, low + (i + 1) * step - 1))
+        part.repartition(FILES).write.mode("append").parquet(f"{base}/log")
+    stream = logs.scan_stream(spark, f"{base}/log", events.schema, max_files=FILES)
+    numbered = state.number_events(stream, "routing_key", ["offset"], spark.sparkContext.defaultParallelism)
+    sinks.stream_routed(numbered, f"{base}/routed", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(numbered.schema).parquet(f"{base}/routed/batch=*").select("routing_key", "offset", "position")
+
+
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score frames and write each micro-batch in frame order."""
     images = pixel_frames(table_stream(spark, sf_dir, "embeddings"))
@@ -294,7 +327,8 @@ QUERIES = {f.__name__: f for f in (
     stream_json_chunks, stream_chunk_join_inner, stream_chunk_join_left, stream_camera_grid_job, stream_dedup, stream_chunk_reassemble,
     stream_chunk_reassemble_batches, stream_chunk_reassemble_positions, stream_interval_join,
     stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
-    stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_foreach_batch,
+    stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_tail_positions, stream_routed_write,
+    stream_foreach_batch,
 )}
 
 
@@ -345,5 +379,10 @@ ORACLES = {
         FROM (SELECT make_timestamp(epoch_us(ts) // 100000 * 100000) AS w, frame_number FROM ({FRAMES_SQL}))
         GROUP BY w""",
     "stream_tail_read": logs_plan.ORACLES["log_tail_read"],
+    "stream_tail_positions": logs_plan.ORACLES["log_tail_read"],
+    "stream_routed_write": """
+        SELECT user_id::VARCHAR AS routing_key, event_id AS "offset",
+               row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position
+        FROM events""",
     "stream_foreach_batch": camera_frames.ORACLES["frame_mean_score"],
 }

@@ -71,6 +71,20 @@ def stream_to_batches(df: DataFrame, path: str, checkpoint: str, prepare: Callab
     return stream_writer(df, checkpoint, interval).foreachBatch(write).start()
 
 
+def stream_routed(numbered: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Write a stream of events with ``routing_key`` and ``position`` (``state.number_events``) so that keys stand in order.
+
+    A micro-batch is a folder, laid out as by ``write_routed``; a repeated one has the same positions and replaces
+    itself. The events of a key, folder after folder, have no gaps.
+    """
+    columns = ["routing_key", "position"]
+
+    def ordered(batch: DataFrame) -> DataFrame:
+        return batch.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+    return stream_to_batches(numbered, path, checkpoint, ordered, interval)
+
+
 def stream_to_rows(df: DataFrame, handler, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Call ``handler`` (a function, or an object with open/process/close) for each row."""
     return stream_writer(df, checkpoint, interval).foreach(handler).start()

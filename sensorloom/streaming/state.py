@@ -1,4 +1,4 @@
-"""The two operators that need state of their own: early frame reassembly and the output frame counter."""
+"""The operators that need state of their own: early frame reassembly and counters by camera or routing key."""
 
 from __future__ import annotations
 
@@ -121,3 +121,32 @@ def number_frames(rows: DataFrame, camera: str, ts: str) -> DataFrame:
         rows.select(camera, ts).groupBy(F.col(camera))
         .applyInPandasWithState(step, schema, "next bigint", "append", GroupStateTimeout.NoTimeout)
     )
+
+
+def number_events(events: DataFrame, key: str, order: list[str], buckets: int = 64) -> DataFrame:
+    """Add ``position``: gapless from 0 in each ``key``, by micro-batch and within it by ``order``.
+
+    Rows of equal order are numbered as they come. Keys are dealt to ``buckets`` by hash; the next positions of a
+    bucket's keys are one state, kept for good, and a bucket's rows of one micro-batch are numbered in one call, so
+    the source's limits per micro-batch bound them. A NULL key is a key like any other. The number of buckets
+    must stay the same over restarts.
+    """
+    kind = events.schema[key].dataType.simpleString()
+    placed = events.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    schema = StructType([*events.schema, *StructType.fromDDL("position bigint")])
+
+    def step(bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        keys, following = state.get if state.exists else ([], [])
+        counts = dict(zip(keys, following, strict=True))
+        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+        named = rows[key].astype(object).where(rows[key].notna(), None)
+        positions = []
+        for value in named:
+            counts[value] = counts.get(value, 0) + 1
+            positions.append(counts[value] - 1)
+        state.update((list(counts), list(counts.values())))
+        rows["position"] = positions
+        yield rows[schema.fieldNames()]
+
+    return placed.groupBy("_bucket").applyInPandasWithState(
+        step, schema, f"keys array<{kind}>, following array<bigint>", "append", GroupStateTimeout.NoTimeout)

@@ -1,0 +1,99 @@
+"""Streams by position: start at the earliest event, the tail or a cut, and go on after a restart."""
+
+import glob
+import os
+
+import pytest
+
+from sensorloom.sources import segment_log, sinks
+from sensorloom.sources.segment_log import SegmentLog
+from sensorloom.streaming import state
+
+SCHEMA = "segment_id bigint, offset bigint, routing_key string, event binary"
+
+
+@pytest.fixture()
+def log(spark, tmp_path):
+    return SegmentLog(spark, str(tmp_path / "log"), SCHEMA)
+
+
+def append(log, name, *places):
+    rows = [(s, o, f"k{o % 2}", bytearray(f"{s}:{o}".encode())) for s, o in places]
+    with log.begin(name) as transaction:
+        transaction.write(log.spark.createDataFrame(rows, SCHEMA))
+
+
+def run(log, folder, start="earliest"):
+    sinks.stream_to_table(segment_log.stream(log, start), f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    return sorted((r["segment_id"], r["offset"]) for r in log.spark.read.schema(log.schema).parquet(f"{folder}/table").collect())
+
+
+def test_earliest_and_restart(log, tmp_path):
+    append(log, "one", (0, 0), (0, 1), (1, 5))
+    assert run(log, tmp_path / "a") == [(0, 0), (0, 1), (1, 5)]
+    append(log, "two", (0, 2), (2, 9))
+    open_one = log.begin("open")
+    open_one.write(log.spark.createDataFrame([(0, 3, "k", bytearray(b"not committed"))], SCHEMA))
+    assert run(log, tmp_path / "a") == [(0, 0), (0, 1), (0, 2), (1, 5), (2, 9)]
+    open_one.commit()
+    assert run(log, tmp_path / "a")[2:4] == [(0, 2), (0, 3)]
+    rows = log.spark.read.schema(log.schema).parquet(str(tmp_path / "a" / "table")).collect()
+    assert {bytes(r["event"]) for r in rows if r["segment_id"]} == {b"1:5", b"2:9"}
+
+
+def test_tail_as_of_the_start(log, tmp_path):
+    append(log, "one", (0, 0), (1, 5))
+    assert run(log, tmp_path / "t", "tail") == []
+    append(log, "two", (0, 1), (1, 6))
+    append(log, "three", (0, 2), (3, 0))
+    assert run(log, tmp_path / "t", "tail") == [(0, 1), (0, 2), (1, 6), (3, 0)]
+    assert log.tails() == {0: 3, 1: 7, 3: 1}
+
+
+def test_cuts_open_nothing_that_lies_ahead(log, tmp_path):
+    append(log, "old", *[(s, o) for s in (0, 1) for o in range(50)])
+    append(log, "middle", *[(s, o) for s in (0, 1) for o in range(50, 100)])
+    append(log, "new", (0, 100), (4, 7))
+    for path in glob.glob(f"{log.path}/data/old/*/*.parquet"):
+        os.truncate(path, 4)  # not readable any more
+    found = run(log, tmp_path / "c", {0: 70, 1: 98})
+    assert found == [(0, o) for o in range(70, 101)] + [(1, 98), (1, 99), (4, 7)]
+    append(log, "later", (0, 101), (1, 100))
+    assert run(log, tmp_path / "c", {0: 70, 1: 98}) == sorted([*found, (0, 101), (1, 100)])
+
+
+def test_an_empty_log_and_events_without_a_place(log, tmp_path):
+    assert run(log, tmp_path / "e") == []
+    assert run(log, tmp_path / "f", "tail") == []
+    for row in ((None, 1), (1, None)):
+        with pytest.raises(Exception, match="an event without"):
+            with log.begin() as transaction:
+                transaction.write(log.spark.createDataFrame([(*row, "k", None)], SCHEMA))
+    assert log.committed() == []
+
+
+def test_keyed_stream_write_is_gapless_and_repeatable(spark, tmp_path):
+    source, order = str(tmp_path / "in"), {}
+    for n in range(3):
+        rows = [(key, 100 * n + i) for i in range(20) for key in ("hot", f"k{i % 3}", None)]
+        for key, offset in rows:
+            order.setdefault(key, []).append(offset)
+        spark.createDataFrame(rows[::-1], "routing_key string, offset bigint").coalesce(1).write.mode("append").parquet(source)
+
+    def write(name, checkpoint):
+        stream = spark.readStream.schema("routing_key string, offset bigint").option("maxFilesPerTrigger", 1).parquet(source)
+        numbered = state.number_events(stream, "routing_key", ["offset"], buckets=2)
+        sinks.stream_routed(numbered, str(tmp_path / name), str(tmp_path / checkpoint)).awaitTermination()
+        return spark.read.parquet(str(tmp_path / name)).collect()
+
+    found = write("out", "checkpoint")
+    assert sorted(((r["batch"], r["position"], r["offset"]) for r in found if r["routing_key"] == "hot")) == [
+        (i // 20, i, offset) for i, offset in enumerate(order["hot"])]
+    for key, offsets in order.items():
+        rows = sorted((r["position"], r["offset"]) for r in found if r["routing_key"] == key)
+        assert rows == list(enumerate(offsets))
+    again = write("out", "lost")  # all batches once more
+    assert sorted(map(repr, again)) == sorted(map(repr, found))
+    files = sorted(glob.glob(str(tmp_path / "out" / "batch=0" / "*.parquet")))
+    keys = [(r["routing_key"] or "", r["position"]) for f in files for r in spark.read.parquet(f).collect()]
+    assert keys == sorted(keys)
