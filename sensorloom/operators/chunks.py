@@ -171,8 +171,15 @@ def concat_chunks(n: int, null_safe: bool) -> Column:
     return F.concat(*[F.coalesce(p, F.lit(b"")) for p in parts] if null_safe else parts)
 
 
-def dedup_frames(frames: DataFrame, keys: list[str], prefer: list[str]) -> DataFrame:
-    """One row per key: the least by the ``prefer`` columns. Partial results are merged map-side."""
+def dedup_frames(frames: DataFrame, keys: list[str], prefer: list[str], place: list[str] | None = None) -> DataFrame:
+    """One row per key: the least by the ``prefer`` columns. Partial results are merged map-side.
+
+    For large rows name as ``place`` columns without NULL that tell all rows apart: the rows are chosen on these,
+    the keys and ``prefer``, and only the chosen ones are fetched.
+    """
+    if place is not None:
+        chosen = frames.groupBy(*keys).agg(F.min(F.struct(*dict.fromkeys([*prefer, *place]))).alias("_row"))
+        return frames.join(chosen.select(*[F.col(f"_row.{c}").alias(c) for c in place]), place, "left_semi")
     others = [name for name in frames.columns if name not in keys]
     order = F.struct(*prefer, *[name for name in others if name not in prefer])
     return (

@@ -80,6 +80,40 @@ def window_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: str
                           F.col("window.end").alias("window_end"), "n_events")
 
 
+def pane_counts(df: DataFrame, keys: list[str], ts: str, size_seconds: int, slide_seconds: int) -> DataFrame:
+    """As ``window_counts`` for sliding windows, from one partial count per key and pane as long as the slide.
+
+    No row is copied for the windows that hold it. A pane adds its count at its first window and takes it away
+    behind its last one; between two such changes all windows of a key have the running sum. A key's task
+    gets two small rows a pane. Rows without a time are in no window.
+    """
+    panes_of_window, rest = divmod(size_seconds, slide_seconds)
+    if rest or panes_of_window < 1:
+        raise ValueError("the window must be a multiple of its slide")
+    slide = slide_seconds * 1_000_000
+    panes = df.filter(F.col(ts).isNotNull()).groupBy(*keys, floor_div(_micros(ts), slide).alias("_pane")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    changes = panes.select(*keys, F.inline(F.array(
+        F.struct((F.col("_pane") - panes_of_window + 1).alias("_at"), F.col("_n").alias("_change")),
+        F.struct((F.col("_pane") + 1).alias("_at"), (-F.col("_n")).alias("_change")))))
+    order = Window.partitionBy(*keys).orderBy("_at")
+    summed = changes.withColumns({
+        "n_events": F.sum("_change").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_next": F.lead("_at").over(order),
+    })
+    spans = summed.filter((F.col("n_events") > 0) & (F.col("_next") > F.col("_at")))
+    windows = spans.withColumn("_window", F.explode(F.sequence(F.col("_at"), F.col("_next") - 1)))
+    return windows.select(*keys, F.timestamp_micros(F.col("_window") * slide).alias("window_start"),
+                          F.timestamp_micros((F.col("_window") + panes_of_window) * slide).alias("window_end"), "n_events")
+
+
+def stream_pane_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: str, delay: str) -> DataFrame:
+    """The same on a stream: a first aggregate over panes, and a second over windows of panes."""
+    panes = df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, slide).alias("pane")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = panes.groupBy(*keys, F.window("pane", size, slide)).agg(F.sum("_n").alias("n_events"))
+    return counted.select(*keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n_events")
+
+
 def window_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Add the mean of ``value`` over all rows with the same keys, to each row.
 

@@ -14,14 +14,26 @@ from sensorloom.functions import frames as px
 from sensorloom.operators.ordering import offset_block, position
 
 
-def last_per_camera(frames: DataFrame, ts: str, window: str | Column, value: str = "data") -> DataFrame:
+def last_per_camera(frames: DataFrame, ts: str, window: str | Column, value: str = "data",
+                    place: list[str] | None = None) -> DataFrame:
     """The last ``value`` of each camera in each ``window``, by (time, frame number, ssrc).
 
     A window is the length of tumbling windows, or a column such as the discretized time.
 
     Partial results merge, so that the map side sends one frame per camera and window. Works on a stream
-    that has a watermark.
+    that has a watermark. For a table with large values name as ``place`` columns without NULL that tell all
+    rows apart, such as segment and offset: the winners are chosen on narrow columns, and their values alone are
+    fetched by place, so that no payload is sorted or takes part in an aggregate.
     """
+    if place is not None:
+        slot = F.window(ts, window) if isinstance(window, str) else window
+        narrow = frames.select(slot.alias("window"), "camera", F.struct(
+            ts, "frame_number", "ssrc", *[F.col(c).alias(f"_of_{c}") for c in place]).alias("_order"))
+        won = narrow.groupBy("window", "camera").agg(F.max("_order").alias("_last"))
+        won = won.select("window", F.col("camera").alias("_camera"), "_last.*").withColumnRenamed(ts, "last_ts")
+        values = frames.select(*[F.col(c).alias(f"_at_{c}") for c in place], F.col(value).alias("_value"))
+        found = won.join(values, [F.col(f"_of_{c}") == F.col(f"_at_{c}") for c in place])
+        return found.select("window", F.col("_camera").alias("camera"), F.col("_value").alias(value), "frame_number", "last_ts")
     order = F.struct(ts, "frame_number", "ssrc")
     last = F.max_by(F.struct(F.col(value), F.col("frame_number"), F.col(ts).alias("last_ts")), order)
     slot = F.window(ts, window) if isinstance(window, str) else window.alias("window")

@@ -26,7 +26,8 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _last(spark: SparkSession, sf_dir: str, value: str = "pixels") -> DataFrame:
-    return grid.last_per_camera(_frames(spark, sf_dir), "timestamp", f"{WINDOW_MILLIS} milliseconds", value)
+    return grid.last_per_camera(_frames(spark, sf_dir), "timestamp", f"{WINDOW_MILLIS} milliseconds", value,
+                                place=["camera", "frame_number"])
 
 
 def hex_text(pixels: Column) -> Column:
@@ -108,7 +109,7 @@ def grid_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grid_compose_in_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One slot of 1/2 s per grid frame, on a grey background, with a grouped-map function."""
     frames = _frames(spark, sf_dir).withColumn("data", px.to_bytes(F.col("pixels")))
-    last = grid.last_per_camera(frames, "timestamp", times.discretize(F.col("timestamp"), 2))
+    last = grid.last_per_camera(frames, "timestamp", times.discretize(F.col("timestamp"), 2), place=["camera", "frame_number"])
     canvas = grid.compose_in_pandas(last, TILE, TILE, BACKGROUND)
     return canvas.select(F.col("window").cast("timestamp_ntz").alias("discrete_timestamp"), "canvas_width",
                          "canvas_height", "n_cameras", F.hex("data").alias("canvas_hex"))

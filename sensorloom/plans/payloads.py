@@ -136,7 +136,7 @@ def dedup_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per device and hour: the one with the least event id."""
     rows = readings(table(spark, sf_dir, "events")).withColumn("hour", F.date_trunc("hour", "timestamp"))
     kept = chunks.dedup_frames(rows.select("hour", "device_id", "event_id", "temp_celsius"),
-                               ["hour", "device_id"], ["event_id"])
+                               ["hour", "device_id"], ["event_id"], place=["event_id"])
     return kept.withColumn("hour", plain("hour"))
 
 

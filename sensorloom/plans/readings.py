@@ -13,6 +13,7 @@ from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, scaled,
 
 INTERVAL = 2 * 3600
 GAP = 600
+DAY, HOUR, MINUTE = 86_400, 3600, 60
 FPS = 15
 VECTOR_LENGTH = 256
 LOW, HIGH, PERIOD_MILLIS, OFFSET_MILLIS = 20.0, 400.0, 86_400_000.0, 21_600_000.0
@@ -46,6 +47,13 @@ def sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("key", plain("window_start"), plain("window_end"), "n_events")
 
 
+def sliding_count_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a day that start every minute: 1,440 of them hold each event."""
+    rows = readings(table(spark, sf_dir, "events"))
+    counted = ev.pane_counts(rows, ["event_type"], "timestamp", DAY, MINUTE)
+    return counted.select("event_type", plain("window_start"), plain("window_end"), "n_events")
+
+
 def session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ev.sessions(readings(table(spark, sf_dir, "events")), ["device_id"], "timestamp", GAP)
     return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
@@ -132,7 +140,7 @@ def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    interval_join, discretize_time, sliding_count, session_count, ordered_vector, window_mean,
+    interval_join, discretize_time, sliding_count, sliding_count_panes, session_count, ordered_vector, window_mean,
     frame_row_number, sensor_residual, agg_sum_per_key, agg_arrow_sum_per_key,
     udf_by_name, window_mean_pandas, null_key_numbers, ratio_estimate,
 )}
@@ -144,6 +152,16 @@ SLIDING_SQL = """
           FROM events)
     GROUP BY ALL
 """
+def panes_sql(slide: int) -> str:
+    """Each pane as long as the slide in all windows of a day that hold it."""
+    return f"""
+    SELECT event_type, make_timestamp(w * {slide * 1_000_000}) AS window_start,
+           make_timestamp(w * {slide * 1_000_000}) + INTERVAL 1 DAY AS window_end, sum(n)::BIGINT AS n_events
+    FROM (SELECT event_type, n, unnest(range(p - {DAY // slide - 1}, p + 1)) AS w FROM (
+        SELECT event_type, epoch_us(ts) // {slide * 1_000_000} AS p, count(*) AS n FROM events GROUP BY ALL))
+    GROUP BY event_type, w"""
+
+
 SESSION_SQL = f"""
     SELECT user_id AS device_id, min(ts) AS session_start, max(ts) + INTERVAL {GAP} SECOND AS session_end,
            count(*) AS n_events
@@ -172,6 +190,7 @@ ORACLES = {
     "interval_join": INTERVAL_SQL,
     "discretize_time": f"SELECT event_id, {_slot_sql(FPS)} AS slot_15, {_slot_sql(2)} AS slot_2 FROM events",
     "sliding_count": SLIDING_SQL,
+    "sliding_count_panes": panes_sql(MINUTE),
     "session_count": SESSION_SQL,
     "ordered_vector": f"""
         SELECT user_id, (p - 1) // {VECTOR_LENGTH} AS part, count(*)::INT AS n_values,

@@ -150,6 +150,15 @@ def stream_sliding_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("key", plain("window_start"), plain("window_end"), "n_events")
 
 
+def stream_sliding_count_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a day that start every hour, from counts by hour."""
+    def windows(events: DataFrame) -> DataFrame:
+        return ev.stream_pane_counts(as_readings(events), ["event_type"], "timestamp", "1 day", "1 hour", DELAY)
+
+    found = _finished(spark, sf_dir, "stream-panes", "events", windows)
+    return found.select("event_type", plain("window_start"), plain("window_end"), "n_events")
+
+
 def stream_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     def windows(events: DataFrame) -> DataFrame:
         return ev.stream_sessions(as_readings(events), ["device_id"], "timestamp", readings.GAP, DELAY)
@@ -326,7 +335,7 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     stream_json_chunks, stream_chunk_join_inner, stream_chunk_join_left, stream_camera_grid_job, stream_dedup, stream_chunk_reassemble,
     stream_chunk_reassemble_batches, stream_chunk_reassemble_positions, stream_interval_join,
-    stream_sliding_count, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
+    stream_sliding_count, stream_sliding_count_panes, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
     stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_tail_positions, stream_routed_write,
     stream_foreach_batch,
 )}
@@ -363,6 +372,7 @@ ORACLES = {
         FROM ({payloads.ORACLES['chunk_reassemble']})""",
     "stream_interval_join": readings.INTERVAL_SQL,
     "stream_sliding_count": readings.SLIDING_SQL,
+    "stream_sliding_count_panes": readings.panes_sql(readings.HOUR),
     "stream_session_count": readings.SESSION_SQL,
     "stream_grid_last_per_camera": camera_frames.GRID_SQL,
     "stream_grid_sink": f"""

@@ -83,3 +83,25 @@ def test_hot_key_sum_in_blocks(spark):
     parts = frame.groupBy("k", ordering.offset_block(F.col("id"), 8).alias("b")).agg(udfs.pandas_sum("v").alias("p"))
     got = {r["k"]: r["s"] for r in parts.groupBy("k").agg(F.sum("p").alias("s")).collect()}
     assert got == {r["k"]: r["s"] for r in frame.groupBy("k").agg(F.sum("v").alias("s")).collect()}
+
+
+@pytest.mark.parametrize("size, slide", [(60, 60), (60, 20), (7, 1), (300, 10)])
+def test_panes_equal_sliding_windows(spark, size, slide):
+    rng = random.Random(size)
+    rows = at(spark, [(0 if i % 3 == 0 else rng.randrange(1, 6), rng.randrange(-200, 2000)) for i in range(600)] + [(9, 5), (9, 1900)])
+    rows = rows.unionByName(rows.limit(5).withColumn("d", F.lit(None).cast("int")))
+    want = ev.window_counts(rows, ["d"], "ts", f"{size} seconds", f"{slide} seconds").collect()
+    undated = rows.limit(3).withColumn("ts", F.lit(None).cast("timestamp"))
+    got = ev.pane_counts(rows.unionByName(undated), ["d"], "ts", size, slide).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, want))) and len(got) > 100
+    with pytest.raises(ValueError):
+        ev.pane_counts(rows, ["d"], "ts", size + 1, size)
+
+
+def test_panes_shuffle_two_rows_each(spark):
+    rows = at(spark, [(i % 2, i) for i in range(1000)])
+    counted = ev.pane_counts(rows, ["d"], "ts", 600, 1)
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Generate") >= 2  # the changes of a pane, and the windows at the very end
+    assert plan.index("Generate explode") < plan.index("Window [")

@@ -90,3 +90,15 @@ def test_chunk_joins_shuffle_payloads_once(spark):
 
 def test_interval_join_uses_time_buckets(spark):
     assert re.search(r"Join[^\n]*\[device_id#\d+L, _bucket#\d+L\]", plan(spark, "interval_join"))
+
+
+@pytest.mark.parametrize("name, payload", [("grid_last_per_camera", "embedding|pixels"), ("grid_compose", "embedding|pixels|data"),
+                                           ("dedup_frames", "value|temp_celsius")])
+def test_winners_are_chosen_without_payloads(spark, name, payload):
+    """No aggregate by key or its sort has the payload; the list of a window's tiles does, as it is the result."""
+    text = plans.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    choosing = [line for line in text.splitlines() if re.search(r"(SortAggregate|HashAggregate)\(.*(max|min)\(", line) and "collect_list" not in line]
+    assert choosing
+    assert not any(re.search(rf"\b({payload})#", line) for line in choosing)
+    scans = re.findall(r"ReadSchema: struct<([^>]*(?:<[^>]*>)?[^>]*)>", text)
+    assert len(scans) == 2 and sum(bool(re.search(r"embedding|value", scan)) for scan in scans) == 1
