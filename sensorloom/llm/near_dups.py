@@ -9,11 +9,11 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm import common
-from sensorloom.llm.common import mix, staged
+from sensorloom.llm.common import bit_filter, free_name, may_hold, mix, staged
 from sensorloom.llm.graph import components
 
 SHINGLE = 5
@@ -108,8 +108,9 @@ def _signed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
             keys[i] = row.view(np.int64)
         digests = [hashlib.md5(s.tobytes(), usedforsecurity=False).digest() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "keys"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            names=["doc_id", "text_key", "n_shingles", "digest", "keys"])
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,32 +166,44 @@ def groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     is checked in pairs of blocks of bounded size, and only the links that join it are kept.
 
     Null or empty texts have no shingles and stand alone, as do rows without doc_id (their component is null).
-    A row is judged by its own text, so repeated rows get the same result.
+    A row is judged by its own text, so repeated rows get the same result, and rows that share an id but no text
+    are linked apart.
+    """
+    return _grouped(documents, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(documents: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``groups`` with ``text_key``, a hash of the text, and ``group``, which names the component.
+
+    A node of the graph is a class: the smallest doc_id of its rows, or, where that is another class's as well
+    because rows repeat an id with other texts, a hash of its set.
     """
     def forest(group: pd.DataFrame) -> pd.DataFrame:
         return _forest(group, percent)
 
-    documents = documents.select("doc_id", "text")
+    documents = documents.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = staged(documents.mapInArrow(
-        partial(_signed, rows=rows_per_band(percent)), "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>"), "signed")
+        partial(_signed, rows=rows_per_band(percent)),
+        "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, keys array<bigint>"), "signed")
     able = signed.where("doc_id is not null and digest is not null")
-    classes = able.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    same_id = Window.partitionBy("least").orderBy("digest")
+    classes = staged(
+        able.groupBy("digest").agg(F.min("doc_id").alias("least")).withColumn("turn", F.row_number().over(same_id))
+        .select("digest", "least", F.when(F.col("turn") == 1, F.col("least")).otherwise(F.xxhash64("digest")).alias("node")), "named")
     first = (
-        able.select("digest", F.col("doc_id").alias("node"), "n_shingles", "keys").join(classes, ["digest", "node"])
-        .dropDuplicates(["digest", "node"])
+        able.select("digest", F.col("doc_id").alias("least"), "text_key", "n_shingles", "keys").join(classes, ["digest", "least"])
+        .dropDuplicates(["digest", "least"])
     )
-    first = staged(first.select("node", "n_shingles", "keys"), "classes")
+    first = staged(first.select("node", "least", "text_key", "n_shingles", "keys"), "classes")
     banded = first.select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
     near = components(banded.join(shared.drop("last"), "key").select("node", "pivot"))
     candidates = staged(near.withColumnRenamed("component", "candidate"), "candidates")
-    blocks = (
-        candidates.join(first.select("node", "n_shingles"), "node").groupBy("candidate")
-        .agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    )
-    member = candidates.join(blocks, "candidate")
+    sized = candidates.join(first.select("node", F.col("least").alias("doc_id"), "text_key", "n_shingles"), "node")
+    blocks = sized.groupBy("candidate").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    member = sized.drop("n_shingles").join(blocks, "candidate")
     sets = (
-        documents.join(member, F.col("doc_id") == F.col("node")).select("candidate", "node", "blocks", "text")
+        documents.join(member, ["doc_id", "text_key"]).select("candidate", "node", "blocks", "text")
         .mapInArrow(_with_sets, "candidate bigint, node bigint, blocks int, shingles binary")
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -198,20 +211,45 @@ def groups(documents: DataFrame, percent: int = 80) -> DataFrame:
     )
     links = sets.select("candidate", "i", "j", "node", "block", "shingles").groupBy("candidate", "i", "j").applyInPandas(
         forest, "a bigint, b bigint")
-    joined = components(links)
+    joined = staged(components(links), "joined")
+    least = joined.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
     return (
-        signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-        .join(joined, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce(
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")), "doc_id").alias("component_id"))
+        signed.select("doc_id", "text_key", "n_shingles", "digest").join(classes, "digest", "left")
+        .join(joined.join(least, "component"), "node", "left")
+        .select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("group"),
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "least", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
 
 def keep_first(documents: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents without those that have a near duplicate of smaller doc_id; one of each group stays.
+    """One document of each group of near duplicates: the one of smallest doc_id. Columns stay as they are.
 
-    Rows that repeat both doc_id and text stay once. Columns stay as they are.
+    A row is judged by its id and text together, so that rows which share an id but no text are judged apart; of
+    several texts of a group under its smallest id, one stays. Rows that repeat both id and text stay once, by the
+    least hash of all columns. Texts without words stand alone, as do rows without id. Only rows that go or repeat,
+    found by a bit filter of fixed size, are shuffled with their texts.
     """
-    gone = groups(documents, percent).where("not kept").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    judged = staged(_grouped(documents, percent), "judged")
+    keepers = judged.where("kept and group is not null").groupBy("group").agg(F.min("text_key").alias("keeper"))
+    stays = F.col("group").isNull() | (F.col("kept") & (F.col("text_key") == F.col("keeper")))
+    marked = judged.join(keepers, "group", "left").groupBy("doc_id", "text_key").agg(
+        F.count("*").alias("n"), F.max(stays).alias("stays")).where("n > 1 or not stays")
+    key, stay, turn, its_id, its_key = (free_name(documents, name) for name in ("text_key", "stays", "turn", "its_id", "its_key"))
+    marked = staged(marked.select(F.col("doc_id").alias(its_id), F.col("text_key").alias(its_key), F.col("stays").alias(stay)), "marked")
+    places = marked.select(F.xxhash64(its_id, its_key).alias("place"))
+    bits = documents.sparkSession.sparkContext.broadcast(bit_filter(places, "place"))
+
+    @F.pandas_udf("boolean")
+    def maybe(place: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(bits.value, place.to_numpy().view(np.uint64)))
+
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+    asked = maybe(F.xxhash64("doc_id", key))
+    on = F.col("doc_id").eqNullSafe(F.col(its_id)) & (F.col(key) == F.col(its_key))
+    same = Window.partitionBy("doc_id", key).orderBy(F.xxhash64(*documents.columns))
+    rest = (
+        keyed.where(asked).join(marked, on, "left").where(F.coalesce(stay, F.lit(True)))
+        .withColumn(turn, F.row_number().over(same)).where(F.col(turn) == 1)
+    )
+    return keyed.where(~asked).select(*documents.columns).union(rest.select(*documents.columns))

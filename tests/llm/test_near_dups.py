@@ -77,6 +77,17 @@ def test_keep_first_keeps_columns_and_one_of_each_group(spark):
     assert ids.count(None) == 2
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    t, u, v = (sentence(i, 40) for i in (900, 901, 902))
+    near_u = u + " end"
+    rows = [(1, t), (5, t), (5, u), (5, v), (9, near_u), (9, v), (7, v + " more"), (5, u), (5, "A " + u), (5, None), (5, "")]
+    kept = sorted((r.doc_id, r.text) for r in near_dups.keep_first(frame(spark, rows)).where("text <> ''").collect())
+    assert (1, t) in kept and (5, v) in kept and len(kept) == 3
+    assert sum(text in (u, "A " + u) for _, text in kept) == 1
+    got = {(r.doc_id, r.component_id) for r in near_dups.groups(frame(spark, rows)).collect()}
+    assert got == {(1, 1), (5, 1), (5, 5), (9, 5), (7, 5)}
+
+
 def test_sketch_estimates_similarity_and_fills_every_bin():
     pick = np.random.default_rng(1)
     for size in (1, 2, 7, 300):
