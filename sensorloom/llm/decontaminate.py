@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,15 +29,34 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all rows, and where each row's begin."""
     data, offsets = common.text_bytes(column)
     data = _LOWER[data]
-    starts, ends = common.runs(_WORD[data], offsets)
+    starts, ends = common.runs(_WORD[data], np.union1d(offsets, _single(data)) if len(data) else offsets)
     return common.word_hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
+def _single(data: np.ndarray) -> np.ndarray:
+    """Where letters of scripts without spaces begin and end: each is a word."""
+    lead = np.flatnonzero(data >= 0xE0)
+    if not len(lead):
+        return lead
+    second = data[np.minimum(lead + 1, len(data) - 1)]
+    first = data[lead]
+    three = ((first >= 0xE3) & (first <= 0xE9)) | ((first == 0xE0) & (second >= 0xB8) & (second <= 0xBB)) | (
+        (first == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F)))
+    four = (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    begins, sizes = lead[three | four], np.where(four, 4, 3)[three | four]
+    return np.union1d(begins, np.minimum(begins + sizes, len(data)))
+
+
 def _rows(bounds: np.ndarray, width: int) -> Iterator[tuple[int, int, int]]:
     for row, (first, last) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         yield row, first, max(first, last - width + 1)
 
 
+def _windows(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of a size; those of other sizes than SEED are told apart."""
+    return common.window_hashes(words, size) ^ np.uint64(0 if size == SEED else size)
+
+
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """item_id, its words, and its seeds: the windows of SEED words, or one of all words if there are fewer."""
     for batch in batches:
@@ -47,24 +67,26 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = words[first:last]
                 ids.append(batch.column("item_id")[row].as_py())
                 texts.append(own.view(np.int64))
-                seeds.append(common.window_hashes(own, SEED).view(np.int64))
+                seeds.append(_windows(own, min(SEED, len(own))).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(texts, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))],
             names=["item_id", "words", "seeds"])
 
 
-def _seeded(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """doc_id and text_key of the texts that may share a seed, with their words and those seeds."""
+def _seeded(batches: Iterator[pa.RecordBatch], bits: np.ndarray, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """text_key of the texts that may share a seed of one of the sizes, with their words and those seeds."""
     for batch in common.slices(batches):
         words, bounds = _words(batch.column("text"))
-        windows = common.window_hashes(words, SEED)
-        hits = common.may_hold(bits, windows)
-        rows, texts, seeds = [], [], []
-        for row, first, last in _rows(bounds, SEED):
-            if hits[first:last].any():
-                rows.append(row)
-                texts.append(words[first:bounds[row + 1]].view(np.int64))
-                seeds.append(np.unique(windows[first:last][hits[first:last]]).view(np.int64))
+        found: dict[int, list[np.ndarray]] = {}
+        for size in sizes:
+            windows = _windows(words, size)
+            hits = common.may_hold(bits, windows)
+            for row, first, last in _rows(bounds, size):
+                if hits[first:last].any():
+                    found.setdefault(row, []).append(windows[first:last][hits[first:last]])
+        rows = sorted(found)
+        texts = [words[bounds[row]:bounds[row + 1]].view(np.int64) for row in rows]
+        seeds = [np.unique(np.concatenate(found[row])).view(np.int64) for row in rows]
         yield pa.RecordBatch.from_arrays(
             [batch.column("text_key").take(pa.array(rows, pa.int64())), pa.array(texts, pa.list_(pa.int64())),
              pa.array(seeds, pa.list_(pa.int64()))], names=["text_key", "words", "seeds"])
@@ -91,35 +113,45 @@ def tiles(document: np.ndarray, item: np.ndarray, shortest: int = SEED) -> list[
 
     Each turn finds the greatest length at which unmarked windows of both agree, by their Karp-Rabin hashes and
     then word by word, marks them from left to right, and goes on until no match of ``shortest`` words is left.
+    Windows of the item wait in a queue for each hash, so that repetitive texts cost no more than others.
     """
     free_d, free_i, found = np.ones(len(document), bool), np.ones(len(item), bool), []
 
-    def matches(length: int) -> list[tuple[int, int]]:
-        there, starts = _hashed_windows(item, free_i, length)
+    def meets(length: int) -> bool:
+        return bool(np.isin(_hashed_windows(item, free_i, length)[0], _hashed_windows(document, free_d, length)[0]).any())
+
+    def mark(length: int) -> None:
+        """From left to right, each window of the document with the leftmost free one of the item that agrees."""
+        places: dict[int, deque[int]] = {}
+        for value, start in zip(*(x.tolist() for x in _hashed_windows(item, free_i, length)), strict=True):
+            places.setdefault(value, deque()).append(start)
         here, begins = _hashed_windows(document, free_d, length)
-        shared = np.isin(here, there)
-        places: dict[int, list[int]] = {}
-        for value, start in zip(there.tolist(), starts.tolist(), strict=True):
-            places.setdefault(value, []).append(start)
-        return [(d, i) for value, d in zip(here[shared].tolist(), begins[shared].tolist(), strict=True)
-                for i in places[value] if np.array_equal(document[d:d + length], item[i:i + length])]
+        shared = np.isin(here, np.fromiter(places, np.uint64, len(places)))
+        end = 0
+        for value, d in zip(here[shared].tolist(), begins[shared].tolist(), strict=True):
+            waiting = places[value]
+            if d < end or not waiting:
+                continue
+            while waiting and not (free_i[waiting[0]] and free_i[waiting[0]:waiting[0] + length].all()):
+                waiting.popleft()  # a window with a marked word is never free again
+            if waiting and np.array_equal(document[d:d + length], item[waiting[0]:waiting[0] + length]):
+                i, end = waiting.popleft(), d + length
+                free_d[d:end] = free_i[i:i + length] = False
+                found.append((d, i, length))
 
     longest = min(len(document), len(item))
     while longest >= shortest:
-        low, high, best = shortest, longest, []
+        low, high, best = shortest, longest, 0
         while low <= high:  # a match of some length implies one of every smaller length
             middle = (low + high) // 2
-            if now := matches(middle):
-                low, best, length = middle + 1, now, middle
+            if meets(middle):
+                low, best = middle + 1, middle
             else:
                 high = middle - 1
         if not best:
             break
-        for d, i in best:
-            if free_d[d:d + length].all() and free_i[i:i + length].all():
-                free_d[d:d + length] = free_i[i:i + length] = False
-                found.append((d, i, length))
-        longest = length
+        mark(best)
+        longest = best - 1  # no two windows of that length are left
     return found
 
 
@@ -129,7 +161,7 @@ def _tiled(batches: Iterator[pd.DataFrame], coverage: float) -> Iterator[pd.Data
         for key, item_id, document, item in zip(
                 batch["text_key"], batch["item_id"], batch["words"], batch["item_words"], strict=True):
             document, item = (np.asarray(w, np.int64).view(np.uint64) for w in (document, item))
-            found = tiles(document, item)
+            found = tiles(document, item, min(SEED, len(item)))
             covered = sum(t[2] for t in found) / len(item)
             if covered >= coverage:
                 out.append((key, item_id, len(found), covered))
@@ -144,7 +176,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     such words; the others are tiled on whole texts, in whatever order their passages stand. Each distinct text
     is tiled once, for all rows that hold it.
 
-    Items of fewer than five words have no seed and are in no pair, nor are null or empty texts on either side.
+    An item of fewer than five words is found where all of it stands in a row. In scripts that write no spaces
+    (Chinese, Japanese, Thai, Lao, Burmese, Khmer) each letter is a word. Null or empty texts are in no pair.
     Rows without doc_id are in the result with a null one; rows that repeat an item_id with another text are items of their own.
     """
     found = _leaking_texts(documents, benchmark, coverage)
@@ -160,9 +193,11 @@ def _leaking_texts(documents: DataFrame, benchmark: DataFrame, coverage: float)
     at_item = items.select("item_key", F.posexplode("seeds").alias("at", "seed"))
     spark = documents.sparkSession
     bits = spark.sparkContext.broadcast(common.bit_filter(at_item, "seed"))  # 8 MB for any benchmark
+    size = F.least(F.lit(SEED), F.size("words")).alias("size")
+    sizes = sorted(r["size"] for r in items.select(size).distinct().collect())  # 1 to SEED
     texts = staged(
         documents.where("text is not null").select(F.md5("text").alias("text_key"), "text")
-        .mapInArrow(lambda batches: _seeded(batches, bits.value),
+        .mapInArrow(lambda batches: _seeded(batches, bits.value, sizes),
                     "text_key string, words array<bigint>, seeds array<bigint>")
         .dropDuplicates(["text_key"]), "texts")
     reached = (

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -100,3 +101,21 @@ def test_without_leaks(spark):
     assert kept.count() == len(documents) - 5
     assert decontaminate.without_leaks(frame(spark, documents), benchmark(spark, [])).count() == len(documents)
     assert decontaminate.leaks(frame(spark, []), benchmark(spark, items)).count() == 0
+
+
+def test_tiles_of_repetitive_texts_take_no_time():
+    item = np.array([7] * 200, np.uint64)
+    start = time.perf_counter()
+    assert decontaminate.tiles(np.array([7] * 20_000, np.uint64), item) == [(0, 0, 200)]
+    two = np.array([1, 2] * 50_000 + [3] + [1, 2] * 60, np.uint64)
+    found = decontaminate.tiles(two, np.array([1, 2] * 100 + [9] + [2, 1] * 30, np.uint64))
+    assert sum(t[2] for t in found) == 260
+    assert time.perf_counter() - start < 3
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    documents = [(1, "say Forty Two, please"), (2, "two forty"), (3, "前に新しい言語モデルの評価問題です後"), (4, "新しい問題"),
+                 (5, "กขคงจฉชซ ฌญ"), (6, "forty"), (7, "42 forty two 43"), (8, None)]
+    items = [(1, "forty two"), (2, "新しい言語モデルの評価問題です"), (3, "ขคงจฉชซ"), (4, "言語 前"), (5, None), (6, "... !"), (7, "FORTY")]
+    found = decontaminate.leaks(frame(spark, documents), benchmark(spark, items))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (7, 1), (3, 2), (5, 3), (1, 7), (2, 7), (6, 7), (7, 7)}
