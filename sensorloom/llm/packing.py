@@ -56,9 +56,8 @@ def boundaries(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
 
 def _lengths(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes = [len(ids) // 4 + 1 for ids in tokens.encode_column(batch.column("text"), tokenizer)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("tie"), pa.array(sizes, pa.int64())], names=["doc_id", "tie", "n"])
+        sizes = tokens.count_column(batch.column("text"), tokenizer) + 1
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(sizes)], names=["doc_id", "tie", "n"])
 
 
 def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, buckets: int = BUCKETS,

@@ -95,7 +95,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, length: int = SEQUENC
                 if writer is None:
                     sink = system.open_output_stream(f"{folder}/{part:06}-{stem}.arrow")
                     writer = _SequenceWriter(sink, length, tokens.encoder(tokenizer).tokenizer.get_vocab_size())
-                stream = np.append(np.frombuffer(encoded, "<u4"), np.uint32(end_id))
+                stream = np.append(encoded, np.uint32(end_id))
                 writer.add(stream)
                 ids.append(doc_id.as_py())
                 starts.append(at)

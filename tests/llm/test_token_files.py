@@ -1,8 +1,10 @@
 import os
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -73,3 +75,17 @@ def test_a_task_that_ran_twice_leaves_no_trace(spark):
 
 def test_empty_table(spark):
     assert token_files.round_trip(frame(spark, []), PATH).count() == 0
+
+
+def test_odd_spaces_and_repeated_words(tokenizer):
+    spaces = [" ", "  ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　", "​", "a", "bé", "x1", "'s", "<|endoftext|>", "."]
+    pick = random.Random(3)
+    texts = ["".join(pick.choice(spaces) for _ in range(pick.randrange(12))) for _ in range(4000)]
+    want = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    encoder = tokens.Encoder(PATH)
+    assert encoder.counts(pa.array(texts)).tolist() == want
+    ids, bounds = encoder.ids(pa.array(["?", *texts, "?"]).slice(1, len(texts)))
+    assert np.diff(bounds).tolist() == want
+    assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert encoder.encode([]) == [] and tokens.count_column(pa.array([], pa.string()), PATH).tolist() == []
+    assert tokens.count_column(pa.array([None, "a b"]), PATH).tolist() == [0, 2]
