@@ -24,7 +24,6 @@ NEGATIVES = 4000  # corpus paragraphs to train on, on average, chosen by a hash
 FUNCTION = frozenset("a all along and any are as at by except have in is it may not of or should that the this to under with "
                      "without you".split())
 CONFIRM = 0.6  # least share of a template's word trigrams in the paragraph
-WRAP = 8  # lines that a wrapped notice may take
 HELD_OUT = 3  # one training row in so many is for the calibration
 WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
@@ -117,8 +116,8 @@ def grams(tokens: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
 
 def _with_grams(rows: DataFrame) -> DataFrame:
     """``rows`` with tokens, trigrams and grams of ``text``, each computed once."""
-    return rows.withColumn("tokens", words(F.col("text"))).withColumn(
-        "trigrams", grams(F.col("tokens"), (3,))).withColumn("grams", grams(F.col("tokens")))
+    rows = _computed(rows, *rows.columns, words(F.col("text")).alias("tokens"))
+    return _computed(rows, *rows.columns, grams(F.col("tokens"), (3,)).alias("trigrams"), grams(F.col("tokens")).alias("grams"))
 
 
 def _rows(spark: SparkSession, values: list[dict], schema: str) -> DataFrame:
@@ -200,6 +199,11 @@ def _similarity(trigrams: Column, sentences: tuple[str, ...]) -> Column:
     return F.array_max(F.array(*shares))
 
 
+def _alone(sentences: tuple[str, ...]) -> Column:
+    """The greatest similarity of a single line of a run."""
+    return F.array_max(F.transform("alone", lambda trigrams: _similarity(trigrams, sentences)))
+
+
 def _predicted(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """``keys``, the best family and its margin (log odds against all others) for rows with ``grams``."""
     spark = rows.sparkSession
@@ -211,37 +215,45 @@ def _predicted(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
         .groupBy(*keys).agg(logits.alias("logits"))
     )
     best = F.array_max("logits")
-    others = F.filter("logits", lambda x: x < best)
-    rest = F.aggregate(others, F.lit(1e-300), lambda s, x: s + F.exp(x - best))
     at = F.array_position("logits", best).cast("int") - 1
+    # A class that ties with the best is one of the others.
+    rest = F.aggregate(F.filter("logits", lambda x, i: i != at), F.lit(1e-300), lambda s, x: s + F.exp(x - best))
     return found.select(*keys, F.get(F.array(*[F.lit(f) for f in model.families]), at).alias("family"),
                         (-F.log(rest)).alias("margin"))
 
 
-def _wrapped(documents: DataFrame, pattern: str) -> DataFrame:
-    """(doc_id, paragraph, lines, text, head, tail): adjacent lines that may hold a template together.
+def _computed(rows: DataFrame, *columns: str | Column) -> DataFrame:
+    """A select whose expressions stay apart from those that read them, inside lambdas as well.
 
-    ``head`` and ``tail`` are the text without its last and its first line; each of the two adds trigrams of templates.
+    Spark would put an expression in the place of its name, and compute it once for each element of a lambda.
     """
-    known = F.array(*[F.lit(g) for g in sorted({g for ss in TEMPLATES.values() for t in ss for g in _trigrams(t)})])
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
 
-    def held(text: str) -> Column:
-        return F.size(F.array_intersect(known, grams(words(F.col(text)), (3,))))
-
-    none = F.array().cast("array<int>")
-    lines = documents.select("doc_id", F.split("text", "\n").alias("line"))
-    lines = lines.withColumn("able", F.transform("line", lambda x: x.rlike(pattern)))
-    starts = F.filter(F.sequence(F.lit(1), F.size("line")), lambda i: F.get("able", i - 1))
-    near = F.transform(starts, lambda i: F.struct(
-        (i - 1).alias("paragraph"), F.slice("line", i, WRAP).alias("line"), F.slice("able", i, WRAP).alias("able")))
-    lines = lines.select("doc_id", F.inline(near))
-    ends = F.when(F.size("line") > 1, F.sequence(F.lit(2), F.size("line"))).otherwise(none)
-    ends = F.filter(ends, lambda n: F.get("able", n - 1) & F.forall(F.slice("line", 1, n), lambda x: F.trim(x) != ""))
-    found = lines.select("doc_id", "paragraph", "line", F.explode(ends).alias("lines")).select(
-        "doc_id", "paragraph", "lines", F.array_join(F.slice("line", F.lit(1), F.col("lines")), "\n").alias("text"),
-        F.array_join(F.slice("line", F.lit(1), F.col("lines") - 1), "\n").alias("head"),
-        F.array_join(F.slice("line", F.lit(2), F.col("lines") - 1), "\n").alias("tail"))
-    return found.where((held("text") > 1) & (held("text") > held("head")) & (held("text") > held("tail")))
+def _wrapped(documents: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, lines, text, alone): runs of lines over whose ends a template goes on.
+
+    Two lines belong together if a word trigram that crosses from one to the other is a template's; a run is as long
+    as that goes on, and a blank line ends it. Each line is split into words once, and a line is in one run at
+    most. ``alone`` holds the lines' own texts.
+    """
+    known = F.array(*[F.lit(g) for g in sorted({g for ss in TEMPLATES.values() for t in ss for g in _trigrams(t)})])
+    found = _computed(documents, "doc_id", F.split("text", "\n").alias("line")).where(F.size("line") > 1)
+    found = _computed(found, "doc_id", "line", F.transform("line", words).alias("token"))
+    # The last two words of a line and the first two of the next one.
+    ends = F.transform(F.sequence(F.lit(1), F.size("line") - 1), lambda i: F.struct(
+        F.get("token", i - 1).alias("own"), F.get("token", i).alias("next")))
+    found = _computed(found, "doc_id", "line", F.transform(ends, lambda e: F.when(
+        (F.size(e["own"]) > 0) & (F.size(e["next"]) > 0),
+        F.concat(F.slice(e["own"], F.greatest(F.size(e["own"]) - 1, F.lit(1)), 2), F.slice(e["next"], 1, 2)))).alias("end"))
+    found = _computed(found, "doc_id", "line", F.transform("end", lambda t: F.coalesce(
+        F.arrays_overlap(grams(t, (3,)), known), F.lit(False))).alias("goes_on")).where(F.array_contains("goes_on", True))
+    starts = F.filter(F.sequence(F.lit(1), F.size("goes_on")),
+                      lambda i: F.get("goes_on", i - 1) & ~F.coalesce(F.get("goes_on", i - 2), F.lit(False)))
+    runs = F.transform(starts, lambda i: F.struct(i.alias("start"), F.array_position(F.concat(
+        F.slice("goes_on", i, F.size("goes_on")), F.array(F.lit(False))), False).cast("int").alias("lines")))
+    found = found.select("doc_id", "line", F.inline(runs)).withColumn("alone", F.slice("line", F.col("start"), F.col("lines")))
+    return found.select("doc_id", (F.col("start") - 1).alias("paragraph"), "lines", F.array_join("alone", "\n").alias("text"), "alone")
 
 
 def scan(documents: DataFrame, model: Model) -> DataFrame:
@@ -250,25 +262,26 @@ def scan(documents: DataFrame, model: Model) -> DataFrame:
     ``predicted`` is the regression's class, ``probability`` the calibrated chance that it is right, and
     ``similarity`` the greatest share of a template of that family in the paragraph. ``family`` is the predicted
     one if the probability is at least one half and a template confirms it, and otherwise unknown. A paragraph is
-    a line; a notice wrapped over up to WRAP lines without a blank one between is a further row, with its first line
-    and how many ``lines`` it takes, if it is of a family that it confirms in no fewer of these lines.
+    a line; a notice wrapped over any number of lines without a blank one between is a further row, with its first
+    line and how many ``lines`` it takes, if it is of a family that none of these lines confirms by itself.
 
     Paragraphs without any feature word are unknown by the model and not in the result, so neither are null and
     empty texts. Rows without doc_id are scanned too; repeated rows give each paragraph once.
     """
     pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(w.replace('.', '[.]') for w in model.words) or '(?!)'})(?![a-z0-9])"
     documents = documents.select("doc_id", "text").where(F.col("text").rlike(pattern))
+    none = F.array().cast("array<string>")
     single = paragraphs(documents).where(F.col("text").rlike(pattern)).select(
-        "doc_id", "paragraph", F.lit(1).alias("lines"), "text", F.lit("").alias("head"), F.lit("").alias("tail"))
-    rows = _with_grams(single.union(_wrapped(documents, pattern)).dropDuplicates()).withColumns(
-        {c: grams(words(F.col(c)), (3,)) for c in ("head", "tail")})
-    found = _predicted(rows, model, ["doc_id", "paragraph", "lines", "trigrams", "head", "tail"])
+        "doc_id", "paragraph", F.lit(1).alias("lines"), "text", none.alias("alone"))
+    rows = _with_grams(single.union(_wrapped(documents)).dropDuplicates(["doc_id", "paragraph", "lines", "text"]))
+    rows = _computed(rows, "doc_id", "paragraph", "lines", "trigrams", "grams", F.transform("alone", words).alias("alone"))
+    rows = rows.withColumn("alone", F.transform("alone", lambda x: grams(x, (3,))))
+    found = _predicted(rows, model, ["doc_id", "paragraph", "lines", "trigrams", "alone"])
     similarity = less = F.lit(0.0)
     for family, sentences in TEMPLATES.items():
         own = F.col("family") == family
         similarity = F.when(own, _similarity(F.col("trigrams"), sentences)).otherwise(similarity)
-        less = F.when(own & (F.col("lines") > 1), F.greatest(
-            _similarity(F.col("head"), sentences), _similarity(F.col("tail"), sentences))).otherwise(less)
+        less = F.when(own & (F.col("lines") > 1), _alone(sentences)).otherwise(less)
     probability = 1 / (1 + F.exp(-(model.slope * F.col("margin") + model.offset)))
     sure = (F.col("probability") >= 0.5) & (F.col("similarity") >= CONFIRM)
     return (

@@ -1,3 +1,4 @@
+import re
 import textwrap
 
 import pytest
@@ -75,4 +76,53 @@ def test_wrapped_notices(spark, model):
     rows.append((2002, "Released under the\n\nMIT License."))
     found = [r for r in licences.scan(frame(spark, rows), model).collect() if r.family != licences.UNKNOWN]
     assert {(r.doc_id, r.family) for r in found} == want | {(2000, "BSD-3-Clause"), (2001, "GPL-3.0")}
-    assert all(1 <= r.lines <= licences.WRAP and r.similarity >= licences.CONFIRM for r in found)
+    assert all(r.lines >= 1 and r.similarity >= licences.CONFIRM for r in found)
+
+
+def test_a_notice_of_many_short_lines(spark, model):
+    family, text = max(((f, t) for f, ts in licences.TEMPLATES.items() for t in ts), key=lambda x: len(x[1].split()))
+    words = text.split()
+    pieces = [" ".join(words[i:i + 2]) for i in range(0, len(words), 2)]
+    rows = [(1, "\n".join(["before", "", *pieces, "", "after"])), (2, "\n\n".join(pieces)), (3, "\n".join(pieces[::-1]))]
+    found = [r for r in licences.scan(frame(spark, rows), model).collect() if r.family != licences.UNKNOWN]
+    assert [(r.doc_id, r.paragraph, r.family) for r in found] == [(1, 2, family)] and found[0].lines >= len(pieces) - 1
+
+
+def plain_trigrams(text):
+    tokens = re.findall(licences.WORD, text.lower())
+    return {" ".join(tokens[i:i + 3]) for i in range(len(tokens) - 2)}
+
+
+def test_similarity_and_runs_as_by_hand(spark, model):
+    """All rows of the result against plain loops over lines."""
+    rows = [(i, t) for i, t, *_ in odd_rows() if i is not None and t] + [
+        (3000, "x\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\ny"), (3001, "\n".join(licences.OTHERS)), (3002, "Licensed under the Apache License, Version 2.0")]
+    rows = list(dict(rows).items())
+    templates = {f: [plain_trigrams(t) for t in ts] for f, ts in licences.TEMPLATES.items()}
+    known = set().union(*(t for ts in templates.values() for t in ts))
+    want = {}
+    for doc_id, text in rows:
+        lines = text.split("\n")
+        spans = [(i, 1) for i in range(len(lines)) if set(re.findall("[a-z0-9]+(?:[.][a-z0-9]+)*", lines[i].lower())) & set(model.words)]
+        i = 0
+        while i < len(lines):
+            j = i
+            while j + 1 < len(lines):
+                a, b = (re.findall(licences.WORD, lines[k].lower()) for k in (j, j + 1))
+                if not (a and b and plain_trigrams(" ".join(a[-2:] + b[:2])) & known):
+                    break
+                j += 1
+            if j > i:
+                spans.append((i, j - i + 1))
+            i = j + 1
+        for at, n in spans:
+            found = plain_trigrams("\n".join(lines[at:at + n]))
+            want[(doc_id, at, n)] = {f: max(len(t & found) / len(t) for t in ts) for f, ts in templates.items()}
+    got = licences.scan(frame(spark, rows), model).collect()
+    assert {(r.doc_id, r.paragraph, 1) for r in got if r.lines == 1} == {k for k in want if k[2] == 1}
+    for r in got:
+        shares = want[(r.doc_id, r.paragraph, r.lines)]
+        assert r.similarity == pytest.approx(shares.get(r.predicted, 0.0))
+        assert (r.family == r.predicted and r.family != licences.UNKNOWN) == (
+            r.predicted != licences.UNKNOWN and r.probability >= 0.5 and r.similarity >= licences.CONFIRM)
+    assert (3000, 1, 2) in {(r.doc_id, r.paragraph, r.lines) for r in got if r.family == "BSD-3-Clause"}
