@@ -73,6 +73,26 @@ def stream_sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int, d
                           F.col("session_window.end").alias("session_end"), "n_events")
 
 
+def stamp_arrival(df: DataFrame, name: str = "arrival") -> DataFrame:
+    """Add the time of arrival, to be written with the events.
+
+    On a stream it is the time of the micro-batch, and the file sink takes a batch once: what is read from its table
+    has one arrival, however often it is read.
+    """
+    if name in df.columns:
+        raise ValueError(f"events have a column {name} already")
+    return df.withColumn(name, F.current_timestamp())
+
+
+def stream_arrival_sessions(df: DataFrame, keys: list[str], gap_seconds: int, arrival: str = "arrival") -> DataFrame:
+    """Sessions by stored arrivals, on a stream of the table in which they stand; ``sessions`` is the batch form.
+
+    Arrivals do not fall from one micro-batch to the next, so nothing is late and a session closes as soon as the
+    greatest arrival seen is past its end. ``streaming.state.sessions_by_clock`` closes them without further events.
+    """
+    return stream_sessions(df, keys, arrival, gap_seconds, "0 seconds")
+
+
 def window_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: str | None = None) -> DataFrame:
     """Events per key and tumbling or sliding window. Works on a stream that has a watermark."""
     counted = df.groupBy(*keys, F.window(ts, size, slide)).agg(F.count(F.lit(1)).alias("n_events"))

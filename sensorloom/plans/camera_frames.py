@@ -9,7 +9,7 @@ from sensorloom.functions import codec, times, udfs
 from sensorloom.functions import frames as px
 from sensorloom.operators import grid
 from sensorloom.plans.tables import FRAMES_SQL, TILE, pixel_frames, plain, readings, scaled, scaled_sql, table
-from sensorloom.sources import sinks
+from sensorloom.sources import event_files, sinks
 from sensorloom.workspace import run_dir
 
 WINDOW_MILLIS = 500
@@ -150,6 +150,14 @@ def frame_head_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_head", "n_head_bytes")])
 
 
+def frame_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each frame's bytes in a file of their own, read back."""
+    frames = _frames(spark, sf_dir).select("camera", "frame_number", px.to_bytes(F.col("pixels")).alias("data"))
+    path = run_dir(spark, "files")
+    event_files.write(frames, path, F.format_string("camera-%d-frame-%d.raw", "camera", "frame_number"))
+    return event_files.read(spark, path).select("name", F.octet_length("data").alias("n_bytes"), F.hex("data").alias("data_hex"))
+
+
 def group_frames_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of all cameras with the same number: how many, the last time, the brightest score."""
     frames = _frames(spark, sf_dir)
@@ -162,7 +170,7 @@ def group_frames_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     grid_last_per_camera, table_tumble_grid, grid_layout, grid_sources, grid_frame_number, frame_resize,
     frame_resize_bytes, frame_resize_area, grid_compose, grid_compose_in_pandas, frame_mean_score, frame_mean_score_bytes, frame_metadata,
-    frame_head_filter, group_frames_by_number,
+    frame_head_filter, frame_files, group_frames_by_number,
 )}
 
 _HEX = "array_to_string(list_transform({}, lambda p: printf('%02X', p)), '')"
@@ -265,6 +273,10 @@ ORACLES = {
         SELECT camera, count(*) AS n_frames, count(*) FILTER (frame_number < {HEAD_FRAMES}) AS n_head,
                (sum(len(pixels)) FILTER (frame_number < {HEAD_FRAMES}))::BIGINT AS n_head_bytes
         FROM ({FRAMES_SQL}) GROUP BY camera""",
+    "frame_files": f"""
+        SELECT printf('camera-%d-frame-%d.raw', camera, frame_number) AS name, len(pixels)::INT AS n_bytes,
+               {_HEX.format('pixels')} AS data_hex
+        FROM ({FRAMES_SQL})""",
     "group_frames_by_number": f"""
         SELECT frame_number, count(*) AS n_frames, max(ts) AS timestamp,
                {scaled_sql('max(list_sum(pixels)::DOUBLE / len(pixels) / 255.0::DOUBLE)', 6)} AS max_score_e6

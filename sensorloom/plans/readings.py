@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions import times, udfs
 from sensorloom.operators import events as ev
 from sensorloom.operators import ordering
-from sensorloom.plans.tables import LOG_SQL, SEGMENTS, plain, readings, scaled, scaled_sql, table
+from sensorloom.plans.tables import ARRIVALS_SQL, arrivals, LOG_SQL, SEGMENTS, plain, readings, scaled, scaled_sql, table
 
 INTERVAL = 2 * 3600
 GAP = 600
@@ -59,6 +59,11 @@ def session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
 
 
+def arrival_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ev.sessions(arrivals(table(spark, sf_dir, "events")), ["device_id"], "arrival", GAP)
+    return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
+
+
 def _cents(vector: Column) -> Column:
     """A vector as text of hundredths."""
     return F.array_join(F.transform(vector, lambda v: F.round(v * 100).cast("bigint").cast("string")), ",")
@@ -140,7 +145,7 @@ def ratio_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    interval_join, discretize_time, sliding_count, sliding_count_panes, session_count, ordered_vector, window_mean,
+    interval_join, discretize_time, sliding_count, sliding_count_panes, session_count, arrival_session_count, ordered_vector, window_mean,
     frame_row_number, sensor_residual, agg_sum_per_key, agg_arrow_sum_per_key,
     udf_by_name, window_mean_pandas, null_key_numbers, ratio_estimate,
 )}
@@ -162,15 +167,20 @@ def panes_sql(slide: int) -> str:
     GROUP BY event_type, w"""
 
 
-SESSION_SQL = f"""
+def _session_sql(events: str) -> str:
+    return f"""
     SELECT user_id AS device_id, min(ts) AS session_start, max(ts) + INTERVAL {GAP} SECOND AS session_end,
            count(*) AS n_events
     FROM (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session
           FROM (SELECT user_id, ts, event_id,
                        coalesce(ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-                                + INTERVAL {GAP} SECOND, true)::INT AS opens FROM events))
+                                + INTERVAL {GAP} SECOND, true)::INT AS opens FROM {events}))
     GROUP BY user_id, session
 """
+
+
+SESSION_SQL = _session_sql("events")
+ARRIVAL_SESSION_SQL = _session_sql(f"({ARRIVALS_SQL})")
 INTERVAL_SQL = f"""
     SELECT a.user_id AS device_id, a.event_id AS event_id1, b.event_id AS event_id2,
            a.ts AS timestamp1, b.ts AS timestamp2
@@ -192,6 +202,7 @@ ORACLES = {
     "sliding_count": SLIDING_SQL,
     "sliding_count_panes": panes_sql(MINUTE),
     "session_count": SESSION_SQL,
+    "arrival_session_count": ARRIVAL_SESSION_SQL,
     "ordered_vector": f"""
         SELECT user_id, (p - 1) // {VECTOR_LENGTH} AS part, count(*)::INT AS n_values,
                string_agg(round(value * 100)::BIGINT::VARCHAR, ',' ORDER BY p) AS cents

@@ -18,7 +18,7 @@ from sensorloom.operators import events as ev
 from sensorloom.plans import camera_frames, payloads, readings
 from sensorloom.plans import logs as logs_plan
 from sensorloom.plans.tables import (
-    CHUNKS_SQL, FRAMES_SQL, SEGMENTS, TILE, log, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
+    CHUNKS_SQL, FRAMES_SQL, SEGMENTS, TILE, arrivals, log, payload_chunks, pixel_frames, plain, scaled, table, table_stream,
 )
 from sensorloom.plans.tables import readings as as_readings
 from sensorloom.sources import log as logs
@@ -167,6 +167,15 @@ def stream_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
 
 
+def stream_arrival_session_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by the stored time of arrival."""
+    def windows(events: DataFrame) -> DataFrame:
+        return ev.stream_arrival_sessions(arrivals(events), ["device_id"], readings.GAP)
+
+    found = _finished(spark, sf_dir, "stream-arrivals", "events", windows, "session_end")
+    return found.select("device_id", plain("session_start"), plain("session_end"), "n_events")
+
+
 def _grids(value: str) -> Callable[[DataFrame], DataFrame]:
     """Two aggregates in a row: per camera and window, then per window."""
     def windows(embeddings: DataFrame) -> DataFrame:
@@ -335,7 +344,8 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     stream_json_chunks, stream_chunk_join_inner, stream_chunk_join_left, stream_camera_grid_job, stream_dedup, stream_chunk_reassemble,
     stream_chunk_reassemble_batches, stream_chunk_reassemble_positions, stream_interval_join,
-    stream_sliding_count, stream_sliding_count_panes, stream_session_count, stream_grid_last_per_camera, stream_grid_sink,
+    stream_sliding_count, stream_sliding_count_panes, stream_session_count,
+    stream_arrival_session_count, stream_grid_last_per_camera, stream_grid_sink,
     stream_grid_frame_number, stream_table_tumble_grid, stream_tail_read, stream_tail_positions, stream_routed_write,
     stream_foreach_batch,
 )}
@@ -374,6 +384,7 @@ ORACLES = {
     "stream_sliding_count": readings.SLIDING_SQL,
     "stream_sliding_count_panes": readings.panes_sql(readings.HOUR),
     "stream_session_count": readings.SESSION_SQL,
+    "stream_arrival_session_count": readings.ARRIVAL_SESSION_SQL,
     "stream_grid_last_per_camera": camera_frames.GRID_SQL,
     "stream_grid_sink": f"""
         SELECT {camera_frames.OUT_CAMERA} AS camera, window_start, timestamp,

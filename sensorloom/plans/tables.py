@@ -19,6 +19,7 @@ CHUNK_BYTES = 512
 CAMERAS = 9
 FRAME_MILLIS = 200
 TILE = 8
+MAX_TRAVEL = 900  # seconds
 EPOCH = "2024-01-01 00:00:00"
 
 
@@ -42,6 +43,15 @@ def readings(events: DataFrame) -> DataFrame:
     )
 
 
+def arrivals(events: DataFrame) -> DataFrame:
+    """device_id and a fixed arrival: the event's time and up to ``MAX_TRAVEL`` seconds on its way."""
+    travel = F.make_dt_interval(secs=(F.col("event_id") * 7919 % MAX_TRAVEL).cast("decimal(18,6)"))
+    return events.select("event_id", F.col("user_id").alias("device_id"), (F.col("ts").cast("timestamp") + travel).alias("arrival"))
+
+
+ARRIVALS_SQL = f"SELECT event_id, user_id, ts + to_seconds(event_id * 7919 % {MAX_TRAVEL}) AS ts FROM events"
+
+
 def log(events: DataFrame) -> DataFrame:
     """An event log: a segment per device, offsets without gaps over all segments, JSON events."""
     return events.select(

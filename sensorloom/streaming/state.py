@@ -1,4 +1,4 @@
-"""The operators that need state of their own: early frame reassembly and counters by camera or routing key."""
+"""The operators that need state of their own: early frame reassembly, counters by camera or routing key, sessions by the clock."""
 
 from __future__ import annotations
 
@@ -150,3 +150,36 @@ def number_events(events: DataFrame, key: str, order: list[str], buckets: int =
 
     return placed.groupBy("_bucket").applyInPandasWithState(
         step, schema, f"keys array<{kind}>, following array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def sessions_by_clock(events: DataFrame, keys: list[str], gap_seconds: int) -> DataFrame:
+    """Sessions per key in processing time: events arrive when their micro-batch does, and a session closes by the clock.
+
+    Rows (keys, session_start, session_end, n_events), with the end at the last arrival + gap. A session goes on at
+    exactly the gap, as in event time. The clock is that of the micro-batch, which the checkpoint keeps: a batch that
+    is run again after a failure gives the same sessions. A key that has gone quiet closes without any further event, so
+    the query needs a trigger that goes on; after a restart Spark looks at the clock from the first event on. NULL is a key like any other. State is three numbers a key. Sessions
+    that must come out alike whenever they are read need arrivals that are stored (``events.stamp_arrival``).
+    """
+    key_fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in events.select(*keys).schema]
+    schema = StructType.fromDDL(", ".join([*key_fields, "session_start timestamp, session_end timestamp, n_events bigint"]))
+    gap = gap_seconds * 1000
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        held = state.get if state.exists else None
+        arrived = sum(len(batch) for batch in batches)
+        if held is not None and (state.hasTimedOut or now - held[1] > gap):
+            first, last, n = held
+            yield pd.DataFrame([[*key, pd.Timestamp(first, unit="ms", tz="UTC"), pd.Timestamp(last + gap, unit="ms", tz="UTC"), n]],
+                               columns=schema.fieldNames())
+            held = None
+        if arrived:
+            first, _, n = held or (now, now, 0)
+            state.update((first, now, n + arrived))
+            state.setTimeoutDuration(gap)
+        else:
+            state.remove()
+
+    return events.select(*keys).groupBy(*keys).applyInPandasWithState(
+        step, schema, "first bigint, last bigint, n bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 import time
 
@@ -277,6 +278,70 @@ def test_stream_equals_batch(spark, readings):
          ev.interval_join(*sides(batch), ["d"], "t1", "t2", 2), ["d", "t1", "t2", "v1", "v2"])
 
 
+def test_sessions_by_the_clock(spark, tmp_path):
+    """A quiet key closes by the clock alone; one that goes on does not; a restart keeps open sessions."""
+    arriving = Stream(spark, str(tmp_path), "k string, n int")
+    out = str(tmp_path / "out")
+    schema = "k string, session_start timestamp, session_end timestamp, n_events bigint"
+
+    def start():
+        source = logs.scan_stream(spark, f"{tmp_path}/in/*", "k string, n int", max_files=1)
+        found = state.sessions_by_clock(source, ["k"], 4)
+        return sinks.stream_to_table(found, f"{out}/table", f"{out}/checkpoint", interval="200 milliseconds")
+
+    def closed():
+        return {(r["k"], r["n_events"]) for r in spark.read.schema(schema).parquet(f"{out}/table").collect()}
+
+    def wait_for(expected):
+        limit = time.time() + 60
+        while time.time() < limit and not (os.path.exists(f"{out}/table") and expected <= closed()):
+            time.sleep(0.3)
+        assert closed() == expected
+
+    arriving.add([("a", 1), ("a", 2), (None, 3)])
+    query = start()
+    try:
+        wait_for({("a", 2), (None, 1)})
+        arriving.add([("a", 4)])
+        limit = time.time() + 30
+        while time.time() < limit and sum(p["numInputRows"] for p in query.recentProgress) < 4:
+            time.sleep(0.1)
+    finally:
+        query.stop()
+    query = start()
+    try:
+        arriving.add([("b", 5)])  # Spark looks at no clock after a restart before it has had an event
+        wait_for({("a", 2), (None, 1), ("a", 1), ("b", 1)})
+    finally:
+        query.stop()
+    for row in spark.read.schema(schema).parquet(f"{out}/table").collect():
+        assert (row["session_end"] - row["session_start"]).total_seconds() >= 4
+
+
+def test_stored_arrivals_give_the_sessions_of_the_batch_form(spark, readings):
+    rows = [(i % 3, seconds(i * i % 97 + 40 * (i // 20)), 0.0) for i in range(60)]
+    rows.sort(key=lambda r: r[1])
+    for at in range(0, 60, 20):
+        readings.add(rows[at:at + 20])
+    readings.add([(9, seconds(1000), 0.0)])
+    found = readings.run(lambda df: ev.stream_arrival_sessions(df, ["d"], 5, "ts"))
+    expected = ev.sessions(spark.createDataFrame(rows, READING), ["d"], "ts", 5)
+    columns = ["d", "session_start", "session_end", "n_events"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, expected.select(columns).collect()))
+
+
+def test_arrival_is_stamped_once(spark, tmp_path):
+    arriving = Stream(spark, str(tmp_path), "k string, arrival_order int")
+    arriving.add([("a", 1), ("a", 2)])
+    arriving.add([("a", 3)])
+    stamped = arriving.run(ev.stamp_arrival)
+    first = {r["arrival_order"]: r["arrival"] for r in stamped.collect()}
+    assert first == {r["arrival_order"]: r["arrival"] for r in stamped.collect()}
+    assert first[1] == first[2] <= first[3]
+    with pytest.raises(ValueError):
+        ev.stamp_arrival(stamped)
+
+
 def test_grid_of_discretized_stream(spark, tmp_path):
     schema = "camera int, frame_number int, ssrc int, timestamp timestamp, data binary"
     rows = [(c, n, 0, START + dt.timedelta(milliseconds=200 * n), bytearray([c, n])) for n in range(40) for c in range(3)]
