@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from sensorloom.llm import common
 from sensorloom.llm.common import free_name, staged
 
 TRAINING_DOCUMENTS = 2000  # of each language, on average, for the text model
-LANGUAGES = 256  # most that a model can tell apart: bounds its table to 32 MB
+LANGUAGES = 256  # most that a model tells apart: bounds its table to 32 MB. Rarer ones are part of the background
 SLOTS = 1 << 15  # of hashed byte trigrams
 EVIDENCE = 60  # a text counts as so many independent trigrams at most
 CERTAIN = 20  # trigrams from which a text's own language counts for the statistics of hosts
@@ -29,7 +30,11 @@ _LETTER[[*range(ord("A"), ord("Z") + 1)]] = range(ord("a"), ord("z") + 1)
 
 @dataclass
 class TextModel:
-    """Log probabilities of hashed trigrams, a row for each language."""
+    """Log probabilities of hashed trigrams, a row for each language and behind them one for the background.
+
+    The background stands for all other languages and for what is none: all trigrams alike, and half of it by the
+    trigrams of the languages that are too rare to be told apart, if there are any.
+    """
 
     languages: list[str]
     table: np.ndarray
@@ -50,7 +55,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for lang, slots in zip(batch.column("lang").to_pylist(), _trigrams(batch.column("text")), strict=True):
             counts = totals.setdefault(lang, np.zeros(SLOTS, np.int64))
-            counts += np.bincount(slots, minlength=SLOTS)
+            counts += np.sqrt(np.bincount(slots, minlength=SLOTS)).astype(np.int64)
         for lang, counts in totals.items():
             slots = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -61,26 +66,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, per_language: int = TRAINING_DOCUMENTS) -> TextModel:
     """A text model from rows (doc_id, text, lang), of which about ``per_language`` of each language are used.
 
-    They are chosen by a hash of doc_id, whole texts each. Rows without text or language are not used. Without
-    any usable row the model has no language and every text is unknown.
+    They are chosen by a hash of doc_id, whole texts each. A text counts a trigram by the root of how often it has it,
+    in whole numbers, so that one long repetitive text is not what a language looks like. Rows without text or language are not used. Without
+    any usable row the model has no language and every text is unknown. Of more than LANGUAGES languages the most
+    frequent are told apart (ties by name), and the others are part of the background.
     """
     able = labelled.where("text is not null and lang is not null")
-    totals = {row["lang"]: row["count"] for row in able.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
-    if len(totals) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counts = able.groupBy("lang").count()
+    totals = {row["lang"]: row["count"] for row in counts.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     languages = sorted(totals)
     if not languages:
         return TextModel([], np.zeros((0, SLOTS), np.float32))
-    share: Column = F.lit(0)
+    n_others = counts.agg(F.sum("count")).first()[0] - sum(totals.values())
+    share: Column = F.lit(int(1e6 * min(1.0, per_language / max(1, n_others))) + 1)
     for lang, n in totals.items():
         share = F.when(F.col("lang") == lang, int(1e6 * min(1.0, per_language / n)) + 1).otherwise(share)
-    sample = able.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select("lang", "text")
+    sample = able.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select(
+        F.when(F.col("lang").isin(languages), F.col("lang")).alias("lang"), "text")
     counted = sample.mapInArrow(_counted, "lang string, slot bigint, n bigint").groupBy("lang", "slot").agg(
-        F.sum("n").alias("n")).toArrow()  # at most LANGUAGES * SLOTS rows
-    counts = np.full((len(languages), SLOTS), 0.5)
-    rows = np.searchsorted(np.array(languages), np.array(counted["lang"].to_pylist(), dtype=str)) if len(counted) else []
-    counts[rows, counted["slot"].to_numpy()] += counted["n"].to_numpy()
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+        F.sum("n").alias("n")).toArrow()  # at most (LANGUAGES + 1) * SLOTS rows
+    rows = np.array([len(languages) if i is None else i for i in pc.index_in(
+        counted["lang"], value_set=pa.array(languages)).to_pylist()], np.int64)
+    found = np.full((len(languages) + 1, SLOTS), 0.5)
+    found[rows, counted["slot"].to_numpy()] += counted["n"].to_numpy()
+    found /= found.sum(axis=1, keepdims=True)
+    chance = np.full(SLOTS, 1 / SLOTS)
+    found[-1] = (found[-1] + chance) / 2 if n_others else chance
+    return TextModel(languages, np.log(found).astype(np.float32))
 
 
 def _text_evidence(rows: DataFrame, model: TextModel, n_grams: str, scores: str) -> DataFrame:
@@ -113,11 +125,12 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     declared language and of the address suffix given the language, and the prior of the host. The last three come
     from grouped counts of the languages that the texts alone show: a host's prior is smoothed towards its
     domain's, and that towards the one of all rows. Evidence that is null adds nothing. A row without any trigram
-    is rejected (lang null, posterior null), and so is one of posterior below KEEP; nothing else is.
+    is rejected (lang null, posterior null), and so is one of posterior below KEEP; nothing else is. The background takes
+    part in the posterior but is no answer: a text in another language has a ``lang`` of low posterior, and no ``text_lang``.
 
-    Repeated rows and ids are judged one by one. All probabilities are of the model's languages.
+    Repeated rows and ids are judged one by one. All probabilities are of the model's languages and the background.
     """
-    n_langs = len(model.languages)
+    n_langs = len(model.table)
     scored = staged(_text_evidence(rows.select("id", "text", "declared", "suffix", "domain", "host"), model,
                                    "n_grams", "scores"), "language")
     if not n_langs:
@@ -158,12 +171,14 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     logs = F.transform("prior", lambda p: F.log(p))
     for part in (F.col("scores"), F.coalesce("declared_log", nothing), F.coalesce("suffix_log", nothing)):
         logs = F.zip_with(logs, part, lambda a, b: a + b)
-    names = F.array(*[F.lit(name) for name in model.languages])
+    names = F.array(*[F.lit(name) for name in model.languages], F.lit(None).cast("string"))
     best = F.array_max("logs")
+    known = F.slice("logs", 1, n_langs - 1)
+    likely = F.array_max(known)
     return (
         joined.withColumn("logs", logs)
-        .withColumn("lang", F.when(F.col("n_grams") > 0, F.get(names, F.array_position("logs", best).cast("int") - 1)))
-        .withColumn("posterior", F.when(F.col("n_grams") > 0, 1 / F.aggregate(
+        .withColumn("lang", F.when(F.col("n_grams") > 0, F.get(names, F.array_position(known, likely).cast("int") - 1)))
+        .withColumn("posterior", F.when(F.col("n_grams") > 0, F.exp(likely - best) / F.aggregate(
             "logs", F.lit(0.0), lambda s, x: s + F.exp(x - best))))
         .select("id", "lang", "posterior", "n_grams", F.get(names, F.col("top") - 1).alias("text_lang"),
                 F.coalesce(F.col("posterior") >= KEEP, F.lit(False)).alias("keep"))
@@ -185,7 +200,8 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 def keep_identified(documents: DataFrame) -> DataFrame:
     """The documents whose language is found, by a model trained on a sample of them and their ``lang``.
 
-    ``lang`` is the declared language and ``source`` the host. Rows with a null, empty or letterless text go.
+    ``lang`` is the declared language and ``source`` the host. Rows with a null, empty or letterless text go, and
+    those in none of the model's languages.
     Columns stay as they are. The decision is joined by doc_id and text, so that repeated rows share it.
     """
     model = train(documents)

@@ -73,3 +73,42 @@ def test_page_evidence(spark):
     assert (found[1].declared, found[1].suffix, found[1].domain, found[1].host) == ("de", "de", "example.de", "www.shop.example.de")
     assert (found[2].text, found[2].declared, found[2].host) == (None, None, None)
     assert (found[3].text, found[3].declared, found[3].host) == ("plain", None, None)
+
+
+# Article 1 of the Universal Declaration of Human Rights, in languages of which the tables hold nothing.
+UNTRAINED = {
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván.",
+    "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+}
+
+
+def test_other_languages_are_none_of_the_known(spark, model):
+    rows = [(i, text, None, None, None, None) for i, text in enumerate(UNTRAINED.values())]
+    rows += [(100 + i, text, "en", "com", "site.com", "www.site.com") for i, text in enumerate(UNTRAINED.values())]
+    rows.append((200, "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08e3b0c44298fc1c149afbf4c8996fb92427ae41e4", *[None] * 4))
+    known = table(spark, DIR, "documents").where("doc_id % 2 = 1").selectExpr(
+        "-doc_id AS id", "text", "null AS declared", "null AS suffix", "null AS domain", "null AS host")
+    found = language.identify(known.union(spark.createDataFrame(rows, EVIDENCE)), model).where("id >= 0").collect()
+    assert len(found) == len(rows)
+    assert all(r.text_lang is None and not r.keep and r.posterior < 0.5 for r in found)
+
+
+def test_more_languages_than_the_model_holds(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst", "ee": "uvwxy"}
+    rows = []
+    for weight, (lang, own) in enumerate(reversed(letters.items())):
+        words = [x + y + z for x in own for y in own for z in own]
+        rows += [(1000 * weight + i, " ".join(words[i % 25::2]), lang) for i in range(10 + 10 * weight)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(labelled)
+    assert model.languages == ["aa", "bb", "cc"] and len(model.table) == 4
+    found = language.identify(labelled.selectExpr(
+        "struct(doc_id, lang) AS id", "text", "null AS declared", "null AS suffix", "null AS domain", "null AS host"), model)
+    for r in found.collect():
+        known = r.id.lang in model.languages
+        assert r.keep == known and r.text_lang == (r.id.lang if known else None) and (r.lang == r.id.lang or not known)
