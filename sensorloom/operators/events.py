@@ -67,10 +67,18 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> DataF
 
 
 def stream_sessions(df: DataFrame, keys: list[str], ts: str, gap_seconds: int, delay: str) -> DataFrame:
+    """``sessions`` on a stream that takes rows up to ``delay`` late, or as a batch.
+
+    Start and end are aggregates, not fields of the window: Spark takes the window for a grouping key, and moves a
+    filter on its fields to the events, before they are merged, where it would cut the beginning off a session.
+    """
     session = F.session_window(ts, f"{gap_seconds} seconds")
-    counted = df.withWatermark(ts, delay).groupBy(*keys, session).agg(F.count(F.lit(1)).alias("n_events"))
-    return counted.select(*keys, F.col("session_window.start").alias("session_start"),
-                          F.col("session_window.end").alias("session_end"), "n_events")
+    counted = df.withWatermark(ts, delay).groupBy(*keys, session).agg(
+        F.min(ts).alias("session_start"),
+        (F.max(ts) + F.expr(f"INTERVAL {gap_seconds} SECONDS")).alias("session_end"),
+        F.count(F.lit(1)).alias("n_events"),
+    )
+    return counted.select(*keys, "session_start", "session_end", "n_events")
 
 
 def stamp_arrival(df: DataFrame, name: str = "arrival") -> DataFrame:

@@ -443,3 +443,11 @@ def test_streams_keep_state_off_the_heap(spark, readings):
     readings.add([(1, seconds(1), 1.0)])
     readings.run(lambda df: ev.window_counts(df.withWatermark("ts", "1 second"), ["d"], "ts", "10 seconds"))
     assert all(spark.conf.get(name) == value for name, value in STREAMING_CONF.items())
+
+
+def test_a_filter_on_the_end_keeps_sessions_whole(spark):
+    """Sessions that are still open at the end of a stream are chosen by their end, not by that of their events."""
+    rows = [(1, seconds(s), 0.0) for s in (0, 4, 8, 12)] + [(2, seconds(1), 0.0)]
+    found = ev.stream_sessions(spark.createDataFrame(rows, READING), ["d"], "ts", 5, "1 second")
+    chosen = found.filter((F.col("session_end") > F.lit(seconds(10))) & (F.col("session_start") < F.lit(seconds(2))))
+    assert [tuple(r) for r in chosen.collect()] == [(1, seconds(0), seconds(17), 4)]
