@@ -1,6 +1,6 @@
 """Frame reassembly per micro-batch with built-in operators, for high rates.
 
-``state.reassemble`` calls Python once per frame. Here each micro-batch is one batch job over its chunks and
+``state.reassemble`` takes payloads through Python and its state. Here each micro-batch is one batch job over its chunks and
 those that earlier batches left over, so that frames still come out as soon as they are complete.
 """
 

@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 
 from sensorloom.functions import codec
 from sensorloom.operators.chunks import COUNT, FINAL_MISMATCH, HASH, INDEX_RANGE, MAX_CHUNKS, NO_KEY, SEQUENCE
 
 _RESULT = "n_chunks int, data binary, error string"
-_STATE = ("done boolean, low int, high int, n_rows int, n_null int, indexes array<int>, payloads array<binary>, hash binary")
+_STATE = ("low array<int>, high array<int>, n_rows array<int>, n_null array<int>, indexes array<array<int>>, "
+          "payloads array<array<binary>>, hash array<binary>, expires array<bigint>")
+_N_STORED = 8  # columns of _STATE
+_NONE = -MAX_CHUNKS - 1  # for a NULL index, which no 16-bit field holds
+_ROWS_OUT = 256  # frames that are given to Spark at once
+BUCKETS = 1024  # of frames: at most one Python call for each and micro-batch
 
 
 def frame_error(low: int | None, high: int | None, n_rows: int, indexes: set[int], n_null: int = 0) -> str | None:
@@ -29,73 +35,135 @@ def frame_error(low: int | None, high: int | None, n_rows: int, indexes: set[int
     return COUNT if n_rows != high + 1 else None
 
 
-def reassemble(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_millis: int = 10_000) -> DataFrame:
+class _Frame:
+    """What has come of a frame: at most one payload per index, and none once it cannot become whole."""
+
+    __slots__ = ("low", "high", "n_rows", "n_null", "seen", "held", "hash", "expires")
+
+    def __init__(self, low=None, high=None, n_rows=0, n_null=0, indexes=(), payloads=(), expected=None, expires=0) -> None:
+        self.low, self.high, self.n_rows, self.n_null = low, high, n_rows, n_null
+        self.seen, self.held = set(indexes), dict(zip(indexes, payloads))
+        self.hash, self.expires = expected, expires
+
+    def add(self, index: int, final: int, data: bytes | None, row_hash: bytes | None) -> None:
+        self.n_rows += 1
+        if final != _NONE:
+            self.low = final if self.low is None else min(self.low, final)
+            self.high = final if self.high is None else max(self.high, final)
+        if self.hash is None and row_hash is not None:
+            self.hash = row_hash
+        if index == _NONE:
+            self.n_null += 1
+        else:
+            self.seen.add(index)
+            self.held.setdefault(index, data)
+
+    def error(self) -> str | None:
+        return frame_error(self.low, self.high, self.n_rows, self.seen, self.n_null)
+
+    def forget_lost(self) -> bool:
+        """Whether the frame cannot become whole; then only what the error code needs is kept."""
+        seen, high = self.seen, self.high
+        lost = bool(self.n_null or len(seen) != self.n_rows or self.low != high or len(seen) > MAX_CHUNKS or (
+            high is not None and seen and not 0 <= min(seen) <= max(seen) <= high))
+        if lost:
+            self.seen = {min(seen), max(seen)} | set(sorted(seen)[:MAX_CHUNKS]) if seen else seen
+            self.held = {}
+        return lost
+
+    def payload(self) -> tuple[bytes | None, str | None]:
+        whole = b"".join(self.held[i] or b"" for i in range(self.high + 1))
+        valid = self.hash is None or hashlib.sha1(whole).digest()[:codec.HASH_BYTES] == self.hash
+        return (whole, None) if valid else (None, HASH)
+
+    def stored(self) -> tuple:
+        order = sorted(self.seen)
+        payloads = [self.held.get(i) for i in order] if self.held else []
+        return self.low, self.high, self.n_rows, self.n_null, order, payloads, self.hash, self.expires
+
+
+def reassemble(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_millis: int = 10_000,
+               buckets: int = BUCKETS) -> DataFrame:
     """Frames as soon as their last missing chunk arrives, in any order of arrival.
 
     ``chunks`` has ``keys`` (with the event time ``ts`` among them), chunk_index, final_chunk_index, data
     and hash. A frame that is not whole ``timeout_millis`` of event time after its chunks gives a row with an
     error code and no data; a NULL key gives one at once. State holds at most one payload per index, none
     once a frame cannot become whole, and until the time limit the mere key of a finished one, whose chunks
-    are left out if they are delivered again. For high rates see ``streaming.frames``.
-    """
-    schema = StructType.fromDDL(", ".join(
-        [f"{f.name} {f.dataType.simpleString()}" for f in chunks.select(*keys).schema] + [_RESULT]
-    ))
-    ts_position = keys.index(ts)
+    are left out if they are delivered again.
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def result(n: int, data: bytes | None, error: str | None) -> pd.DataFrame:
-            return pd.DataFrame([[*key, n, data, error]], columns=schema.fieldNames())
+    Frames are dealt to ``buckets`` by a hash of their keys, whose number must stay the same over restarts. A bucket is
+    one state and one Python call per micro-batch, which holds the bucket's chunks of that batch and its open frames.
+    Keys go as text, so that a NULL among them leaves the others exact.
+    """
+    times = {f.name for f in chunks.select(*keys).schema if isinstance(f.dataType, TimestampType)}
+    kinds = [f.dataType for f in chunks.select(*keys).schema]
+    names = [f"key_{i}" for i in range(len(keys))]
+    no_key = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    rows = chunks.withWatermark(ts, delay).select(
+        ts, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket"),
+        *[(F.unix_micros(k) if k in times else F.col(k)).cast("string").alias(n) for n, k in zip(names, keys)],
+        no_key.alias("no_key"), F.coalesce(F.unix_millis(ts), F.lit(0)).alias("millis"),
+        *[F.coalesce(F.col(c).cast("int"), F.lit(_NONE)).alias(c) for c in ("chunk_index", "final_chunk_index")], "data", "hash")
+    columns = [*names, "no_key", "millis", "chunk_index", "final_chunk_index", "data", "hash"]
+    out = StructType.fromDDL(", ".join([*(f"{n} string" for n in names), _RESULT]))
+    state_schema = ", ".join([*(f"{n} array<string>" for n in names), _STATE,
+                              *(f"done_{n} array<string>" for n in names), "done_expires array<bigint>"])
 
-        if any(pd.isna(k) for k in key):
-            yield result(sum(len(batch) for batch in batches), None, NO_KEY)
-            return
-        done, low, high, n_rows, n_null, indexes, payloads, expected = (
-            state.get if state.exists else (False, None, None, 0, 0, [], [], None)
-        )
-        if state.hasTimedOut:
+    def step(bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, n_keys = state.getCurrentWatermarkMs(), len(names)
+        frames: dict[tuple, _Frame] = {}
+        done: dict[tuple, int] = {}
+        if state.exists:
+            kept = state.get
+            frames = {k: _Frame(*f) for k, f in zip(zip(*kept[:n_keys]), zip(*kept[n_keys:-n_keys - 1]))}
+            done = dict(zip(zip(*kept[-n_keys - 1:-1]), kept[-1]))
+        unnamed: dict[tuple, int] = {}
+        touched: dict[tuple, _Frame] = {}
+        for batch in () if state.hasTimedOut else batches:
+            for row in zip(*(batch[c].tolist() for c in columns)):
+                key, (nameless, millis, index, final, data, row_hash) = row[:n_keys], row[n_keys:]
+                if nameless:
+                    key = tuple(None if pd.isna(k) else k for k in key)
+                    unnamed[key] = unnamed.get(key, 0) + 1
+                    continue
+                expires = max(millis, now) + timeout_millis
+                if key in done:
+                    done[key] = expires
+                    continue
+                frame = frames.get(key)
+                if frame is None:
+                    frame = frames[key] = _Frame()
+                frame.expires, touched[key] = expires, frame
+                frame.add(index, final, data, row_hash)
+
+        def results() -> Iterator[tuple]:
+            for key, n in unnamed.items():
+                yield *key, n, None, NO_KEY
+            for key, frame in touched.items():
+                if not frame.forget_lost() and frame.error() is None:
+                    yield *key, frame.n_rows, *frame.payload()
+                    done[key] = frames.pop(key).expires
+            for key in [k for k, frame in frames.items() if frame.expires <= now]:
+                frame = frames.pop(key)
+                yield *key, frame.n_rows, None, frame.error()
+
+        ready = results()
+        while part := list(islice(ready, _ROWS_OUT)):
+            yield pd.DataFrame(part, columns=out.fieldNames())
+        done = {k: e for k, e in done.items() if e > now}
+        if not frames and not done:
             state.remove()
-            if not done:
-                yield result(n_rows, None, frame_error(low, high, n_rows, set(indexes), n_null))
             return
-
-        seen, held = set(indexes), dict(zip(indexes, payloads))
-        for batch in batches:
-            if done:
-                continue
-            rows = zip(batch["chunk_index"], batch["final_chunk_index"], batch["data"], batch["hash"])
-            for index, final, data, row_hash in rows:
-                n_rows += 1
-                if not pd.isna(final):
-                    low = int(final) if low is None else min(low, int(final))
-                    high = int(final) if high is None else max(high, int(final))
-                if expected is None and row_hash is not None:
-                    expected = row_hash
-                if pd.isna(index):
-                    n_null += 1
-                else:
-                    seen.add(int(index))
-                    held.setdefault(int(index), data)
-        lost = n_null or len(seen) != n_rows or low != high or len(seen) > MAX_CHUNKS or (
-            high is not None and seen and not 0 <= min(seen) <= max(seen) <= high)
-        if lost:  # only what the error code needs
-            seen = {min(seen), max(seen)} | set(sorted(seen)[:MAX_CHUNKS]) if seen else seen
-            held = {}
-        if not done and not lost and frame_error(low, high, n_rows, seen) is None:
-            whole = b"".join(held[i] or b"" for i in range(high + 1))
-            valid = expected is None or hashlib.sha1(whole).digest()[:codec.HASH_BYTES] == expected
-            yield result(n_rows, whole if valid else None, None if valid else HASH)
-            done, seen, held = True, set(), {}
-        order = sorted(seen)
-        state.update((done, low, high, n_rows, n_null, order, [held.get(i) for i in order] if held else [], expected))
-        event_millis = int(key[ts_position].timestamp() * 1000)
-        state.setTimeoutTimestamp(max(event_millis, state.getCurrentWatermarkMs()) + timeout_millis)
-
-    columns = dict.fromkeys([*keys, "chunk_index", "final_chunk_index", "data", "hash"])
-    return (
-        chunks.withWatermark(ts, delay).select(*columns).groupBy(*keys)
-        .applyInPandasWithState(step, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+        open_keys, done_keys = ([list(c) for c in zip(*d)] if d else [[] for _ in names] for d in (frames, done))
+        stored = [list(c) for c in zip(*(f.stored() for f in frames.values()))] if frames else [[] for _ in range(_N_STORED)]
+        state.update((*open_keys, *stored, *done_keys, list(done.values())))
+        state.setTimeoutTimestamp(max(now + 1, min([f.expires for f in frames.values()] + list(done.values()))))
+
+    found = rows.groupBy("bucket").applyInPandasWithState(step, out, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(*[
+        (F.timestamp_micros(F.col(n).cast("bigint")) if k in times else F.col(n).cast(kind)).alias(k)
+        for n, k, kind in zip(names, keys, kinds)], "n_chunks", "data", "error")
 
 
 def number_frames(rows: DataFrame, camera: str, ts: str) -> DataFrame:

@@ -451,3 +451,22 @@ def test_a_filter_on_the_end_keeps_sessions_whole(spark):
     found = ev.stream_sessions(spark.createDataFrame(rows, READING), ["d"], "ts", 5, "1 second")
     chosen = found.filter((F.col("session_end") > F.lit(seconds(10))) & (F.col("session_start") < F.lit(seconds(2))))
     assert [tuple(r) for r in chosen.collect()] == [(1, seconds(0), seconds(17), 4)]
+
+
+def test_reassembly_calls_python_by_bucket_not_by_frame(spark, tmp_path):
+    """300 frames are four states; long ids stay exact beside a NULL, and half a frame waits in its bucket."""
+    stream = Stream(spark, str(tmp_path), CHUNK.replace("camera int", "camera long"))
+    big, part = 2**53 + 1, (bytearray(b"x"), None)
+    stream.add([(big + c, seconds(1), 0, 0, *part) for c in range(299)] + [(5, seconds(1), 1, 1, *part), (None, seconds(1), 0, 0, *part)])
+    stream.add([(5, seconds(1), 0, 1, *part)])
+    source = logs.scan_stream(spark, f"{stream.folder}/in/*", stream.schema, max_files=1)
+    found = state.reassemble(source, ["camera", "ts"], "ts", "1 second", buckets=4)
+    out = f"{tmp_path}/out"
+    query = sinks.stream_to_table(found, f"{out}/table", f"{out}/checkpoint")
+    query.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(states) <= 4
+    rows = spark.read.schema(found.schema).parquet(f"{out}/table").collect()
+    assert {(r["camera"], r["n_chunks"], r["data"] and bytes(r["data"]), r["error"]) for r in rows} == {
+        *((big + c, 1, b"x", None) for c in range(299)), (5, 2, b"xx", None), (None, 1, None, chunks.NO_KEY)}
+    assert len(rows) == 301
