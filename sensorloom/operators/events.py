@@ -30,11 +30,15 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: s
 
 def stream_interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                          seconds: int, delay: str = "60 seconds") -> DataFrame:
-    """The same on streams: watermarks on both sides, so that Spark can drop state, and the same time buckets."""
-    width = seconds * 1_000_000
-    bucket = floor_div(_micros(right_ts), width)
+    """The same on streams: watermarks on both sides, so that Spark can drop state, and time buckets.
+
+    Every row is a row of state, so that the buckets are twice as wide as the interval, and only a right row of a
+    bucket's second half stands in the next one too.
+    """
+    width = 2 * seconds * 1_000_000
+    first, last = floor_div(_micros(right_ts), width), floor_div(_micros(right_ts) + (seconds * 1_000_000 - 1), width)
     a = left.withWatermark(left_ts, delay).withColumn("_bucket", floor_div(_micros(left_ts), width)).alias("a")
-    b = right.withWatermark(right_ts, delay).withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))).alias("b")
+    b = right.withWatermark(right_ts, delay).withColumn("_bucket", F.explode(F.sequence(first, last))).alias("b")
     interval = F.expr(f"INTERVAL {seconds} SECONDS")
     on = (
         (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._bucket") == F.col("b._bucket"))

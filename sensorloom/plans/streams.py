@@ -123,7 +123,8 @@ def stream_chunk_reassemble_positions(spark: SparkSession, sf_dir: str) -> DataF
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = readings.interval_sides(_readings(spark, sf_dir))
     pairs = ev.stream_interval_join(left, right, "device_id", "timestamp1", "timestamp2", readings.INTERVAL)
-    found = run.to_table(pairs, "stream-interval-join")
+    with sinks.no_idle_batches(spark):
+        found = run.to_table(pairs, "stream-interval-join")
     return found.select("device_id", "event_id1", "event_id2", plain("timestamp1"), plain("timestamp2"))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -49,6 +50,22 @@ def stream_writer(df: DataFrame, checkpoint: str, interval: str | None) -> DataS
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
+@contextmanager
+def no_idle_batches(spark: SparkSession) -> Iterator[None]:
+    """Streams started in it have no micro-batches without input, which only move the watermark on.
+
+    For streams whose results need none, as those of an inner join: its old state goes with the next input, and at the
+    end of a bounded source it is not taken apart row by row.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stream_to_console(df: DataFrame, checkpoint: str, interval: str | None = "3 seconds") -> StreamingQuery:
     return stream_writer(df, checkpoint, interval).format("console").option("truncate", "false").start()
 

@@ -470,3 +470,29 @@ def test_reassembly_calls_python_by_bucket_not_by_frame(spark, tmp_path):
     assert {(r["camera"], r["n_chunks"], r["data"] and bytes(r["data"]), r["error"]) for r in rows} == {
         *((big + c, 1, b"x", None) for c in range(299)), (5, 2, b"xx", None), (None, 1, None, chunks.NO_KEY)}
     assert len(rows) == 301
+
+
+def test_interval_join_keeps_few_rows_and_takes_no_state_apart_at_the_end(spark, readings):
+    """40 rows within the first halves of their buckets are 40 rows of state a side, and pairs reach over borders."""
+    rows = [(d, seconds(20 * s + 2), float(s)) for d in range(4) for s in range(10)]
+    borders = [(9, seconds(s), float(s)) for s in (109, 110, 119, 120, 125, 129, 130)]
+    batch = spark.createDataFrame(rows + borders, READING)
+
+    def joined(df, join, keys):
+        left = df.select("d", F.col("ts").alias("t1"), F.col("v").alias("v1"))
+        return join(left, df.select("d", F.col("ts").alias("t2"), F.col("v").alias("v2")), keys, "t1", "t2", 10)
+
+    readings.add(rows)
+    readings.add(borders)
+    source = logs.scan_stream(spark, f"{readings.folder}/in/*", READING, max_files=2)
+    found, out = joined(source, ev.stream_interval_join, "d"), f"{readings.folder}/out"
+    with sinks.no_idle_batches(spark):
+        query = sinks.stream_to_table(found, f"{out}/table", f"{out}/checkpoint")
+        query.awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    assert all(p["numInputRows"] for p in query.recentProgress if p["stateOperators"])
+    assert query.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] <= 2 * 47 + len(borders)
+    got = spark.read.schema(found.schema).parquet(f"{out}/table")
+    columns = ["d", "t1", "t2", "v1", "v2"]
+    expected = joined(batch, ev.interval_join, ["d"])
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, expected.select(columns).collect()))
