@@ -100,22 +100,23 @@ def stream_chunk_reassemble_positions(spark: SparkSession, sf_dir: str) -> DataF
 
     Every other chunk comes three seconds late, so that frames go on over the end of a part.
     """
-    parts = payload_chunks(table(spark, sf_dir, "documents")).withColumns({
+    documents = table(spark, sf_dir, "documents")
+    parts = payload_chunks(documents).withColumns({
         "segment_id": F.col("doc_id") % SEGMENTS, "offset": F.col("doc_id") * chunks.MAX_CHUNKS + F.col("chunk_index")})
     base = run_dir(spark, "stream-reassemble-positions")
     late = F.col("doc_id") + F.when(F.col("chunk_index") % 2 == 1, 3).otherwise(0)
-    ends = parts.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    ends = documents.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     step = ((ends["high"] or 0) - (ends["low"] or 0) + 4) // 3 + 1
+    files = max(FILES, spark.sparkContext.defaultParallelism)
     for i in range(3):
         start = (ends["low"] or 0) + i * step
-        parts.filter((late >= start) & (late < start + step)).repartition(FILES).write.mode("append").parquet(f"{base}/log")
-    stream = logs.scan_stream(spark, f"{base}/log", parts.schema, max_files=FILES)
+        parts.filter((late >= start) & (late < start + step)).repartition(files).write.mode("append").parquet(f"{base}/log")
+    stream = logs.scan_stream(spark, f"{base}/log", parts.schema, max_files=files)
 
     def log(session: SparkSession) -> DataFrame:
         return session.read.schema(parts.schema).parquet(f"{base}/log")
 
-    positions.reassemble_to_table(stream, log, FRAME_KEYS, "timestamp", DELAY, base, f"{base}/checkpoint",
-                                  buckets=spark.sparkContext.defaultParallelism).awaitTermination()
+    positions.reassemble_to_table(stream, log, FRAME_KEYS, "timestamp", DELAY, base, f"{base}/checkpoint").awaitTermination()
     found = spark.read.schema(frames.frame_schema(parts, FRAME_KEYS)).parquet(f"{base}/frames")
     return found.select("doc_id", plain("timestamp"), "n_chunks", F.sha1("data").alias("data_sha1"), "error")
 

@@ -71,8 +71,7 @@ def track(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_milli
             whole = found["error"].isna()
             ended = found[gone]
             placed = held.merge(ended.loc[whole[gone], names], on=names).sort_values("chunk_index", kind="stable")
-            listed = {k: [dict(chunk_index=i, segment_id=s, offset=o) for i, s, o in zip(g["chunk_index"], *(g[p] for p in POSITION))]
-                      for k, g in placed.groupby(names, sort=False)} if len(placed) else {}
+            listed = _listed(placed, names)
             if len(ended):
                 yield pd.DataFrame({
                     **{n: ended[n] for n in names}, "n_chunks": ended["n_rows"], "error": ended["error"],
@@ -97,6 +96,15 @@ def track(chunks: DataFrame, keys: list[str], ts: str, delay: str, timeout_milli
     return found.unionByName(lost)
 
 
+def _listed(placed: pd.DataFrame, names: list[str]) -> dict[tuple, list[dict]]:
+    """The places of each frame's chunks, in the order of the rows: one pass, as a group of pandas for each frame is slow."""
+    listed: dict[tuple, list[dict]] = {}
+    keys = placed[names].itertuples(index=False, name=None)
+    for key, index, segment, offset in zip(keys, *(placed[c].tolist() for c in ["chunk_index", *POSITION]), strict=True):
+        listed.setdefault(key, []).append({"chunk_index": index, "segment_id": segment, "offset": offset})
+    return listed
+
+
 def _judged(rows: pd.DataFrame, names: list[str]) -> pd.DataFrame:
     """A row for each frame with the error code of ``chunks.frame_status``, and whether it may still become whole."""
     index = rows["chunk_index"].where(rows["chunk_index"] != _NONE)

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,11 @@ def test_log_is_read_by_offset_range(spark, log):
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(offset,40)" in plan and "LessThanOrEqual(offset,44)" in plan
     assert read.count() == 2
+
+
+def test_places_are_listed_without_a_group_for_each_frame(monkeypatch):
+    rows = pd.DataFrame({"key_0": ["b", "a", "b"], "key_1": [1, 2, 1], "chunk_index": [0, 0, 1], "segment_id": [3, 3, 4], "offset": [7, 8, 9]})
+    monkeypatch.setattr(pd.DataFrame, "groupby", None)
+    found = positions._listed(rows, ["key_0", "key_1"])
+    assert found == {("b", 1): [{"chunk_index": 0, "segment_id": 3, "offset": 7}, {"chunk_index": 1, "segment_id": 4, "offset": 9}],
+                     ("a", 2): [{"chunk_index": 0, "segment_id": 3, "offset": 8}]}
